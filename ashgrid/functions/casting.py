@@ -1,0 +1,18 @@
+"""Tolerant typing of text columns."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def cast_safe(df: DataFrame, types: dict[str, str]) -> DataFrame:
+    """``try_cast`` each named column; blanks and bad text become null.
+
+    Plain ``cast`` raises on ``''`` under ANSI mode, the default in Spark 4.
+    """
+    out = {}
+    for name, typ in types.items():
+        c = F.nullif(F.trim(F.col(name)), F.lit(""))
+        out[name] = c.try_cast(typ)
+    return df.withColumns(out)
