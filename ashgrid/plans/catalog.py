@@ -25,6 +25,7 @@ from ashgrid.operators.history import asof_fill, change_flags, history
 from ashgrid.operators.metrics import as_totals_layout, newest_first, yearly_total
 from ashgrid.operators.ordering import index_within
 from ashgrid.operators.quality import check, with_group_median, with_key_count
+from ashgrid.plans import drift
 from ashgrid.plans.panel import MONEY, PANEL_CAUSES, PANEL_SQL, unit_year_panel
 from ashgrid.sources.tables import read_table
 
@@ -313,6 +314,83 @@ SQL_QUALITY_VIOLATIONS = _panel_cte(
     "]) as rule) r where rule is not null")
 
 
+# ------------------------------------------- yearly CSV round trip (E1 E2)
+
+def q_drift_roundtrip(spark, sf):
+    u = drift.conformed(spark, sf)
+    return u.select("yr", "src_row", "unit", F.col("biome_clean").alias("biome"), "mgmt_group",
+                    F.array_join("sensors", "/").alias("sensors"), "last_update", "area_total",
+                    "area_unit", "pct_published", "causes_total", "layout")
+
+
+def _drift_cte(body: str) -> str:
+    return _panel_cte(
+        ", p as (select *, cast(row_number() over (partition by yr order by unit_name, unit) - 1 "
+        f"as integer) as src_row, {drift.LAYOUT_SQL} as layout from panel) " + body)
+
+
+_DATED = "layout in ('L1', 'L2', 'L3', 'L4')"
+_PCT = "case when size > 0 then 100 * area / size end"
+SQL_DRIFT_ROUNDTRIP = _drift_cte(
+    f"select yr, src_row, unit_name as unit, case when {_DATED} then seg end as biome, "
+    "case when layout = 'L6' and size > 0 then seg end as mgmt_group, "
+    "case when layout in ('L2', 'L3', 'L4') then case when n_orders > 1 "
+    "then 'Landsat/Sentinel' else 'Modis' end end as sensors, "
+    f"case when {_DATED} then last_update end as last_update, "
+    "area as area_total, size as area_unit, "
+    f"case when layout in ('L5', 'L6') then cast(round(cast({_PCT} as decimal(38,12)), 2) "
+    f"as double) else {_PCT} end as pct_published, "
+    "case when layout in ('L1', 'L2') then null else area end as causes_total, layout from p")
+
+
+def q_drift_cause_area(spark, sf):
+    from ashgrid.plans.yearly import CAUSE_COLUMNS, EXACT
+    from ashgrid.operators.causes import CAUSE_OF
+    from ashgrid.sources.layouts import CAUSE_PREFIX
+    u = drift.conformed(spark, sf)
+    long = unpivot_causes(u, ["yr"], list(CAUSE_COLUMNS),
+                          {CAUSE_PREFIX + k: v for k, v in CAUSE_OF.items()})
+    return long.groupBy("yr", "cause").agg(
+        F.sum(F.col("area").cast(EXACT)).cast("double").alias("area"),
+        F.count(F.lit(1)).alias("n_rows"))
+
+
+def _cause_rows(layouts: str, pairs: list[tuple[str, str]]) -> str:
+    return " union all ".join(
+        f"select yr, '{cause}' as cause, {expr} as area from p where layout in ({layouts})"
+        for cause, expr in pairs)
+
+
+_REST = ('cast(cast(prescribed as decimal(18,2)) + cast(controlled as decimal(18,2)) + '
+         'cast(firebreak as decimal(18,2)) + cast("natural" as decimal(18,2)) as double)')
+_SPLIT = [("wildfire", "wildfire"), ("prescribed", "prescribed"), ("controlled", "controlled"),
+          ("firebreak", "firebreak"), ("natural", '"natural"'), ("indigenous", "0.0")]
+SQL_DRIFT_CAUSE_AREA = _drift_cte(
+    "select yr, cause, cast(sum(cast(area as decimal(18,2))) as double) as area, "
+    "count(*) as n_rows from ("
+    + _cause_rows("'L3'", [("wildfire", "wildfire"), ("managed_unsplit", _REST)]) + " union all "
+    + _cause_rows("'L4', 'L5', 'L6'", _SPLIT) + " union all "
+    + _cause_rows("'L4', 'L5'", [("lightning", "0.0")])
+    + ") group by yr, cause")
+
+
+def q_drift_totals_reconcile(spark, sf):
+    from ashgrid.operators.quality import reconcile
+    from ashgrid.plans.yearly import EXACT, conform_units
+    rows, published = drift.read_back(spark, sf)
+    rec = yearly_total(conform_units(rows), "yr", "area_total", "recomputed", EXACT, count_as=None)
+    return reconcile(rec, published.withColumnRenamed("area_total", "published"), "yr", tol=1e-9)
+
+
+SQL_DRIFT_TOTALS_RECONCILE = _panel_cte(
+    ", t as (select yr, cast(sum(cast(area as decimal(18,2))) as double) as recomputed "
+    "from panel group by yr) "
+    f"select yr, recomputed, case when yr >= {drift.FIRST_PUBLISHED_YEAR} then recomputed end "
+    f"as published, case when yr >= {drift.FIRST_PUBLISHED_YEAR} then recomputed - recomputed end "
+    f"as diff, case when yr >= {drift.FIRST_PUBLISHED_YEAR} then 'ok' else 'missing_published' "
+    "end as status from t")
+
+
 REGISTRY: dict[str, Entry] = {
     "panel": Entry("E5-E9 input", q_panel, PANEL_SQL),
     "yearly_total": Entry("E10 E11", q_yearly_total, SQL_YEARLY_TOTAL),
@@ -336,4 +414,8 @@ REGISTRY: dict[str, Entry] = {
     "history_flags": Entry("R17", q_history_flags, SQL_HISTORY_FLAGS),
     "history_versions": Entry("R17", q_history_versions, SQL_HISTORY_VERSIONS),
     "quality_violations": Entry("R18", q_quality_violations, SQL_QUALITY_VIOLATIONS),
+    "drift_roundtrip": Entry("E1 E3 R1-R7 R10 R11", q_drift_roundtrip, SQL_DRIFT_ROUNDTRIP),
+    "drift_cause_area": Entry("E1 R9", q_drift_cause_area, SQL_DRIFT_CAUSE_AREA),
+    "drift_totals_reconcile": Entry("E2 E12 R19", q_drift_totals_reconcile,
+                                    SQL_DRIFT_TOTALS_RECONCILE),
 }

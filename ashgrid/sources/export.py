@@ -40,18 +40,16 @@ def write_layout(df: DataFrame, path: str, layout: Layout | str, year: str = "yr
         .option("header", True).option("emptyValue", "").csv(path))
 
 
-def write_indexed(df: DataFrame, path: str, layout_of_year: dict[int, str],
+def write_indexed(df: DataFrame, path: str, layout_col: str = "layout",
                   year: str = "yr") -> None:
-    """Write each year in its layout.  ``df`` must already carry the index
-    (``src_row``, see ``operators.ordering.index_within``); it is
-    checkpointed once so the per-layout jobs read it instead of recomputing
-    it."""
+    """Write each row in the layout named by ``layout_col`` (one job per
+    layout).  ``df`` must already carry the index (``src_row``, see
+    ``operators.ordering.index_within``); it is checkpointed once so the
+    per-layout jobs read it instead of recomputing it."""
     df = df.checkpoint(eager=True)
-    by_layout: dict[str, list[int]] = {}
-    for y, lid in layout_of_year.items():
-        by_layout.setdefault(lid, []).append(int(y))
-    for lid, years in sorted(by_layout.items()):
-        write_layout(df.where(F.col(year).isin(years)), path, lid, year)
+    for lid in sorted(LAYOUTS):
+        if lid != "LT":
+            write_layout(df.where(F.col(layout_col) == F.lit(lid)), path, lid, year)
 
 
 def write_totals(df: DataFrame, path: str, value: str = "area_total", year: str = "yr") -> None:
