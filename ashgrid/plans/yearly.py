@@ -21,6 +21,7 @@ from ashgrid.functions.numeric import component_sum
 from ashgrid.operators.canonical import canonical
 from ashgrid.operators.causes import CAUSE_OF, class_totals, unpivot_causes
 from ashgrid.operators.collapse import collapse
+from ashgrid.operators.fuzzy import fuzzy_pairs
 from ashgrid.operators.history import asof_fill, history
 from ashgrid.operators.metrics import yearly_total
 from ashgrid.operators.quality import check, dq_tags, reconcile, with_group_median, with_key_count
@@ -141,7 +142,17 @@ def build(spark: SparkSession, path: str | list[str]) -> dict[str, DataFrame]:
         totals = recomputed.withColumn("published", F.lit(None).cast("double"))
     return {"unit_year": unit_year_df, "unit_cells": cells, "cause_area": cause_area,
             "unit_dim": unit_dim, "violations": violations, "totals": totals,
-            "class_totals": class_totals_of(units)}
+            "class_totals": class_totals_of(units), "fuzzy_matches": fuzzy_matches(units)}
+
+
+def fuzzy_matches(units: DataFrame, max_dist: int = 2, size_tol: float = 0.01) -> DataFrame:
+    """Candidate pairs of unit keys that may be one unit: same category and
+    last key word, keys within ``max_dist`` edits, sizes within
+    ``size_tol``.  Reported for review; never applied."""
+    ent = units.select("category", F.element_at(F.split("unit_key", " "), -1).alias("last_word"),
+                       "unit_key", "area_unit")
+    return fuzzy_pairs(ent, "unit_key", "area_unit", ["category", "last_word"],
+                       max_dist, size_tol)
 
 
 def class_totals_of(units: DataFrame) -> DataFrame:
