@@ -32,12 +32,11 @@ YEAR_FROM_DIR = r"year=(\d{4})/"
 
 
 def list_files(spark: SparkSession, path: str | list[str]) -> list[str]:
-    """Files under a folder / glob, from the file index (nothing is read).
-
-    Directories whose names start with ``_`` or ``.`` are skipped, as Spark
-    itself does."""
+    """CSV files under a folder / glob, from the file index (nothing is
+    read).  Other files (a licence, a readme) are ignored; directories whose
+    names start with ``_`` or ``.`` are skipped, as Spark itself does."""
     df = spark.read.format("text").load(path)
-    return sorted(df.inputFiles())
+    return sorted(f for f in df.inputFiles() if f.lower().endswith(".csv"))
 
 
 def read_header(spark: SparkSession, file: str) -> str:
