@@ -24,12 +24,17 @@ def clean_text(c: ColumnOrName, marks: str = "*") -> Column:
 
 def unit_key(c: ColumnOrName, stop_words: tuple[str, ...] = STOP_WORDS) -> Column:
     """Matching key: upper case, every run of non-alphanumerics becomes one
-    blank, stop words are dropped, words are joined by one blank."""
-    spaced = F.trim(F.regexp_replace(F.upper(_col(c)), "[^A-Z0-9]+", " "))
-    stop = [F.lit(w) for w in stop_words]
-    words = F.filter(F.split(spaced, " "),
-                     lambda w: (w != F.lit("")) & ~w.isin(*stop))
-    return F.nullif(F.array_join(words, " "), F.lit(""))
+    blank, stop words are dropped, words are joined by one blank.
+
+    Written with ``regexp_replace`` only (no lambda), so it stays inside
+    whole-stage codegen: the name is padded with blanks and each stop word
+    is removed together with the blank before it; the lookahead leaves the
+    blank after it for the next word."""
+    spaced = F.regexp_replace(F.upper(_col(c)), "[^A-Z0-9]+", " ")
+    padded = F.concat(F.lit(" "), spaced, F.lit(" "))
+    alt = "|".join(stop_words)
+    dropped = F.regexp_replace(padded, f" (?:{alt})(?= )", "")
+    return F.nullif(F.trim(dropped), F.lit(""))
 
 
 def category(c: ColumnOrName) -> Column:
@@ -38,10 +43,9 @@ def category(c: ColumnOrName) -> Column:
 
 
 def split_values(c: ColumnOrName, sep_regex: str = r"\s*/\s*") -> Column:
-    """Split a list held in one string; parts trimmed, empty parts dropped."""
-    parts = F.transform(F.split(F.trim(_col(c)), sep_regex), lambda p: F.trim(p))
-    return F.when(_col(c).isNotNull(),
-                  F.filter(parts, lambda p: p != F.lit("")))
+    """Split a list held in one string; empty parts dropped.  The separator
+    pattern swallows the blanks around it, so parts come out trimmed."""
+    return F.array_remove(F.split(F.trim(_col(c)), sep_regex), F.lit(""))
 
 
 def split_known(c: ColumnOrName, known: list[str] | tuple[str, ...],
@@ -52,8 +56,7 @@ def split_known(c: ColumnOrName, known: list[str] | tuple[str, ...],
     whole, as a one-element array.
     """
     parts = F.split(_col(c), joiner)
-    known_lits = [F.lit(k) for k in known]
-    all_known = F.forall(parts, lambda p: p.isin(*known_lits))
+    all_known = F.size(F.array_except(parts, F.array(*[F.lit(k) for k in known]))) == 0
     return F.when(_col(c).isNull(), F.lit(None)).when(
         all_known, parts).otherwise(F.array(_col(c)))
 

@@ -1,12 +1,15 @@
 """Writing tables in the yearly layouts (the index column comes first).
 
-Each layout group is one ``write.partitionBy("year").csv`` job: the year
-lives only in the ``year=YYYY`` directory, as it lives only in the file name
-of the published tables, and every output file carries the layout's header.
+Each layout group is one ``write.partitionBy("year").csv`` job into its own
+``layout=Lx`` folder: the year lives only in the ``year=YYYY`` directory, as
+it lives only in the file name of the published tables, and every output
+file carries the layout's header.
 """
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,9 +50,12 @@ def write_indexed(df: DataFrame, path: str, layout_col: str = "layout",
     ``operators.ordering.index_within``); it is checkpointed once so the
     per-layout jobs read it instead of recomputing it."""
     df = df.checkpoint(eager=True)
-    for lid in sorted(LAYOUTS):
-        if lid != "LT":
-            write_layout(df.where(F.col(layout_col) == F.lit(lid)), path, lid, year)
+    ids = [lid for lid in sorted(LAYOUTS) if lid != "LT"]
+    # each layout gets its own output folder (layout=Lx/year=YYYY/...), so
+    # the jobs never share a committer's staging folder and can run together
+    with ThreadPoolExecutor(max_workers=len(ids)) as pool:
+        list(pool.map(lambda lid: write_layout(df.where(F.col(layout_col) == F.lit(lid)),
+                                               f"{path}/layout={lid}", lid, year), ids))
 
 
 def write_totals(df: DataFrame, path: str, value: str = "area_total", year: str = "yr") -> None:

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import posixpath
 from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,10 +55,13 @@ def detect_layouts(spark: SparkSession, files: list[str]) -> dict[str, list[str]
     for f in files:
         key = posixpath.dirname(f) if "year=" in f else f
         by_dir[key].append(f)
+    keys = sorted(by_dir)
+    # one tiny job per directory; submitted together, Spark runs them at once
+    with ThreadPoolExecutor(max_workers=min(16, max(1, len(keys)))) as pool:
+        headers = list(pool.map(lambda k: read_header(spark, by_dir[k][0]), keys))
     groups: dict[str, list[str]] = defaultdict(list)
-    for key, fs in by_dir.items():
-        lay = detect_layout(read_header(spark, fs[0]))
-        groups[lay.id].extend(fs)
+    for key, header in zip(keys, headers):
+        groups[detect_layout(header).id].extend(by_dir[key])
     return dict(groups)
 
 
