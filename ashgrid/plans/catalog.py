@@ -391,6 +391,19 @@ SQL_DRIFT_TOTALS_RECONCILE = _panel_cte(
     "end as status from t")
 
 
+# ------------------------------------ incremental ingest (streaming, P15)
+
+def q_stream_ingest(spark, sf):
+    from ashgrid.session import scratch_path
+    from ashgrid.streaming.yearly_drop import ingest_available
+    base = drift.write_panel_tables(spark, sf)
+    u = ingest_available(spark, f"{base}/tables", scratch_path(spark, "ingest-sink"))
+    return u.select(F.col("yr").cast("int").alias("yr"), "src_row", "unit",
+                    F.col("biome_clean").alias("biome"), "mgmt_group",
+                    F.array_join("sensors", "/").alias("sensors"), "last_update", "area_total",
+                    "area_unit", "pct_published", "causes_total", "layout")
+
+
 REGISTRY: dict[str, Entry] = {
     "panel": Entry("E5-E9 input", q_panel, PANEL_SQL),
     "yearly_total": Entry("E10 E11", q_yearly_total, SQL_YEARLY_TOTAL),
@@ -418,4 +431,5 @@ REGISTRY: dict[str, Entry] = {
     "drift_cause_area": Entry("E1 R9", q_drift_cause_area, SQL_DRIFT_CAUSE_AREA),
     "drift_totals_reconcile": Entry("E2 E12 R19", q_drift_totals_reconcile,
                                     SQL_DRIFT_TOTALS_RECONCILE),
+    "stream_ingest": Entry("P15 (E1 R1-R7 incremental)", q_stream_ingest, SQL_DRIFT_ROUNDTRIP),
 }

@@ -1,0 +1,37 @@
+"""Incremental ingest: files land over time; one checkpoint across runs."""
+
+import os
+
+from tests.fixtures import FILES
+from ashgrid.streaming.yearly_drop import ingest_available
+
+
+def land(folder, name, text_name=None, lines=None):
+    eol, rows = FILES[name]
+    os.makedirs(os.path.dirname(os.path.join(folder, text_name or name)), exist_ok=True)
+    with open(os.path.join(folder, text_name or name), "w", newline="") as f:
+        f.write(eol.join(lines or rows) + eol)
+
+
+def counts(df):
+    return {r.yr: r["count"] for r in df.groupBy("yr").count().collect()}
+
+
+def test_drops_are_ingested_once_and_years_replaced(spark, tmp_path):
+    landing, sink, ckpt = str(tmp_path / "landing"), str(tmp_path / "sink"), str(tmp_path / "ckpt")
+    land(landing, "burned_2015.csv")
+    assert counts(ingest_available(spark, landing, sink, ckpt)) == {2015: 6}
+
+    land(landing, "burned_2018.csv")
+    land(landing, "burned_2020.csv")
+    land(landing, "totals.csv")
+    assert counts(ingest_available(spark, landing, sink, ckpt)) == {2015: 6, 2018: 5, 2020: 5}
+    assert spark.read.parquet(f"{sink}/published_totals").count() == 3
+
+    # a corrected 2015 table lands: the year is replaced, not doubled
+    lines = FILES["burned_2015.csv"][1][:3]
+    land(landing, "burned_2015.csv", "fix/burned_2015.csv", lines)
+    assert counts(ingest_available(spark, landing, sink, ckpt)) == {2015: 2, 2018: 5, 2020: 5}
+
+    # nothing new: nothing changes
+    assert counts(ingest_available(spark, landing, sink, ckpt)) == {2015: 2, 2018: 5, 2020: 5}
