@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ashgrid.session import checkpoint_root
+
 _POS_BITS = 33  # monotonically_increasing_id: partition index above bit 33
 
 
@@ -33,6 +35,7 @@ def index_within(df: DataFrame, group: str, order: list[str], out: str = "ind")
     pos, part = "__pos", "__part"
     tagged = (df.orderBy(F.col(group), *[F.col(c) for c in order])
                 .withColumn(pos, F.monotonically_increasing_id()))
+    checkpoint_root(df.sparkSession)
     tagged = tagged.checkpoint(eager=True)
     tagged = tagged.withColumn(part, F.shiftright(F.col(pos), _POS_BITS))
     stats = (tagged.groupBy(part, group)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -25,15 +25,33 @@ def dq_tags(df: DataFrame, rules: dict[str, Column], out: str = "dq") -> DataFra
     return df.withColumn(out, tags)
 
 
+def _join_back(df: DataFrame, per_key: DataFrame, keys: list[str]) -> DataFrame:
+    """Left-join a one-row-per-key table back, null-safe on the keys."""
+    renamed = per_key.select(*[F.col(k).alias(f"__k_{k}") for k in keys],
+                             *[c for c in per_key.columns if c not in keys])
+    on = None
+    for k in keys:
+        cond = F.col(k).eqNullSafe(F.col(f"__k_{k}"))
+        on = cond if on is None else on & cond
+    return df.join(renamed, on, "left").drop(*[f"__k_{k}" for k in keys])
+
+
 def with_key_count(df: DataFrame, keys: list[str], out: str = "key_count") -> DataFrame:
-    """Rows sharing the key, for a uniqueness rule."""
-    return df.withColumn(out, F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    """Rows sharing the key, for a uniqueness rule.
+
+    A grouped count (combined map-side) joined back, rather than a window: a
+    window would sort a hot key's rows in one task, the join lets AQE
+    broadcast the small count table or split the hot key."""
+    return _join_back(df, df.groupBy(*keys).agg(F.count(F.lit(1)).alias(out)), keys)
 
 
 def with_group_median(df: DataFrame, key: str, value: str, out: str) -> DataFrame:
-    """Exact median of ``value`` over the key's rows (a (key, year) grain
-    keeps each group to one row per year)."""
-    return df.withColumn(out, F.median(value).over(Window.partitionBy(key)))
+    """Exact median of ``value`` over the key's rows.
+
+    Spark's exact percentile keeps a value -> count map per group and merges
+    partial maps, so a hot key costs memory by its distinct values, not its
+    rows."""
+    return _join_back(df, df.groupBy(key).agg(F.median(value).alias(out)), [key])
 
 
 def reconcile(recomputed: DataFrame, published: DataFrame, key: str,

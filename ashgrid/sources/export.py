@@ -13,6 +13,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ashgrid.session import checkpoint_root
 from ashgrid.sources.layouts import LAYOUTS, Layout
 
 # Date format of the "last update" column by layout.
@@ -49,6 +50,7 @@ def write_indexed(df: DataFrame, path: str, layout_col: str = "layout",
     layout).  ``df`` must already carry the index (``src_row``, see
     ``operators.ordering.index_within``); it is checkpointed once so the
     per-layout jobs read it instead of recomputing it."""
+    checkpoint_root(df.sparkSession)
     df = df.checkpoint(eager=True)
     ids = [lid for lid in sorted(LAYOUTS) if lid != "LT"]
     # each layout gets its own output folder (layout=Lx/year=YYYY/...), so
