@@ -112,10 +112,20 @@ def read_folder(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame,
     return rows, totals
 
 
-def build(spark: SparkSession, path: str | list[str]) -> dict[str, DataFrame]:
-    """All canonical tables for the yearly tables under ``path``."""
+def build(spark: SparkSession, path: str | list[str],
+          units_table: str | None = None) -> dict[str, DataFrame]:
+    """All canonical tables for the yearly tables under ``path``.
+
+    With ``units_table`` the conformed rows are written there as parquet,
+    partitioned by year, and every other table is derived from that parquet,
+    so the CSV text is parsed once however many tables are written.
+    """
     raw, published = read_folder(spark, path)
-    units = with_rule_inputs(conform_units(raw))
+    conformed = conform_units(raw)
+    if units_table:
+        conformed.write.mode("overwrite").partitionBy("yr").parquet(units_table)
+        conformed = spark.read.parquet(units_table)
+    units = with_rule_inputs(conformed)
     rules = quality_rules()
     unit_year_df = dq_tags(units, rules)
     violations = check(units, rules, ["yr", "src_row", "unit", "unit_key", "source_file"])

@@ -1,0 +1,58 @@
+"""Property tests (hypothesis): keys and cleaning are idempotent, sums do
+not depend on how rows are split, the index is a permutation per group."""
+
+import random
+import string
+
+from hypothesis import given, settings, HealthCheck
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from ashgrid.functions import clean_text, unit_key
+from ashgrid.operators.causes import cause_totals, unpivot_causes
+from ashgrid.operators.metrics import yearly_total
+from ashgrid.operators.ordering import index_within
+
+names = st.lists(st.text(alphabet=string.ascii_letters + " -*/#'DAOSE", min_size=0, max_size=25),
+                 min_size=1, max_size=30)
+SETTINGS = settings(max_examples=8, deadline=None,
+                    suppress_health_check=[HealthCheck.function_scoped_fixture])
+
+
+@SETTINGS
+@given(names)
+def test_key_and_clean_are_idempotent(spark, xs):
+    df = spark.createDataFrame([(x,) for x in xs], "v string")
+    once = df.select(unit_key("v").alias("k"), clean_text("v").alias("c"))
+    twice = once.select("k", unit_key("k").alias("k2"), "c", clean_text("c").alias("c2"))
+    for r in twice.collect():
+        assert r.k == r.k2 and r.c == r.c2
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(2015, 2023), st.integers(0, 10**6), st.integers(0, 10**6)),
+                min_size=1, max_size=60), st.integers(1, 9))
+def test_sum_over_causes_equals_sum_over_rows(spark, rows, parts):
+    data = [(y, a / 100, b / 100) for y, a, b in rows]
+    df = spark.createDataFrame(data, "yr int, wildfire double, natural double").repartition(parts)
+    long = unpivot_causes(df, ["yr"], ["wildfire", "natural"])
+    by_cause = cause_totals(long, ["yr"], decimal_type="decimal(18,2)")
+    a = {r.yr: r.s for r in by_cause.groupBy("yr").agg(
+        F.sum(F.col("area").cast("decimal(18,2)")).cast("double").alias("s")).collect()}
+    tot = df.withColumn("t", (F.col("wildfire").cast("decimal(18,2)") + F.col("natural").cast("decimal(18,2)")).cast("double"))
+    b = {r.yr: r.area_total for r in yearly_total(tot, "yr", "t", decimal_type="decimal(18,2)").collect()}
+    assert a == b
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from([2019, 2020, None]), st.text(max_size=3)),
+                min_size=1, max_size=80), st.integers(1, 7))
+def test_index_is_a_permutation_per_group(spark, rows, parts):
+    df = spark.createDataFrame(rows, "g int, u string").repartition(parts)
+    got = index_within(df, "g", ["u"]).collect()
+    by = {}
+    for r in got:
+        by.setdefault(r.g, []).append((r.u, r.ind))
+    for g, xs in by.items():
+        assert sorted(i for _, i in xs) == list(range(len(xs)))
+        assert [u for u, _ in sorted(xs, key=lambda t: t[1])] == sorted(u for u, _ in xs)
