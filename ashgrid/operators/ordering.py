@@ -15,7 +15,13 @@ def order_units(df: DataFrame, year: str = "yr", unit: str = "unit") -> DataFram
     return df.orderBy(F.col(year), F.col(unit))
 
 
-def index_within(df: DataFrame, group: str, order: list[str], out: str = "ind") -> DataFrame:
+# Offset tables up to this many rows (about 30 MB) are broadcast to the
+# sorted rows; larger ones are joined with a shuffle.
+MAX_BROADCAST_OFFSETS = 1_000_000
+
+
+def index_within(df: DataFrame, group: str, order: list[str], out: str = "ind",
+                 max_broadcast_rows: int = MAX_BROADCAST_OFFSETS) -> DataFrame:
     """0-based position of each row inside its group, by ``order``.
 
     ``row_number()`` over ``partitionBy(group)`` would sort a whole group in
@@ -31,6 +37,10 @@ def index_within(df: DataFrame, group: str, order: list[str], out: str = "ind")
        running count over tasks (at most tasks + groups rows) gives each
        task's offset inside the group;
     4. index = offset + position - first position.
+
+    The offset table has at most tasks + groups rows.  It is checkpointed and
+    counted; under ``max_broadcast_rows`` it is broadcast, so the sorted rows
+    are not shuffled again, otherwise both sides are shuffled on the keys.
     """
     pos, part = "__pos", "__part"
     tagged = (df.orderBy(F.col(group), *[F.col(c) for c in order])
@@ -44,7 +54,10 @@ def index_within(df: DataFrame, group: str, order: list[str], out: str = "ind")
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     stats = (stats.withColumn("__offset", F.sum("__n").over(w) - F.col("__n"))
                   .select(F.col(part).alias("__spart"), F.col(group).alias("__sgroup"),
-                          "__first", "__offset"))
+                          "__first", "__offset")
+                  .checkpoint(eager=True))
+    if stats.count() <= max_broadcast_rows:
+        stats = F.broadcast(stats)
     on = (F.col(part) == F.col("__spart")) & F.col(group).eqNullSafe(F.col("__sgroup"))
     idx = (F.col("__offset") + F.col(pos) - F.col("__first"))
     return (tagged.join(stats, on, "inner")

@@ -39,6 +39,14 @@ def test_index_within_matches_row_number_with_a_hot_group(spark):
     assert got == expect
 
 
+def test_index_within_shuffled_offsets_branch(spark):
+    rows = [(y, f"u{i:04d}") for i, y in enumerate([2015, 2016, 2016, None] * 50)]
+    df = spark.createDataFrame(rows, "yr int, u string").repartition(5)
+    a = {(r.yr, r.u): r.ind for r in index_within(df, "yr", ["u"]).collect()}
+    b = {(r.yr, r.u): r.ind for r in index_within(df, "yr", ["u"], max_broadcast_rows=0).collect()}
+    assert a == b and sorted(v for (y, _), v in a.items() if y == 2016) == list(range(100))
+
+
 def test_index_within_null_group(spark):
     df = spark.createDataFrame([(None, "b"), (None, "a"), (1, "c")], "g int, u string")
     got = {(r.g, r.u): r.ind for r in index_within(df, "g", ["u"]).collect()}
