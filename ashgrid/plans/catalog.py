@@ -391,6 +391,27 @@ SQL_DRIFT_TOTALS_RECONCILE = _panel_cte(
     "end as status from t")
 
 
+def q_sensor_area(spark, sf):
+    from ashgrid.operators.multivalue import explode_values
+    from ashgrid.plans.yearly import EXACT
+    u = drift.conformed(spark, sf).select("yr", "sensors", "area_total")
+    ex = explode_values(u, "sensors", "sensor", ["area_total"], allocate="equal")
+    return ex.groupBy("yr", "sensor").agg(
+        F.sum(F.col("area_total").cast(EXACT)).cast("double").alias("area"),
+        F.count(F.lit(1)).alias("n_rows"))
+
+
+SQL_SENSOR_AREA = _drift_cte(
+    "select yr, sensor, cast(sum(cast(a as decimal(38,12))) as double) as area, "
+    "count(*) as n_rows from ("
+    "select yr, 'Landsat' as sensor, area / 2 as a from p "
+    "where layout in ('L2', 'L3', 'L4') and n_orders > 1 union all "
+    "select yr, 'Sentinel' as sensor, area / 2 as a from p "
+    "where layout in ('L2', 'L3', 'L4') and n_orders > 1 union all "
+    "select yr, 'Modis' as sensor, area as a from p "
+    "where layout in ('L2', 'L3', 'L4') and n_orders <= 1) group by yr, sensor")
+
+
 # ------------------------------------ incremental ingest (streaming, P15)
 
 def q_stream_ingest(spark, sf):
@@ -431,5 +452,6 @@ REGISTRY: dict[str, Entry] = {
     "drift_cause_area": Entry("E1 R9", q_drift_cause_area, SQL_DRIFT_CAUSE_AREA),
     "drift_totals_reconcile": Entry("E2 E12 R19", q_drift_totals_reconcile,
                                     SQL_DRIFT_TOTALS_RECONCILE),
+    "sensor_area": Entry("R10 (explode, equal allocation)", q_sensor_area, SQL_SENSOR_AREA),
     "stream_ingest": Entry("P15 (E1 R1-R7 incremental)", q_stream_ingest, SQL_DRIFT_ROUNDTRIP),
 }

@@ -115,6 +115,16 @@ def test_history_versions(spark):
     assert h == [("u", 1, 64796.12, 2016, 2016, 1), ("u", 2, 240586.56, 2017, 2019, 3)]
 
 
+def test_explode_values_allocation(spark):
+    from ashgrid.operators.multivalue import explode_values
+    df = spark.createDataFrame([(["Landsat", "Sentinel"], 10.0), (["Modis"], 4.0), ([], 1.0), (None, 2.0)],
+                               "s array<string>, a double")
+    eq = sorted(tuple(r) for r in explode_values(df, "s", "sensor", ["a"], "equal").select("sensor", "a").collect())
+    assert eq == [("Landsat", 5.0), ("Modis", 4.0), ("Sentinel", 5.0)]
+    none = sorted(tuple(r) for r in explode_values(df, "s", "sensor").select("sensor", "a").collect())
+    assert none == [("Landsat", 10.0), ("Modis", 4.0), ("Sentinel", 10.0)]
+
+
 def test_check_one_row_per_broken_rule(spark):
     df = spark.createDataFrame([(1, -1.0, 150.0), (2, 5.0, 50.0), (3, 0.0, None)],
                                "id int, size double, pct double")
