@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from ashgrid.functions.numeric import component_sum, percent_of
 from ashgrid.operators.metrics import yearly_total
-from ashgrid.operators.ordering import index_within
 from ashgrid.plans.panel import MONEY, unit_year_panel
 from ashgrid.plans.yearly import conform_units, read_folder
 from ashgrid.session import scratch_path
@@ -37,8 +36,12 @@ LAYOUT_SQL = ("case when yr <= 1996 then 'L1' when yr = 1997 then 'L2' when yr =
               "when yr = 1999 then 'L4' when yr = 2000 then 'L5' else 'L6' end")
 
 
+UNIT_ORDER = ["unit_raw", "unit"]
+
+
 def panel_as_units(panel: DataFrame) -> DataFrame:
-    """Panel columns under our yearly-table names, index included."""
+    """Panel columns under our yearly-table names (the index is added when
+    the tables are written, see ``write_indexed``)."""
     def money_sum(*cols):
         return component_sum(list(cols), MONEY)
 
@@ -72,7 +75,7 @@ def panel_as_units(panel: DataFrame) -> DataFrame:
         money_sum("prescribed", "controlled", "firebreak").alias("prevention_published"),
         money_sum("wildfire", "natural").alias("combat_published"),
     )
-    return index_within(df, "yr", ["unit_raw", "unit"], "src_row")
+    return df
 
 
 _written: dict[tuple[int, str], str] = {}
@@ -84,7 +87,7 @@ def write_panel_tables(spark: SparkSession, sf_dir: str) -> str:
     if key not in _written:
         base = scratch_path(spark, "yearly-tables")
         units = panel_as_units(unit_year_panel(spark, sf_dir))
-        write_indexed(units, f"{base}/tables")
+        write_indexed(units, f"{base}/tables", order_by=UNIT_ORDER)
         totals = yearly_total(units, "yr", "area_total", "area_total", MONEY, count_as=None)
         write_totals(totals.where(F.col("yr") >= FIRST_PUBLISHED_YEAR), f"{base}/totals")
         _written[key] = base

@@ -39,25 +39,41 @@ def to_layout(df: DataFrame, layout: Layout | str, year: str = "yr") -> DataFram
 
 
 def write_layout(df: DataFrame, path: str, layout: Layout | str, year: str = "yr",
-                 mode: str = "append") -> None:
+                 mode: str = "append", index: str = "src_row") -> None:
+    """Rows go out in index order inside each file: sorting each partition by
+    (year, index) also satisfies the partitioned writer's own ordering on
+    year, so Spark adds no second sort."""
+    if index in df.columns:
+        df = df.sortWithinPartitions(year, index)
     (to_layout(df, layout, year).write.mode(mode).partitionBy("year")
         .option("header", True).option("emptyValue", "").csv(path))
 
 
-def write_indexed(df: DataFrame, path: str, layout_col: str = "layout",
+def write_indexed(df: DataFrame, path: str, order_by: list[str] | None = None,
+                  index: str = "src_row", layout_col: str = "layout",
                   year: str = "yr") -> None:
-    """Write each row in the layout named by ``layout_col`` (one job per
-    layout).  ``df`` must already carry the index (``src_row``, see
-    ``operators.ordering.index_within``); it is checkpointed once so the
-    per-layout jobs read it instead of recomputing it."""
+    """Write each row in the layout named by ``layout_col``, the 0-based
+    index within its year first.
+
+    With ``order_by`` the index is computed here (``index_within``): a
+    global range sort, checkpointed, so every task holds one contiguous
+    index range and the part files of a year, in name order, list the rows
+    in index order.  Without it ``df`` must carry ``index`` already and is
+    checkpointed as it is; rows are then in index order within each file.
+    One write job per layout, into its own ``layout=Lx`` folder, so the jobs
+    never share a committer's staging folder and run together.
+    """
+    from ashgrid.operators.ordering import index_within
     checkpoint_root(df.sparkSession)
-    df = df.checkpoint(eager=True)
+    if order_by is not None:
+        df = index_within(df, year, order_by, index)
+    else:
+        df = df.checkpoint(eager=True)
     ids = [lid for lid in sorted(LAYOUTS) if lid != "LT"]
-    # each layout gets its own output folder (layout=Lx/year=YYYY/...), so
-    # the jobs never share a committer's staging folder and can run together
     with ThreadPoolExecutor(max_workers=len(ids)) as pool:
         list(pool.map(lambda lid: write_layout(df.where(F.col(layout_col) == F.lit(lid)),
-                                               f"{path}/layout={lid}", lid, year), ids))
+                                               f"{path}/layout={lid}", lid, year, index=index),
+                      ids))
 
 
 def write_totals(df: DataFrame, path: str, value: str = "area_total", year: str = "yr") -> None:
