@@ -3,14 +3,19 @@
 Candidates come from exact equi-joins, never from comparing every pair in a
 block, and no candidate is dropped by a cap:
 
-* Edit distance.  Cut each name of length L into ``max_dist + 1`` segments.
-  If two names are within ``max_dist`` edits, one segment of the shorter
-  name survives untouched in the longer one, shifted by at most
-  ``max_dist`` positions (pigeonhole; the partition-based filter of
-  Li et al., "Pass-Join", VLDB 2011).  The index side emits its segments,
-  the probe side emits, for every length it may pair with, every substring
-  at every allowed shift; an equi-join on (length, segment no., text) finds
-  every pair that can be within the distance.
+* Edit distance.  Cut each name of length L into t + 1 segments
+  (t = ``max_dist``).  If two names are within t edits, some segment i of
+  the shorter name survives untouched in the longer one (pigeonhole; the
+  partition-based filter of Li et al., "Pass-Join", VLDB 2011), and one
+  such segment sits at a shift d from its own start with |d| <= i and
+  |d - D| <= t - i, where D is the length difference.  (With e_j edits
+  inside segment j, B_i = e_0 + ... + e_{i-1} moves as B_i - i by e_i - 1
+  per segment, from 0 down to E - t - 1; the last untouched segment where
+  it steps from E - t to E - t - 1 has B_i = i + E - t, so at most i edits
+  before it and t - i after it.)  The index side emits its segments, the
+  probe side emits, for every length it may pair with, the substrings at
+  those shifts; an equi-join on (length, segment no., text) finds every
+  pair that can be within the distance.
 * Size.  Two sizes within a relative tolerance t have log-sizes closer than
   -ln(1 - t); with buckets twice that wide, partners sit in the same or a
   neighbouring bucket, so the index side is replicated to three buckets.
@@ -74,6 +79,8 @@ def fuzzy_pairs(df: DataFrame, name: str, size: str, block: list[str],
                 .where(F.col("__L") >= 0)
                 .withColumn("__i", F.explode(F.sequence(F.lit(0), F.lit(tau))))
                 .withColumn("__shift", F.explode(F.sequence(F.lit(-tau), F.lit(tau))))
+                .where((F.abs(F.col("__shift")) <= F.col("__i"))
+                       & (F.abs(F.col("__shift") - F.col("__d")) <= F.lit(tau) - F.col("__i")))
                 .withColumn("__slen", seg_len(F.col("__L"), F.col("__i")))
                 .withColumn("__q", seg_start(F.col("__L"), F.col("__i")) + F.col("__shift"))
                 .where((F.col("__q") >= 0) & (F.col("__q") + F.col("__slen") <= F.col("__len")))

@@ -154,7 +154,7 @@ def brute_pairs(rows, tau, tol):
     return out
 
 
-@pytest.mark.parametrize("seed,tau", [(1, 2), (2, 1), (3, 2), (4, 3)])
+@pytest.mark.parametrize("seed,tau", [(1, 2), (2, 1), (3, 2), (4, 3), (5, 2), (6, 3), (7, 1), (8, 2)])
 def test_fuzzy_pairs_equal_brute_force(spark, seed, tau):
     rnd = random.Random(seed)
     base = ["PARAIBA SUL", "TAIM", "TAIAMA", "SERRA CIPO", "AB", "A", "", "CHAPADA VEADEIROS"]
