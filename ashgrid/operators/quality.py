@@ -25,33 +25,34 @@ def dq_tags(df: DataFrame, rules: dict[str, Column], out: str = "dq") -> DataFra
     return df.withColumn(out, tags)
 
 
-def _join_back(df: DataFrame, per_key: DataFrame, keys: list[str]) -> DataFrame:
-    """Left-join a one-row-per-key table back, null-safe on the keys."""
-    renamed = per_key.select(*[F.col(k).alias(f"__k_{k}") for k in keys],
-                             *[c for c in per_key.columns if c not in keys])
-    on = None
-    for k in keys:
-        cond = F.col(k).eqNullSafe(F.col(f"__k_{k}"))
-        on = cond if on is None else on & cond
-    return df.join(renamed, on, "left").drop(*[f"__k_{k}" for k in keys])
+def with_group_stats(df: DataFrame, groups: list[tuple[list[str], list[Column]]]) -> DataFrame:
+    """Per-key aggregates joined back to every row.
+
+    Each ``(keys, aggregates)`` is computed from ``df`` itself (not from
+    the result of an earlier join) and left-joined back on plain equality
+    of the keys.  Grouped aggregates combine map-side, so a hot key does
+    not land in one task the way a window over it would; the joins are
+    against one-row-per-key tables, which AQE broadcasts when small or
+    splits when skewed, and equality keys let Spark reuse a partitioning
+    the input already has.  Rows whose key is null get null aggregates: a
+    row without an identity is not compared with others.
+    """
+    out = df
+    for keys, aggs in groups:
+        out = out.join(df.groupBy(*keys).agg(*aggs), list(keys), "left")
+    return out
 
 
 def with_key_count(df: DataFrame, keys: list[str], out: str = "key_count") -> DataFrame:
-    """Rows sharing the key, for a uniqueness rule.
-
-    A grouped count (combined map-side) joined back, rather than a window: a
-    window would sort a hot key's rows in one task, the join lets AQE
-    broadcast the small count table or split the hot key."""
-    return _join_back(df, df.groupBy(*keys).agg(F.count(F.lit(1)).alias(out)), keys)
+    """Rows sharing the key, for a uniqueness rule."""
+    return with_group_stats(df, [(keys, [F.count(F.lit(1)).alias(out)])])
 
 
 def with_group_median(df: DataFrame, key: str, value: str, out: str) -> DataFrame:
-    """Exact median of ``value`` over the key's rows.
-
-    Spark's exact percentile keeps a value -> count map per group and merges
-    partial maps, so a hot key costs memory by its distinct values, not its
-    rows."""
-    return _join_back(df, df.groupBy(key).agg(F.median(value).alias(out)), [key])
+    """Exact median of ``value`` over the key's rows.  Spark's exact
+    percentile keeps a value -> count map per group and merges partial
+    maps, so a hot key costs memory by its distinct values, not its rows."""
+    return with_group_stats(df, [([key], [F.median(value).alias(out)])])
 
 
 def reconcile(recomputed: DataFrame, published: DataFrame, key: str,

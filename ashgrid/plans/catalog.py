@@ -24,7 +24,7 @@ from ashgrid.operators.fuzzy import fuzzy_pairs
 from ashgrid.operators.history import asof_fill, change_flags, history
 from ashgrid.operators.metrics import as_totals_layout, newest_first, yearly_total
 from ashgrid.operators.ordering import index_within
-from ashgrid.operators.quality import check, with_group_median, with_key_count
+from ashgrid.operators.quality import check, with_group_stats
 from ashgrid.plans import drift
 from ashgrid.plans.panel import MONEY, PANEL_CAUSES, PANEL_SQL, unit_year_panel
 from ashgrid.sources.tables import read_table
@@ -294,16 +294,17 @@ def panel_rules() -> dict:
 
 def q_quality_violations(spark, sf):
     df = component_total(unit_year_panel(spark, sf), list(PANEL_CAUSES), "causes_total", MONEY)
-    df = with_key_count(df, ["unit", "yr"])
-    df = with_group_median(df, "unit", "size", "size_median")
+    df = with_group_stats(df, [(["unit", "yr"], [F.count(F.lit(1)).alias("key_count")]),
+                               (["unit"], [F.median("size").alias("size_median")])])
     return check(df, panel_rules(), ["unit", "yr"])
 
 
 SQL_QUALITY_VIOLATIONS = _panel_cte(
     "select rule, unit, yr from (select *, case when size > 0 then 100 * area / size end as pct, "
     f"cast({_CAUSE_SUM} as double) as causes_total, "
-    "count(*) over (partition by unit, yr) as key_count, "
-    "median(size) over (partition by unit) as size_median from panel) t, "
+    "case when unit is not null and yr is not null then count(*) over (partition by unit, yr) end "
+    "as key_count, case when unit is not null then median(size) over (partition by unit) end "
+    "as size_median from panel) t, "
     "lateral (select unnest(["
     "case when size <= 0 then 'size_not_positive' end, "
     "case when pct < 0 or pct > 100 then 'pct_out_of_range' end, "

@@ -24,7 +24,7 @@ from ashgrid.operators.collapse import collapse
 from ashgrid.operators.fuzzy import fuzzy_pairs
 from ashgrid.operators.history import asof_fill, history
 from ashgrid.operators.metrics import yearly_total
-from ashgrid.operators.quality import check, dq_tags, reconcile, with_group_median, with_key_count
+from ashgrid.operators.quality import check, dq_tags, reconcile, with_group_stats
 from ashgrid.sources.layouts import CAUSE_HEADERS, CAUSE_PREFIX
 from ashgrid.sources.yearly_csv import (detect_layouts, list_files, read_totals, read_year,
                                         union_years)
@@ -97,8 +97,10 @@ def quality_rules() -> dict:
 
 
 def with_rule_inputs(units: DataFrame) -> DataFrame:
-    df = with_key_count(units, ["unit_key", "yr"])
-    return with_group_median(df, "unit_key", "area_unit", "size_median")
+    return with_group_stats(units, [
+        (["unit_key", "yr"], [F.count(F.lit(1)).alias("key_count")]),
+        (["unit_key"], [F.median("area_unit").alias("size_median")]),
+    ])
 
 
 def read_folder(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame | None]:
