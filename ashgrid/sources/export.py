@@ -61,7 +61,8 @@ def write_indexed(df: DataFrame, path: str, order_by: list[str] | None = None,
     in index order.  Without it ``df`` must carry ``index`` already and is
     checkpointed as it is; rows are then in index order within each file.
     One write job per layout, into its own ``layout=Lx`` folder, so the jobs
-    never share a committer's staging folder and run together.
+    never share a committer's staging folder and run together; each job
+    overwrites its folder, so a retried export replaces rather than doubles.
     """
     from ashgrid.operators.ordering import index_within
     checkpoint_root(df.sparkSession)
@@ -72,7 +73,8 @@ def write_indexed(df: DataFrame, path: str, order_by: list[str] | None = None,
     ids = [lid for lid in sorted(LAYOUTS) if lid != "LT"]
     with ThreadPoolExecutor(max_workers=len(ids)) as pool:
         list(pool.map(lambda lid: write_layout(df.where(F.col(layout_col) == F.lit(lid)),
-                                               f"{path}/layout={lid}", lid, year, index=index),
+                                               f"{path}/layout={lid}", lid, year,
+                                               mode="overwrite", index=index),
                       ids))
 
 
