@@ -1,7 +1,6 @@
 """Written yearly tables: header per layout, index contiguous and in order."""
 
 import glob
-import os
 from collections import defaultdict
 
 from ashgrid.plans.drift import UNIT_ORDER, panel_as_units

@@ -3,7 +3,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from ashgrid.functions import (cast_safe, category, clean_text, component_sum, null_if,
                                parse_date, percent_of, round_half_up, split_known,

@@ -1,7 +1,6 @@
 """Property tests (hypothesis): keys and cleaning are idempotent, sums do
 not depend on how rows are split, the index is a permutation per group."""
 
-import random
 import string
 
 from hypothesis import given, settings, HealthCheck

@@ -3,7 +3,6 @@
 import random
 import statistics
 
-from pyspark.sql import functions as F
 
 from ashgrid.operators.collapse import collapse
 from ashgrid.operators.fuzzy import fuzzy_pairs
