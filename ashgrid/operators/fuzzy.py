@@ -18,11 +18,14 @@ block, and no candidate is dropped by a cap:
   pair that can be within the distance.
 * Size.  Two sizes within a relative tolerance t have log-sizes closer than
   -ln(1 - t); with buckets twice that wide, partners sit in the same or a
-  neighbouring bucket, so the index side is replicated to three buckets.
+  neighbouring bucket, so one side's sizes are replicated to three buckets
+  and sizes are paired by an equi-join on the bucket.
 
-Every candidate is then verified with ``levenshtein(a, b, max_dist)`` and the
-exact size rule.  Names equal as text are the same entity (see
-``unit_key``) and are not reported.
+Text is matched on distinct names, so a name repeated on many rows (or
+with many sizes) is compared once and never with itself; every candidate
+name pair is verified with ``levenshtein(a, b, max_dist)``, then sizes are
+attached and checked with the exact rule.  Names equal as text are the same
+entity (see ``unit_key``) and are not reported.
 """
 
 from __future__ import annotations
@@ -33,76 +36,76 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _entities(df: DataFrame, name: str, size: str, block: list[str]) -> DataFrame:
-    return (df.select(*block, F.col(name).alias("__name"),
-                      F.col(size).cast("double").alias("__size"))
-              .where(F.col("__name").isNotNull() & (F.col("__size") > 0))
-              .distinct())
+def _name_pairs(names: DataFrame, block: list[str], tau: int) -> DataFrame:
+    """(block..., name_a, name_b, dist): distinct names of one block within
+    ``tau`` edits, name_a < name_b.  ``names`` holds each (block, name) once,
+    so a name repeated on many rows is compared once."""
+    nseg = tau + 1
+
+    def seg_len(L, i):
+        # the first nseg - L % nseg segments are L // nseg long, the rest one longer
+        return F.floor(L / nseg) + F.when(i >= F.lit(nseg) - L % nseg, 1).otherwise(0)
+
+    def seg_start(L, i):
+        short = F.lit(nseg) - L % nseg
+        return i * F.floor(L / nseg) + F.greatest(F.lit(0), i - short)
+
+    names = names.withColumn("__len", F.length("__name"))
+    idx = (names.withColumn("__i", F.explode(F.sequence(F.lit(0), F.lit(tau))))
+                .withColumn("__slen", seg_len(F.col("__len"), F.col("__i")))
+                .withColumn("__start", seg_start(F.col("__len"), F.col("__i")))
+                .select(*block, F.col("__len").alias("__L"), "__i",
+                        F.col("__name").substr(F.col("__start") + 1, F.col("__slen")).alias("__seg"),
+                        F.col("__name").alias("__name_s")))
+    probe = (names.withColumn("__d", F.explode(F.sequence(F.lit(0), F.lit(tau))))
+                  .withColumn("__L", F.col("__len") - F.col("__d"))
+                  .where(F.col("__L") >= 0)
+                  .withColumn("__i", F.explode(F.sequence(F.lit(0), F.lit(tau))))
+                  .withColumn("__shift", F.explode(F.sequence(F.lit(-tau), F.lit(tau))))
+                  .where((F.abs(F.col("__shift")) <= F.col("__i"))
+                         & (F.abs(F.col("__shift") - F.col("__d")) <= F.lit(tau) - F.col("__i")))
+                  .withColumn("__slen", seg_len(F.col("__L"), F.col("__i")))
+                  .withColumn("__q", seg_start(F.col("__L"), F.col("__i")) + F.col("__shift"))
+                  .where((F.col("__q") >= 0) & (F.col("__q") + F.col("__slen") <= F.col("__len")))
+                  .select(*block, "__L", "__i",
+                          F.col("__name").substr(F.col("__q") + 1, F.col("__slen")).alias("__seg"),
+                          F.col("__name").alias("__name_r"))
+                  .distinct())
+    cand = (probe.join(idx, [*block, "__L", "__i", "__seg"], "inner")
+                 .where(F.col("__name_r") != F.col("__name_s"))
+                 .select(*block, F.least("__name_r", "__name_s").alias("name_a"),
+                         F.greatest("__name_r", "__name_s").alias("name_b"))
+                 .distinct())
+    dist = F.levenshtein(F.col("name_a"), F.col("name_b"), tau)
+    return cand.withColumn("dist", dist.cast("int")).where(F.col("dist") >= 0)
 
 
 def fuzzy_pairs(df: DataFrame, name: str, size: str, block: list[str],
                 max_dist: int = 2, size_tol: float = 0.01) -> DataFrame:
     """(block..., name_a, name_b, size_a, size_b, dist) with name_a < name_b,
     ``levenshtein <= max_dist`` and ``|size_a - size_b| < size_tol * max``.
+
+    Text is matched on distinct (block, name) first; sizes are attached
+    afterwards through an equi-join on neighbouring size buckets, so a name
+    seen with many sizes is neither compared with itself nor paired with
+    every size of its partner.
     """
     tau = int(max_dist)
-    nseg = tau + 1
     width = 2.0 * -math.log1p(-size_tol)
+    ent = df.select(*block, F.col(name).alias("__name"), F.col(size).cast("double").alias("__size"))
     for b in block:
-        df = df.where(F.col(b).isNotNull())
-    ent = (_entities(df, name, size, block)
-           .withColumn("__len", F.length("__name"))
-           .withColumn("__bucket", F.floor(F.log("__size") / F.lit(width))))
-
-    # segment i of a length-L name: the first nseg - L % nseg segments are
-    # L // nseg long, the others one longer.
-    def seg_len(L, i):
-        return F.floor(L / nseg) + F.when(i >= F.lit(nseg) - L % nseg, 1).otherwise(0)
+        ent = ent.where(F.col(b).isNotNull())
+    ent = (ent.where(F.col("__name").isNotNull() & (F.col("__size") > 0)).distinct()
+              .withColumn("__bucket", F.floor(F.log("__size") / F.lit(width))))
+    pairs = _name_pairs(ent.select(*block, "__name").distinct(), block, tau)
 
-    def seg_start(L, i):
-        base = F.floor(L / nseg)
-        short = F.lit(nseg) - L % nseg
-        return i * base + F.greatest(F.lit(0), i - short)
-
-    idx = (ent.withColumn("__i", F.explode(F.sequence(F.lit(0), F.lit(tau))))
-              .withColumn("__slen", seg_len(F.col("__len"), F.col("__i")))
-              .withColumn("__start", seg_start(F.col("__len"), F.col("__i")))
-              .withColumn("__seg", F.col("__name").substr(F.col("__start") + 1, F.col("__slen")))
-              .withColumn("__jb", F.explode(F.array(F.col("__bucket") - 1, F.col("__bucket"),
-                                                    F.col("__bucket") + 1)))
-              .select(*[F.col(b) for b in block], F.col("__len").alias("__L"), "__i", "__seg",
-                      F.col("__jb").alias("__jbucket"),
-                      F.col("__name").alias("__name_s"), F.col("__size").alias("__size_s")))
-
-    probe = (ent.withColumn("__d", F.explode(F.sequence(F.lit(0), F.lit(tau))))
-                .withColumn("__L", F.col("__len") - F.col("__d"))
-                .where(F.col("__L") >= 0)
-                .withColumn("__i", F.explode(F.sequence(F.lit(0), F.lit(tau))))
-                .withColumn("__shift", F.explode(F.sequence(F.lit(-tau), F.lit(tau))))
-                .where((F.abs(F.col("__shift")) <= F.col("__i"))
-                       & (F.abs(F.col("__shift") - F.col("__d")) <= F.lit(tau) - F.col("__i")))
-                .withColumn("__slen", seg_len(F.col("__L"), F.col("__i")))
-                .withColumn("__q", seg_start(F.col("__L"), F.col("__i")) + F.col("__shift"))
-                .where((F.col("__q") >= 0) & (F.col("__q") + F.col("__slen") <= F.col("__len")))
-                .withColumn("__seg", F.col("__name").substr(F.col("__q") + 1, F.col("__slen")))
-                .select(*[F.col(b) for b in block], "__L", "__i", "__seg",
-                        F.col("__bucket").alias("__jbucket"),
-                        F.col("__name").alias("__name_r"), F.col("__size").alias("__size_r"))
-                .distinct())
-
-    keys = [*block, "__L", "__i", "__seg", "__jbucket"]
-    cand = (probe.join(idx, keys, "inner")
-                 .select(*block, "__name_r", "__size_r", "__name_s", "__size_s")
-                 .where(F.col("__name_r") != F.col("__name_s"))
-                 .distinct())
-    dist = F.levenshtein(F.col("__name_r"), F.col("__name_s"), tau)
-    near = F.abs(F.col("__size_r") - F.col("__size_s")) < F.lit(size_tol) * F.greatest("__size_r", "__size_s")
-    ok = cand.where((dist >= 0) & near).withColumn("dist", dist.cast("int"))
-    r_first = F.col("__name_r") < F.col("__name_s")
-    return (ok.select(*block,
-                      F.when(r_first, F.col("__name_r")).otherwise(F.col("__name_s")).alias("name_a"),
-                      F.when(r_first, F.col("__name_s")).otherwise(F.col("__name_r")).alias("name_b"),
-                      F.when(r_first, F.col("__size_r")).otherwise(F.col("__size_s")).alias("size_a"),
-                      F.when(r_first, F.col("__size_s")).otherwise(F.col("__size_r")).alias("size_b"),
-                      "dist")
-              .distinct())
+    a = ent.select(*block, F.col("__name").alias("name_a"), F.col("__size").alias("size_a"),
+                   F.col("__bucket").alias("__bucket_a"))
+    b = ent.select(*block, F.col("__name").alias("name_b"), F.col("__size").alias("size_b"),
+                   F.explode(F.array(F.col("__bucket") - 1, F.col("__bucket"),
+                                     F.col("__bucket") + 1)).alias("__bucket_a"))
+    near = F.abs(F.col("size_a") - F.col("size_b")) < F.lit(size_tol) * F.greatest("size_a", "size_b")
+    return (pairs.join(a, [*block, "name_a"], "inner")
+                 .join(b, [*block, "name_b", "__bucket_a"], "inner")
+                 .where(near)
+                 .select(*block, "name_a", "name_b", "size_a", "size_b", "dist"))

@@ -57,3 +57,15 @@ def test_fuzzy_with_a_hot_name(spark):
     df = spark.createDataFrame(rows, "cat string, name string, size double").repartition(4)
     got = sorted(tuple(r) for r in fuzzy_pairs(df, "name", "size", ["cat"]).collect())
     assert got == [("PARNA", "SERRA AZUI", "SERRA AZUL", 100.5, 100.0, 1)]
+
+
+def test_fuzzy_with_one_name_at_many_sizes(spark):
+    # 600 sizes of one name in one size bucket: the name is matched once,
+    # and sizes pair only with the partner's sizes within tolerance
+    rows = [("PARNA", "SERRA AZUL", 1000.0 + i / 100) for i in range(600)] \
+        + [("PARNA", "SERRA AZUI", 1000.0), ("PARNA", "SERRA AZUL", 5000.0)]
+    df = spark.createDataFrame(rows, "cat string, name string, size double").repartition(4)
+    got = fuzzy_pairs(df, "name", "size", ["cat"]).collect()
+    assert len(got) == 600
+    assert {(r.name_a, r.name_b) for r in got} == {("SERRA AZUI", "SERRA AZUL")}
+    assert all(r.size_b < 1010.0 for r in got)
