@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ashgrid.functions.numeric import component_sum
+from ashgrid.functions.numeric import component_sum, exact_sum
 
 # Raw cause columns of the yearly tables and the cause each
 # one stands for.  Firebreak, indigenous and lightning rest on similar names
@@ -79,4 +79,4 @@ def cause_totals(long: DataFrame, keys: list[str], cause_name: str = "cause",
                  decimal_type: str = "decimal(38,10)") -> DataFrame:
     """Re-sum the long form by ``keys`` + cause (decimal, order-free)."""
     return (long.groupBy(*keys, cause_name)
-                .agg(F.sum(F.col(value_name).cast(decimal_type)).cast("double").alias(out)))
+                .agg(exact_sum(value_name, decimal_type).alias(out)))

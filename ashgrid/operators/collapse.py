@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ashgrid.functions.numeric import exact_sum
+
 
 def collapse(df: DataFrame, keys: list[str], sum_cols: list[str] = (),
              max_cols: list[str] = (), set_cols: dict[str, str] | None = None,
@@ -12,14 +14,14 @@ def collapse(df: DataFrame, keys: list[str], sum_cols: list[str] = (),
              decimal_type: str = "decimal(38,10)") -> DataFrame:
     """One row per key.
 
-    ``sum_cols`` are added (as decimals), ``max_cols`` take the maximum,
+    ``sum_cols`` are added exactly (``exact_sum``), ``max_cols`` take the maximum,
     ``set_cols`` ({col: separator}) become the sorted distinct values joined
     by the separator, ``array_cols`` become the sorted union of the arrays.
     Everything is a partial-then-final aggregate: ``collect_set`` holds the
     distinct values only, so a hot key does not build a long list in one
     task.
     """
-    aggs = [F.sum(F.col(c).cast(decimal_type)).cast("double").alias(c) for c in sum_cols]
+    aggs = [exact_sum(c, decimal_type).alias(c) for c in sum_cols]
     aggs += [F.max(c).alias(c) for c in max_cols]
     for c, sep in (set_cols or {}).items():
         aggs.append(F.array_join(F.array_sort(F.collect_set(c)), sep).alias(c))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ashgrid.functions.numeric import percent_of
+from ashgrid.functions.numeric import exact_sum, percent_of
 
 
 def with_percent(df: DataFrame, part: str = "area", whole: str = "size",
@@ -20,12 +20,12 @@ def yearly_total(df: DataFrame, year: str = "yr", value: str = "area",
     """Sum of ``value`` per year: every row counts, nothing filtered or
     de-duplicated.
 
-    The sum runs over decimals, so the total is the same whatever order the
-    partial sums arrive in; Spark plans it as a partial aggregate before the
+    The sum is exact (``exact_sum``), so the total is the same whatever
+    order the partial sums arrive in; Spark plans it as a partial aggregate before the
     shuffle and a final one after, so a year holding most rows is already
     reduced to one row per map task when it crosses the network.
     """
-    aggs = [F.sum(F.col(value).cast(decimal_type)).cast("double").alias(out)]
+    aggs = [exact_sum(value, decimal_type).alias(out)]
     if count_as:
         aggs.append(F.count(F.lit(1)).alias(count_as))
     return df.groupBy(year).agg(*aggs)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ashgrid.functions import (category, clean_text, null_if, parse_date,
                                split_values, unit_key)
-from ashgrid.functions.numeric import percent_of
+from ashgrid.functions.numeric import exact_sum, percent_of
 from ashgrid.operators.canonical import canonical
 from ashgrid.operators.causes import (class_totals, component_total,
                                       cause_totals, unpivot_causes)
@@ -352,7 +352,7 @@ def q_drift_cause_area(spark, sf):
     long = unpivot_causes(u, ["yr"], list(CAUSE_COLUMNS),
                           {CAUSE_PREFIX + k: v for k, v in CAUSE_OF.items()})
     return long.groupBy("yr", "cause").agg(
-        F.sum(F.col("area").cast(EXACT)).cast("double").alias("area"),
+        exact_sum("area", EXACT).alias("area"),
         F.count(F.lit(1)).alias("n_rows"))
 
 
@@ -398,7 +398,7 @@ def q_sensor_area(spark, sf):
     u = drift.conformed(spark, sf).select("yr", "sensors", "area_total")
     ex = explode_values(u, "sensors", "sensor", ["area_total"], allocate="equal")
     return ex.groupBy("yr", "sensor").agg(
-        F.sum(F.col("area_total").cast(EXACT)).cast("double").alias("area"),
+        exact_sum("area_total", EXACT).alias("area"),
         F.count(F.lit(1)).alias("n_rows"))
 
 

@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ashgrid.functions.numeric import exact_sum
 from ashgrid.sources.tables import read_table
 
 MONEY = "decimal(18,2)"
@@ -36,11 +37,10 @@ PANEL_CAUSES = tuple(PRIORITY_CAUSE.values())
 def unit_year_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read_table(spark, sf_dir, "orders",
                         ["o_custkey", "o_orderdate", "o_totalprice", "o_orderpriority"])
-    price = F.col("o_totalprice").cast(MONEY)
-    zero = F.lit(0).cast(MONEY)
-    aggs = [F.sum(price).cast("double").alias("area")]
-    aggs += [F.sum(F.when(F.col("o_orderpriority") == F.lit(p), price).otherwise(zero))
-              .cast("double").alias(c) for p, c in PRIORITY_CAUSE.items()]
+    price = F.col("o_totalprice")
+    aggs = [exact_sum(price, MONEY).alias("area")]
+    aggs += [exact_sum(F.when(F.col("o_orderpriority") == F.lit(p), price).otherwise(F.lit(0.0)),
+                       MONEY).alias(c) for p, c in PRIORITY_CAUSE.items()]
     aggs += [F.max(F.to_date("o_orderdate")).alias("last_update"),
              F.count(F.lit(1)).alias("n_orders")]
     cells = (orders.groupBy(F.col("o_custkey").alias("unit"),

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ashgrid.functions import (category, clean_text, null_if, parse_date,
                                percent_of, split_known, split_values, unit_key)
-from ashgrid.functions.numeric import component_sum
+from ashgrid.functions.numeric import component_sum, exact_sum
 from ashgrid.operators.canonical import canonical
 from ashgrid.operators.causes import CAUSE_OF, class_totals, unpivot_causes
 from ashgrid.operators.collapse import collapse
@@ -144,7 +144,7 @@ def build(spark: SparkSession, path: str | list[str],
                           list(CAUSE_COLUMNS), cause_of)
     long = long.withColumn("cause_raw", F.regexp_replace("cause_raw", "^" + CAUSE_PREFIX, ""))
     cause_area = (long.groupBy("yr", "unit_key", "cause_raw", "cause")
-                      .agg(F.sum(F.col("area").cast(EXACT)).cast("double").alias("area")))
+                      .agg(exact_sum("area", EXACT).alias("area")))
 
     unit_dim = history(cells, "unit_key", "yr", "area_unit", HISTORY_TOL,
                        value="area_unit")

@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from ashgrid.functions import (cast_safe, category, clean_text, component_sum, null_if,
                                parse_date, percent_of, round_half_up, split_known,
@@ -97,3 +98,16 @@ def test_component_sum_null_is_not_zero(spark):
     assert got == [None, 6.0, 0.0, 3.75]
     got = [r[0] for r in df.select(component_sum(["a", "b"], "decimal(18,2)")).collect()]
     assert got == [None, 6.0, 0.0, 3.75]
+
+
+def test_exact_sum_is_order_free_and_matches_decimal(spark):
+    from ashgrid.functions.numeric import exact_sum
+    vals = [0.1, 0.2, 12345.67, 1e6 + 0.01, -3.35, None] * 50
+    df = spark.createDataFrame([(i % 3, v) for i, v in enumerate(vals)], "g int, v double")
+    a = {r.g: r.s for r in df.groupBy("g").agg(exact_sum("v", "decimal(18,2)").alias("s")).collect()}
+    b = {r.g: r.s for r in df.groupBy("g").agg(
+        F.sum(F.col("v").cast("decimal(18,2)")).cast("double").alias("s")).collect()}
+    c = {r.g: r.s for r in df.repartition(7).groupBy("g").agg(exact_sum("v", "decimal(18,2)").alias("s")).collect()}
+    assert a == b == c
+    wide = {r.g: r.s for r in df.groupBy("g").agg(exact_sum("v", "decimal(38,12)").alias("s")).collect()}
+    assert wide == a
