@@ -45,17 +45,29 @@ def component_sum(parts: list[ColumnOrName],
     depend on the order of the terms.
     """
     cols = [_col(p) for p in parts]
+    any_present = reduce(lambda a, b: a | b, [c.isNotNull() for c in cols])
+    k = _integer_scale(decimal_type) if decimal_type else None
+    if k:
+        # same exact result as the decimal, added as 64-bit integers
+        ints = [F.coalesce(F.round(c * F.lit(k)).cast("bigint"), F.lit(0).cast("bigint"))
+                for c in cols]
+        return F.when(any_present, reduce(lambda a, b: a + b, ints) / F.lit(k))
     if decimal_type:
         cols = [c.cast(decimal_type) for c in cols]
         zero = F.lit(0).cast(decimal_type)
     else:
         zero = F.lit(0.0)
     total = reduce(lambda a, b: a + b, [F.coalesce(c, zero) for c in cols])
-    any_present = reduce(lambda a, b: a | b, [c.isNotNull() for c in cols])
     out = F.when(any_present, total)
     return out.cast("double") if decimal_type else out
 
 
+def _integer_scale(decimal_type: str) -> int | None:
+    """10^s for ``decimal(p,s)`` with p <= 18 (fits a 64-bit integer)."""
+    m = re.fullmatch(r"\s*decimal\((\d+)\s*,\s*(\d+)\)\s*", decimal_type)
+    return 10 ** int(m.group(2)) if m and int(m.group(1)) <= 18 else None
+
+
 def exact_sum(c: ColumnOrName, decimal_type: str = "decimal(38,12)") -> Column:
     """Aggregate sum that does not depend on the order of the rows, as a
     double.
@@ -66,9 +78,8 @@ def exact_sum(c: ColumnOrName, decimal_type: str = "decimal(38,12)") -> Column:
     aggregation buffer.  Wider types add as that decimal.  A long overflow
     raises under ANSI mode instead of wrapping.
     """
-    m = re.fullmatch(r"\s*decimal\((\d+)\s*,\s*(\d+)\)\s*", decimal_type)
     col = _col(c)
-    if m and int(m.group(1)) <= 18:
-        k = 10 ** int(m.group(2))
+    k = _integer_scale(decimal_type)
+    if k:
         return F.sum(F.round(col * F.lit(k)).cast("bigint")) / F.lit(k)
     return F.sum(col.cast(decimal_type)).cast("double")
