@@ -35,6 +35,7 @@ KNOWN_BIOMES = ("AMAZONIA", "CAATINGA", "CERRADO", "MARINHO COSTEIRO", "MATA ATL
 BIOME_SPELLING = {"MATA ATANTICA": "MATA ATLANTICA"}
 NO_GROUP = "-"
 DATED_LAYOUTS = ("L1", "L2", "L3", "L4")
+ROUNDED_PCT_LAYOUTS = ("L5", "L6")   # percent printed with 2 decimals
 
 CAUSE_COLUMNS = tuple(CAUSE_PREFIX + h for h in CAUSE_HEADERS)
 # Sums go through this decimal: printed values add up exactly (0.1 + 0.2 is
@@ -93,12 +94,21 @@ def quality_rules() -> dict:
         "unknown_biome": F.col("biome_raw").isNotNull()
                          & (F.size(F.array_except("biomes_as_written", F.array(*known))) > 0),
         "pct_out_of_range": (F.col("pct") < 0) | (F.col("pct") > 100),
+        # published percent vs recomputed: full precision, or 2 decimals
+        # (half a unit of the last digit, whatever the tie rule)
+        "pct_mismatch": F.when(F.col("layout").isin(*ROUNDED_PCT_LAYOUTS),
+                               F.abs(F.col("pct") - F.col("pct_published")) > F.lit(0.005 + 1e-9))
+                         .otherwise(F.abs(F.col("pct") - F.col("pct_published"))
+                                    > F.lit(1e-6) * F.greatest(F.lit(1.0), F.abs(F.col("pct")))),
+        # different names on one key in one year: the key merged too much
+        "key_collision": F.col("key_names") > 1,
     }
 
 
 def with_rule_inputs(units: DataFrame) -> DataFrame:
     return with_group_stats(units, [
-        (["unit_key", "yr"], [F.count(F.lit(1)).alias("key_count")]),
+        (["unit_key", "yr"], [F.count(F.lit(1)).alias("key_count"),
+                              F.count_distinct("unit").alias("key_names")]),
         (["unit_key"], [F.median("area_unit").alias("size_median")]),
     ])
 

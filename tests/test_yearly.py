@@ -54,6 +54,7 @@ def test_planted_violations(tables):
         ("date_missing", 2018, 0),
         ("date_outside_year", 2018, 1),
         ("duplicate_key", 2018, 1), ("duplicate_key", 2018, 2),
+        ("key_collision", 2018, 1), ("key_collision", 2018, 2),
         ("name_not_clean", 2015, 2), ("name_not_clean", 2018, 1),
         ("size_far_from_median", 2020, 3), ("size_far_from_median", 2023, 1),
         ("unknown_biome", 2015, 2), ("unknown_biome", 2015, 5),
