@@ -377,9 +377,10 @@ SQL_DRIFT_CAUSE_AREA = _drift_cte(
 
 def q_drift_totals_reconcile(spark, sf):
     from ashgrid.operators.quality import reconcile
-    from ashgrid.plans.yearly import EXACT, conform_units
-    rows, published = drift.read_back(spark, sf)
-    rec = yearly_total(conform_units(rows), "yr", "area_total", "recomputed", EXACT, count_as=None)
+    from ashgrid.plans.yearly import EXACT
+    _, published = drift.read_back(spark, sf)
+    rec = yearly_total(drift.conformed(spark, sf), "yr", "area_total", "recomputed", EXACT,
+                       count_as=None)
     return reconcile(rec, published.withColumnRenamed("area_total", "published"), "yr", tol=1e-9)
 
 

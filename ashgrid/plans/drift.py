@@ -94,13 +94,29 @@ def write_panel_tables(spark: SparkSession, sf_dir: str) -> str:
     return _written[key]
 
 
+_frames: dict[tuple[int, str], tuple[DataFrame, DataFrame, DataFrame]] = {}
+
+
+def _frames_for(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Read-back DataFrames, built once per session and input folder.
+
+    Only the plan objects are kept (no data is cached): every query that
+    uses them still reads the files, but does not pay again for building
+    and analysing the six-layout plan on the driver."""
+    key = (id(spark), sf_dir)
+    if key not in _frames:
+        base = write_panel_tables(spark, sf_dir)
+        rows, _ = read_folder(spark, f"{base}/tables")
+        _frames[key] = (rows, read_totals(spark, f"{base}/totals"), conform_units(rows))
+    return _frames[key]
+
+
 def read_back(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(yearly rows of all layouts, published totals), read from the files."""
-    base = write_panel_tables(spark, sf_dir)
-    rows, _ = read_folder(spark, f"{base}/tables")
-    return rows, read_totals(spark, f"{base}/totals")
+    rows, totals, _ = _frames_for(spark, sf_dir)
+    return rows, totals
 
 
 def conformed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, _ = read_back(spark, sf_dir)
-    return conform_units(rows)
+    """The read-back rows, cleaned and typed (``conform_units``)."""
+    return _frames_for(spark, sf_dir)[2]

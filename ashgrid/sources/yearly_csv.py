@@ -24,7 +24,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ashgrid.functions.casting import cast_safe
 from ashgrid.sources.layouts import LAYOUTS, Layout, detect_layout
 
 # Year in the file name (..._2019.csv) or in a year=2019 directory.
@@ -75,6 +74,11 @@ def year_from_path(path_col) -> F.Column:
     return F.coalesce(by_name, by_dir).cast("int")
 
 
+def _sql_string(text: str) -> str:
+    """A SQL string literal (backslash is the escape character there)."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def read_year(spark: SparkSession, files: str | list[str], layout: Layout | str,
               mode: str = "FAILFAST") -> DataFrame:
     """Files of one layout -> our column names, numbers typed, year and
@@ -86,10 +90,17 @@ def read_year(spark: SparkSession, files: str | list[str], layout: Layout | str,
            .option("mode", mode).csv(files))
     df = raw.select("*", F.col("_metadata.file_path").alias("source_file"))
     df = df.toDF(*layout.columns, "source_file")
-    df = cast_safe(df, layout.types())
-    if "yr" not in df.columns:
-        df = df.withColumn("yr", year_from_path(F.col("source_file")))
-    return df.withColumn("layout", F.lit(layout.id))
+    # one projection, written as SQL so the JVM builds it in one call
+    types = layout.types()
+    exprs = [f"try_cast(nullif(trim(`{c}`), '') as {types[c]}) as `{c}`" if c in types
+             else f"`{c}`" for c in layout.columns]
+    exprs.append("source_file")
+    if "yr" not in types:
+        by_name, by_dir = (_sql_string(YEAR_FROM_NAME), _sql_string(YEAR_FROM_DIR))
+        exprs.append(f"cast(coalesce(nullif(regexp_extract(source_file, {by_name}, 1), ''), "
+                     f"nullif(regexp_extract(source_file, {by_dir}, 1), '')) as int) as yr")
+    exprs.append(f"'{layout.id}' as layout")
+    return df.selectExpr(*exprs)
 
 
 def union_years(dfs: list[DataFrame]) -> DataFrame:
