@@ -7,7 +7,9 @@ list bounded by ``maxFilesPerTrigger``) to the batch ingest: layout
 detection, typed per-layout reads, union, cleaning.  The result replaces the
 touched year partitions of a parquet table (dynamic partition overwrite),
 so a corrected file for a year replaces that year instead of doubling it.
-Published totals files are appended to their own table.
+Published totals files go to their own table, one partition per batch.
+Every write replaces exactly the partitions its batch owns, so a batch run
+again after a failure does not duplicate rows.
 
 The stream's checkpoint lives below the shared ``spark.checkpoint.dir``, so
 a restarted job skips files it has already committed.  Files of one year
@@ -38,23 +40,27 @@ BINARY_FILE_SCHEMA = T.StructType([
 
 def _ingest_batch(spark: SparkSession, sink: str, mode: str):
     def run(batch: DataFrame, epoch_id: int) -> None:
+        session = batch.sparkSession
         paths = sorted(r.path for r in batch.select("path").distinct().collect())
         if not paths:
             return
-        groups = detect_layouts(spark, paths)
+        groups = detect_layouts(session, paths)
         totals_files = groups.pop("LT", None)
+        # every write is a dynamic partition overwrite, so a micro-batch that
+        # is run again after a failure replaces its own output, never doubles it
         if groups:
-            rows = union_years([read_year(spark, fs, lid) for lid, fs in sorted(groups.items())])
+            rows = union_years([read_year(session, fs, lid) for lid, fs in sorted(groups.items())])
             units = conform_units(rows)
-            w = units.write.partitionBy("yr")
-            if mode == "replace_year":
-                w = w.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            else:
-                w = w.mode("append")
-            w.parquet(f"{sink}/unit_year")
+            parts = ["yr"]
+            if mode == "append":
+                units = units.withColumn("ingest_batch", F.lit(epoch_id))
+                parts.append("ingest_batch")
+            (units.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                .partitionBy(*parts).parquet(f"{sink}/unit_year"))
         if totals_files:
-            (read_totals(spark, totals_files).withColumn("epoch", F.lit(epoch_id))
-                .write.mode("append").parquet(f"{sink}/published_totals"))
+            (read_totals(session, totals_files).withColumn("ingest_batch", F.lit(epoch_id))
+                .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                .partitionBy("ingest_batch").parquet(f"{sink}/published_totals"))
     return run
 
 

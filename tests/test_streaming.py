@@ -35,3 +35,13 @@ def test_drops_are_ingested_once_and_years_replaced(spark, tmp_path):
 
     # nothing new: nothing changes
     assert counts(ingest_available(spark, landing, sink, ckpt)) == {2015: 2, 2018: 5, 2020: 5}
+
+
+def test_append_mode_keeps_each_batch(spark, tmp_path):
+    landing, sink, ckpt = str(tmp_path / "landing"), str(tmp_path / "sink"), str(tmp_path / "ckpt")
+    land(landing, "burned_2018.csv")
+    ingest_available(spark, landing, sink, ckpt, mode="append")
+    land(landing, "burned_2018.csv", "more/burned_2018.csv", FILES["burned_2018.csv"][1][:2])
+    df = ingest_available(spark, landing, sink, ckpt, mode="append")
+    assert counts(df) == {2018: 6}
+    assert sorted(r.ingest_batch for r in df.select("ingest_batch").distinct().collect()) == [0, 1]
