@@ -25,6 +25,7 @@ from ashgrid.operators.fuzzy import fuzzy_pairs
 from ashgrid.operators.history import asof_fill, history
 from ashgrid.operators.metrics import yearly_total
 from ashgrid.operators.quality import check, dq_tags, reconcile, with_group_stats
+from ashgrid.session import checkpoint_root
 from ashgrid.sources.layouts import CAUSE_HEADERS, CAUSE_PREFIX
 from ashgrid.sources.yearly_csv import (detect_layouts, list_files, read_totals, read_year,
                                         union_years)
@@ -128,15 +129,18 @@ def build(spark: SparkSession, path: str | list[str],
           units_table: str | None = None) -> dict[str, DataFrame]:
     """All canonical tables for the yearly tables under ``path``.
 
-    With ``units_table`` the conformed rows are written there as parquet,
-    partitioned by year, and every other table is derived from that parquet,
-    so the CSV text is parsed once however many tables are written.
+    The CSV text is parsed once, however many tables are derived: the
+    conformed rows are written to ``units_table`` as parquet partitioned by
+    year when given, else checkpointed into the shared checkpoint folder.
     """
     raw, published = read_folder(spark, path)
     conformed = conform_units(raw)
     if units_table:
         conformed.write.mode("overwrite").partitionBy("yr").parquet(units_table)
         conformed = spark.read.parquet(units_table)
+    else:
+        checkpoint_root(spark)
+        conformed = conformed.checkpoint(eager=True)
     units = with_rule_inputs(conformed)
     rules = quality_rules()
     unit_year_df = dq_tags(units, rules)
