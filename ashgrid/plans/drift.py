@@ -10,6 +10,8 @@ below the shared checkpoint folder.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,19 +81,25 @@ def panel_as_units(panel: DataFrame) -> DataFrame:
 
 
 _written: dict[tuple[int, str], str] = {}
+_lock = threading.RLock()   # queries may be run from several threads
 
 
 def write_panel_tables(spark: SparkSession, sf_dir: str) -> str:
     """Write (once per session and input folder) and return the base path."""
     key = (id(spark), sf_dir)
-    if key not in _written:
-        base = scratch_path(spark, "yearly-tables")
-        units = panel_as_units(unit_year_panel(spark, sf_dir))
-        write_indexed(units, f"{base}/tables", order_by=UNIT_ORDER)
-        totals = yearly_total(units, "yr", "area_total", "area_total", MONEY, count_as=None)
-        write_totals(totals.where(F.col("yr") >= FIRST_PUBLISHED_YEAR), f"{base}/totals")
-        _written[key] = base
-    return _written[key]
+    with _lock:
+        if key not in _written:
+            _written[key] = _write_tables(spark, sf_dir)
+        return _written[key]
+
+
+def _write_tables(spark: SparkSession, sf_dir: str) -> str:
+    base = scratch_path(spark, "yearly-tables")
+    units = panel_as_units(unit_year_panel(spark, sf_dir))
+    write_indexed(units, f"{base}/tables", order_by=UNIT_ORDER)
+    totals = yearly_total(units, "yr", "area_total", "area_total", MONEY, count_as=None)
+    write_totals(totals.where(F.col("yr") >= FIRST_PUBLISHED_YEAR), f"{base}/totals")
+    return base
 
 
 _frames: dict[tuple[int, str], tuple[DataFrame, DataFrame, DataFrame]] = {}
@@ -104,11 +112,12 @@ def _frames_for(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame,
     uses them still reads the files, but does not pay again for building
     and analysing the six-layout plan on the driver."""
     key = (id(spark), sf_dir)
-    if key not in _frames:
-        base = write_panel_tables(spark, sf_dir)
-        rows, _ = read_folder(spark, f"{base}/tables")
-        _frames[key] = (rows, read_totals(spark, f"{base}/totals"), conform_units(rows))
-    return _frames[key]
+    with _lock:
+        if key not in _frames:
+            base = write_panel_tables(spark, sf_dir)
+            rows, _ = read_folder(spark, f"{base}/tables")
+            _frames[key] = (rows, read_totals(spark, f"{base}/totals"), conform_units(rows))
+        return _frames[key]
 
 
 def read_back(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
