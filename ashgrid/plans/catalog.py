@@ -17,17 +17,22 @@ from ashgrid.functions import (category, clean_text, null_if, parse_date,
                                split_values, unit_key)
 from ashgrid.functions.numeric import exact_sum, percent_of
 from ashgrid.operators.canonical import canonical
-from ashgrid.operators.causes import (class_totals, component_total,
-                                      cause_totals, unpivot_causes)
+from ashgrid.operators.causes import (CAUSE_OF, cause_totals, class_totals,
+                                      component_total, unpivot_causes)
 from ashgrid.operators.collapse import collapse
 from ashgrid.operators.fuzzy import fuzzy_pairs
 from ashgrid.operators.history import asof_fill, change_flags, history
 from ashgrid.operators.metrics import as_totals_layout, newest_first, yearly_total
 from ashgrid.operators.ordering import index_within
-from ashgrid.operators.quality import check, with_group_stats
+from ashgrid.operators.multivalue import explode_values
+from ashgrid.operators.quality import check, reconcile, with_group_stats
 from ashgrid.plans import drift
 from ashgrid.plans.panel import MONEY, PANEL_CAUSES, PANEL_SQL, unit_year_panel
+from ashgrid.plans.yearly import CAUSE_COLUMNS, EXACT
+from ashgrid.session import scratch_path
+from ashgrid.sources.layouts import CAUSE_PREFIX
 from ashgrid.sources.tables import read_table
+from ashgrid.streaming.yearly_drop import ingest_available
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -345,9 +350,6 @@ SQL_DRIFT_ROUNDTRIP = _drift_cte(
 
 
 def q_drift_cause_area(spark, sf):
-    from ashgrid.plans.yearly import CAUSE_COLUMNS, EXACT
-    from ashgrid.operators.causes import CAUSE_OF
-    from ashgrid.sources.layouts import CAUSE_PREFIX
     u = drift.conformed(spark, sf)
     long = unpivot_causes(u, ["yr"], list(CAUSE_COLUMNS),
                           {CAUSE_PREFIX + k: v for k, v in CAUSE_OF.items()})
@@ -376,8 +378,6 @@ SQL_DRIFT_CAUSE_AREA = _drift_cte(
 
 
 def q_drift_totals_reconcile(spark, sf):
-    from ashgrid.operators.quality import reconcile
-    from ashgrid.plans.yearly import EXACT
     _, published = drift.read_back(spark, sf)
     rec = yearly_total(drift.conformed(spark, sf), "yr", "area_total", "recomputed", EXACT,
                        count_as=None)
@@ -394,8 +394,6 @@ SQL_DRIFT_TOTALS_RECONCILE = _panel_cte(
 
 
 def q_sensor_area(spark, sf):
-    from ashgrid.operators.multivalue import explode_values
-    from ashgrid.plans.yearly import EXACT
     u = drift.conformed(spark, sf).select("yr", "sensors", "area_total")
     ex = explode_values(u, "sensors", "sensor", ["area_total"], allocate="equal")
     return ex.groupBy("yr", "sensor").agg(
@@ -417,8 +415,6 @@ SQL_SENSOR_AREA = _drift_cte(
 # ------------------------------------ incremental ingest (streaming, P15)
 
 def q_stream_ingest(spark, sf):
-    from ashgrid.session import scratch_path
-    from ashgrid.streaming.yearly_drop import ingest_available
     base = drift.write_panel_tables(spark, sf)
     u = ingest_available(spark, f"{base}/tables", scratch_path(spark, "ingest-sink"))
     return u.select(F.col("yr").cast("int").alias("yr"), "src_row", "unit",
