@@ -20,9 +20,11 @@ def round_half_up(c: ColumnOrName, scale: int) -> Column:
 
     The value goes through a decimal first so the tie rule works on the
     printed digits, the same in every engine, rather than on the binary
-    double (where 1.005 is a hair below 1.005).
+    double (where 1.005 is a hair below 1.005).  A value too large for the
+    decimal (beyond 1e26) is returned unrounded instead of failing the query.
     """
-    return F.round(_col(c).cast("decimal(38,12)"), scale).cast("double")
+    x = _col(c)
+    return F.coalesce(F.round(x.try_cast("decimal(38,12)"), scale).cast("double"), x)
 
 
 def percent_of(part: ColumnOrName, whole: ColumnOrName,

@@ -87,6 +87,11 @@ def test_percent_of(spark):
     assert got[1:] == [None, None, None]
 
 
+def test_round_half_up_beyond_decimal_range(spark):
+    df = spark.createDataFrame([(1e30,), (None,)], "x double")
+    assert [r[0] for r in df.select(round_half_up("x", 2)).collect()] == [1e30, None]
+
+
 def test_round_half_up_uses_printed_digits(spark):
     df = spark.createDataFrame([(1.005,), (0.435,), (2.675,), (0.0001,), (-1.005,)], "x double")
     assert [r[0] for r in df.select(round_half_up("x", 2)).collect()] == [1.01, 0.44, 2.68, 0.0, -1.01]
