@@ -10,27 +10,36 @@ ColumnOrName = Column | str
 # Words dropped from unit names when building a matching key.
 STOP_WORDS = ("DE", "DA", "DO", "DAS", "DOS", "E", "RIO")
 
+# Accented capitals and the plain letter a key uses for each (the yearly
+# tables are ASCII; names typed with accents elsewhere still get one key).
+ACCENTED = "ÁÀÂÃÄÉÈÊËÍÌÎÏÓÒÔÕÖÚÙÛÜÇÑ"
+PLAIN = "AAAAAEEEEIIIIOOOOOUUUUCN"
+
 
 def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def clean_text(c: ColumnOrName, marks: str = "*") -> Column:
-    """Trim, drop footnote marks at the end, blank to null."""
+    """Drop footnote marks at the end, collapse runs of blanks to one,
+    trim; blank to null."""
     cls = "".join("\\" + m for m in marks)
     stripped = F.regexp_replace(_col(c), f"\\s*[{cls}]+\\s*$", "")
-    return F.nullif(F.trim(stripped), F.lit(""))
+    single = F.regexp_replace(stripped, "\\s+", " ")
+    return F.nullif(F.trim(single), F.lit(""))
 
 
 def unit_key(c: ColumnOrName, stop_words: tuple[str, ...] = STOP_WORDS) -> Column:
-    """Matching key: upper case, every run of non-alphanumerics becomes one
-    blank, stop words are dropped, words are joined by one blank.
+    """Matching key: upper case, accents dropped, every run of
+    non-alphanumerics becomes one blank, stop words are dropped, words are
+    joined by one blank.
 
     Written with ``regexp_replace`` only (no lambda), so it stays inside
     whole-stage codegen: the name is padded with blanks and each stop word
     is removed together with the blank before it; the lookahead leaves the
     blank after it for the next word."""
-    spaced = F.regexp_replace(F.upper(_col(c)), "[^A-Z0-9]+", " ")
+    plain = F.translate(F.upper(_col(c)), ACCENTED, PLAIN)
+    spaced = F.regexp_replace(plain, "[^A-Z0-9]+", " ")
     padded = F.concat(F.lit(" "), spaced, F.lit(" "))
     alt = "|".join(stop_words)
     dropped = F.regexp_replace(padded, f" (?:{alt})(?= )", "")

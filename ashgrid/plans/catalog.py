@@ -146,7 +146,8 @@ def q_text_clean(spark, sf):
     return p.select("p_partkey", clean_text(raw).alias("name"))
 
 
-SQL_TEXT_CLEAN = "select p_partkey, nullif(trim(p_name), '') as name from part"
+SQL_TEXT_CLEAN = ("select p_partkey, nullif(trim(regexp_replace(p_name, '\\s+', ' ', 'g')), '') "
+                  "as name from part")
 
 # Test-data mapping (ours): order status codes to words; 'P' is unmapped
 # and passes through unchanged.
@@ -228,7 +229,8 @@ def q_unit_key(spark, sf):
 
 SQL_UNIT_KEY = (
     "select p_partkey, nullif(array_to_string(list_filter(string_split(trim(regexp_replace("
-    "upper(concat_ws(' do ', p_name, p_brand)), '[^A-Z0-9]+', ' ', 'g')), ' '), "
+    "translate(upper(concat_ws(' do ', p_name, p_brand)), 'ÁÀÂÃÄÉÈÊËÍÌÎÏÓÒÔÕÖÚÙÛÜÇÑ', "
+    "'AAAAAEEEEIIIIOOOOOUUUUCN'), '[^A-Z0-9]+', ' ', 'g')), ' '), "
     "lambda x: x <> '' and x not in ('DE', 'DA', 'DO', 'DAS', 'DOS', 'E', 'RIO')), ' '), '') "
     "as unit_key from part")
 

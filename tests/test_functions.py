@@ -18,6 +18,7 @@ def one(spark, expr, value, schema="v string"):
     ("PARNA DA SERRA ", "PARNA DA SERRA"),
     ("PARNA DA TIJUCA*", "PARNA DA TIJUCA"),
     ("  X ** ", "X"),
+    ("MATA ATLANTICA  E   CERRADO", "MATA ATLANTICA E CERRADO"),
     ("Landsat ", "Landsat"),
     ("   ", None),
     (None, None),
@@ -33,6 +34,7 @@ def test_clean_text(spark, raw, clean):
     ("REBIO NASCENTES", "REBIO NASCENTES"),
     ("apa da bacia do rio x", "APA BACIA X"),
     ("DE DA DO", None),
+    ("PARNA DA SERRA DOS ÓRGÃOS", "PARNA SERRA ORGAOS"),
 ])
 def test_unit_key(spark, raw, key):
     assert one(spark, unit_key("v"), raw) == key
