@@ -7,7 +7,9 @@ list bounded by ``maxFilesPerTrigger``) to the batch ingest: layout
 detection, typed per-layout reads, union, cleaning.  The result replaces the
 touched year partitions of a parquet table (dynamic partition overwrite),
 so a corrected file for a year replaces that year instead of doubling it.
-Published totals files go to their own table, one partition per batch.
+Yearly totals of the years a batch touched are recomputed from the table
+and replace those years in ``totals``.  Published totals files go to their
+own table, one partition per batch.
 Every write replaces exactly the partitions its batch owns, so a batch run
 again after a failure does not duplicate rows.
 
@@ -24,7 +26,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ashgrid.plans.yearly import conform_units
+from ashgrid.operators.metrics import yearly_total
+from ashgrid.plans.yearly import EXACT, conform_units
 from ashgrid.session import scratch_path
 from ashgrid.sources.yearly_csv import detect_layouts, read_totals, read_year, union_years
 
@@ -57,6 +60,12 @@ def _ingest_batch(spark: SparkSession, sink: str, mode: str):
                 parts.append("ingest_batch")
             (units.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                 .partitionBy(*parts).parquet(f"{sink}/unit_year"))
+            # yearly totals of the touched years, recomputed from the table
+            touched = units.select("yr").distinct()
+            current = session.read.parquet(f"{sink}/unit_year").join(touched, "yr", "left_semi")
+            (yearly_total(current, "yr", "area_total", "area_total", EXACT)
+                .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                .partitionBy("yr").parquet(f"{sink}/totals"))
         if totals_files:
             (read_totals(session, totals_files).withColumn("ingest_batch", F.lit(epoch_id))
                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

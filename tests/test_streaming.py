@@ -32,6 +32,8 @@ def test_drops_are_ingested_once_and_years_replaced(spark, tmp_path):
     lines = FILES["burned_2015.csv"][1][:3]
     land(landing, "burned_2015.csv", "fix/burned_2015.csv", lines)
     assert counts(ingest_available(spark, landing, sink, ckpt)) == {2015: 2, 2018: 5, 2020: 5}
+    totals = {r.yr: (r.area_total, r.n_rows) for r in spark.read.parquet(f"{sink}/totals").collect()}
+    assert totals == {2015: (35.0, 2), 2018: (77.0, 5), 2020: (34.5, 5)}
 
     # nothing new: nothing changes
     assert counts(ingest_available(spark, landing, sink, ckpt)) == {2015: 2, 2018: 5, 2020: 5}
@@ -44,4 +46,6 @@ def test_append_mode_keeps_each_batch(spark, tmp_path):
     land(landing, "burned_2018.csv", "more/burned_2018.csv", FILES["burned_2018.csv"][1][:2])
     df = ingest_available(spark, landing, sink, ckpt, mode="append")
     assert counts(df) == {2018: 6}
+    totals = {r.yr: r.area_total for r in spark.read.parquet(f"{sink}/totals").collect()}
+    assert totals == {2018: 77.0 + 20.0}  # the second file holds one row of 20.0
     assert sorted(r.ingest_batch for r in df.select("ingest_batch").distinct().collect()) == [0, 1]
