@@ -174,3 +174,17 @@ def test_fuzzy_pairs_equal_brute_force(spark, seed, tau):
     df = spark.createDataFrame(rows, "cat string, name string, size double")
     got = {tuple(r) for r in fuzzy_pairs(df, "name", "size", ["cat"], tau, 0.01).collect()}
     assert got == brute_pairs(rows, tau, 0.01)
+
+
+def test_small_helpers(spark):
+    from ashgrid.operators.metrics import project, with_percent
+    from ashgrid.operators.ordering import index_within_small, order_units
+    from ashgrid.operators.quality import dq_tags
+    df = spark.createDataFrame([(2016, "b", 1.0, 4.0), (2015, "z", 2.0, 8.0), (2016, "a", 3.0, 0.0)],
+                               "yr int, unit string, area double, size double")
+    assert [(r.yr, r.unit) for r in order_units(df).collect()] == [(2015, "z"), (2016, "a"), (2016, "b")]
+    assert {r.unit: r.pct for r in with_percent(df).collect()} == {"b": 25.0, "z": 25.0, "a": None}
+    assert project(df, {"area": "A", "yr": "Y"}).columns == ["A", "Y"]
+    assert {r.unit: r.ind for r in index_within_small(df, "yr", ["unit"]).collect()} == {"a": 0, "b": 1, "z": 0}
+    tags = {r.unit: r.dq for r in dq_tags(df, {"no_size": F.col("size") <= 0}).collect()}
+    assert tags == {"b": [], "z": [], "a": ["no_size"]}
