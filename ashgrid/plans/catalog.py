@@ -48,10 +48,24 @@ def _panel_cte(body: str) -> str:
     return f"with panel as ({PANEL_SQL}) {body}"
 
 
+# Checked outputs carry dates as ISO text, written the same way in both
+# engines, so the comparison does not depend on how a client library
+# renders a DATE (a date in one, a midnight timestamp in another).
+def _iso(c) -> F.Column:
+    return F.date_format(c, "yyyy-MM-dd")
+
+
+def _iso_sql(expr: str) -> str:
+    return f"strftime({expr}, '%Y-%m-%d')"
+
+
 # ---------------------------------------------------------------- E items
 
 def q_panel(spark, sf):
-    return unit_year_panel(spark, sf)
+    return unit_year_panel(spark, sf).withColumn("last_update", _iso("last_update"))
+
+
+SQL_PANEL = f"select * replace ({_iso_sql('last_update')} as last_update) from ({PANEL_SQL})"
 
 
 def q_yearly_total(spark, sf):
@@ -134,10 +148,10 @@ def q_date_parse(spark, sf):
     o = read_table(spark, sf, "orders", ["o_orderkey", "o_orderdate"])
     text = F.when(F.year("o_orderdate") < 1998, F.date_format("o_orderdate", "dd/MM/yyyy")) \
             .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
-    return o.select("o_orderkey", parse_date(text).alias("d"))
+    return o.select("o_orderkey", _iso(parse_date(text)).alias("d"))
 
 
-SQL_DATE_PARSE = "select o_orderkey, cast(o_orderdate as date) as d from orders"
+SQL_DATE_PARSE = f"select o_orderkey, {_iso_sql('cast(o_orderdate as date)')} as d from orders"
 
 
 def q_text_clean(spark, sf):
@@ -201,13 +215,14 @@ def q_collapse_keys(spark, sf):
                    F.col("l_quantity").alias("qty"), F.to_date("l_shipdate").alias("last_update"),
                    F.col("l_linestatus").alias("sensors"))
     return collapse(li, ["l_suppkey", "yr"], sum_cols=["qty"], max_cols=["last_update"],
-                    set_cols={"sensors": "/"}, decimal_type=MONEY)
+                    set_cols={"sensors": "/"}, decimal_type=MONEY) \
+        .withColumn("last_update", _iso("last_update"))
 
 
 SQL_COLLAPSE_KEYS = (
     "select l_suppkey, cast(year(l_shipdate) as int) as yr, "
     "cast(sum(cast(l_quantity as decimal(18,2))) as double) as qty, "
-    "max(cast(l_shipdate as date)) as last_update, "
+    f"{_iso_sql('max(cast(l_shipdate as date))')} as last_update, "
     "array_to_string(list_sort(list_distinct(list(l_linestatus))), '/') as sensors, "
     "count(*) as n_rows from lineitem group by l_suppkey, year(l_shipdate)")
 
@@ -327,7 +342,8 @@ SQL_QUALITY_VIOLATIONS = _panel_cte(
 def q_drift_roundtrip(spark, sf):
     u = drift.conformed(spark, sf)
     return u.select("yr", "src_row", "unit", F.col("biome_clean").alias("biome"), "mgmt_group",
-                    F.array_join("sensors", "/").alias("sensors"), "last_update", "area_total",
+                    F.array_join("sensors", "/").alias("sensors"), _iso("last_update").alias("last_update"),
+                    "area_total",
                     "area_unit", "pct_published", "causes_total", "layout")
 
 
@@ -344,7 +360,7 @@ SQL_DRIFT_ROUNDTRIP = _drift_cte(
     "case when layout = 'L6' and size > 0 then seg end as mgmt_group, "
     "case when layout in ('L2', 'L3', 'L4') then case when n_orders > 1 "
     "then 'Landsat/Sentinel' else 'Modis' end end as sensors, "
-    f"case when {_DATED} then last_update end as last_update, "
+    f"case when {_DATED} then {_iso_sql('last_update')} end as last_update, "
     "area as area_total, size as area_unit, "
     f"case when layout in ('L5', 'L6') then cast(round(cast({_PCT} as decimal(38,12)), 2) "
     f"as double) else {_PCT} end as pct_published, "
@@ -421,12 +437,13 @@ def q_stream_ingest(spark, sf):
     u = ingest_available(spark, f"{base}/tables", scratch_path(spark, "ingest-sink"))
     return u.select(F.col("yr").cast("int").alias("yr"), "src_row", "unit",
                     F.col("biome_clean").alias("biome"), "mgmt_group",
-                    F.array_join("sensors", "/").alias("sensors"), "last_update", "area_total",
+                    F.array_join("sensors", "/").alias("sensors"), _iso("last_update").alias("last_update"),
+                    "area_total",
                     "area_unit", "pct_published", "causes_total", "layout")
 
 
 REGISTRY: dict[str, Entry] = {
-    "panel": Entry("E5-E9 input", q_panel, PANEL_SQL),
+    "panel": Entry("E5-E9 input", q_panel, SQL_PANEL),
     "yearly_total": Entry("E10 E11", q_yearly_total, SQL_YEARLY_TOTAL),
     "totals_layout": Entry("E12", q_totals_layout, SQL_TOTALS_LAYOUT),
     "percent_of_size": Entry("E5", q_percent_of_size, SQL_PERCENT_OF_SIZE),
