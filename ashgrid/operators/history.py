@@ -22,36 +22,41 @@ def asof_fill(df: DataFrame, key: str, order: str, attr: str,
     return df.withColumn(out or attr, F.last(attr, ignorenulls=True).over(w))
 
 
-def change_flags(df: DataFrame, key: str, order: str, attr: str, tol: float,
+def change_flags(df: DataFrame, key: str, order: str, attr: str, tol: float | None,
                  prev: str = "prev", flag: str = "changed",
                  version: str = "version") -> DataFrame:
     """Previous value, a change flag and a version number per row.
 
-    A row opens a new version when it is the first of its key or its value
-    moved by more than ``tol`` relative to the previous one (tiny rewrites
-    of the last digits stay in the same version).  Null values never open a
-    version.
+    ``prev`` is the last non-null value before this row, so a year in which
+    the attribute is missing neither opens a version nor hides a change.
+    The first non-null value opens version 1; later rows open a new version
+    when the value moved by more than ``tol`` relative to ``prev`` (numbers:
+    tiny rewrites of the last digits stay in the version) or, with
+    ``tol=None``, whenever it differs at all (text, arrays).  Null rows keep
+    the current version (0 before any value).
     """
     w = Window.partitionBy(key).orderBy(order)
-    p = F.lag(attr).over(w)
-    rel = F.abs(F.col(attr) - F.col(prev)) > F.lit(tol) * F.abs(F.col(prev))
-    changed = (F.when(F.col(prev).isNull(), F.lit(1))
-                .when(F.col(attr).isNull(), F.lit(0))
-                .when(rel, F.lit(1)).otherwise(F.lit(0)))
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    a, p = F.col(attr), F.col(prev)
+    moved = (a != p) if tol is None else (F.abs(a - p) > F.lit(tol) * F.abs(p))
+    changed = (F.when(a.isNull(), F.lit(0)).when(p.isNull(), F.lit(1))
+                .when(moved, F.lit(1)).otherwise(F.lit(0)))
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (df.withColumn(prev, p)
+    return (df.withColumn(prev, F.last(attr, ignorenulls=True).over(before))
               .withColumn(flag, changed.cast("int"))
               .withColumn(version, F.sum(flag).over(running).cast("int")))
 
 
-def history(df: DataFrame, key: str, order: str, attr: str, tol: float,
+def history(df: DataFrame, key: str, order: str, attr: str, tol: float | None,
             value: str = "value", valid_from: str = "valid_from",
             valid_to: str = "valid_to", version: str = "version") -> DataFrame:
     """Type-2 history: one row per (key, version) with the value that opened
-    the version and the first and last ``order`` value it covers."""
+    the version and the first and last ``order`` value it covers.  Rows
+    before the key's first known value (version 0) describe no value and
+    are left out."""
     flagged = change_flags(df, key, order, attr, tol, version=version)
-    return (flagged.groupBy(key, version)
-                   .agg(F.min_by(attr, order).alias(value),
+    return (flagged.where(F.col(version) > 0).groupBy(key, version)
+                   .agg(F.min_by(attr, F.when(F.col(attr).isNotNull(), F.col(order))).alias(value),
                         F.min(order).alias(valid_from),
                         F.max(order).alias(valid_to),
                         F.count(F.lit(1)).alias("n_rows")))

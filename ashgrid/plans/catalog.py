@@ -286,9 +286,10 @@ def q_history_flags(spark, sf):
 _FLAGS_SQL = (
     "select unit, yr, area, prev, changed, cast(sum(changed) over (partition by unit order by yr "
     "rows between unbounded preceding and current row) as integer) as version from ("
-    "select unit, yr, area, prev, cast(case when prev is null then 1 when area is null then 0 "
+    "select unit, yr, area, prev, cast(case when area is null then 0 when prev is null then 1 "
     "when abs(area - prev) > 0.5 * abs(prev) then 1 else 0 end as integer) as changed from ("
-    "select unit, yr, area, lag(area) over (partition by unit order by yr) as prev from panel))")
+    "select unit, yr, area, last_value(area ignore nulls) over (partition by unit order by yr "
+    "rows between unbounded preceding and 1 preceding) as prev from panel))")
 SQL_HISTORY_FLAGS = _panel_cte(_FLAGS_SQL)
 
 
@@ -298,8 +299,9 @@ def q_history_versions(spark, sf):
 
 
 SQL_HISTORY_VERSIONS = _panel_cte(
-    f"select unit, version, arg_min(area, yr) as value, min(yr) as valid_from, "
-    f"max(yr) as valid_to, count(*) as n_rows from ({_FLAGS_SQL}) group by unit, version")
+    f"select unit, version, arg_min(area, case when area is not null then yr end) as value, "
+    f"min(yr) as valid_from, max(yr) as valid_to, count(*) as n_rows from ({_FLAGS_SQL}) "
+    f"where version > 0 group by unit, version")
 
 
 def panel_rules() -> dict:

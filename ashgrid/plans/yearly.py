@@ -6,6 +6,7 @@
                 biome filled as of the year
     cause_area  burned area by (year, unit_key, cause), long form
     unit_dim    size history of each unit (type 2)
+    biome_dim   biome history of each unit (type 2)
     violations  one row per (source row, broken rule)
     totals      recomputed yearly totals beside the published ones
 """
@@ -162,6 +163,7 @@ def build(spark: SparkSession, path: str | list[str],
 
     unit_dim = history(cells, "unit_key", "yr", "area_unit", HISTORY_TOL,
                        value="area_unit")
+    biome_dim = history(cells, "unit_key", "yr", "biomes", None, value="biomes")
 
     recomputed = yearly_total(units, "yr", "area_total", "recomputed", EXACT, count_as=None)
     if published is not None:
@@ -170,7 +172,8 @@ def build(spark: SparkSession, path: str | list[str],
     else:
         totals = recomputed.withColumn("published", F.lit(None).cast("double"))
     return {"unit_year": unit_year_df, "unit_cells": cells, "cause_area": cause_area,
-            "unit_dim": unit_dim, "violations": violations, "totals": totals,
+            "unit_dim": unit_dim, "biome_dim": biome_dim, "violations": violations,
+            "totals": totals,
             "class_totals": class_totals_of(units), "fuzzy_matches": fuzzy_matches(units)}
 
 

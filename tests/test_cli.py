@@ -10,7 +10,7 @@ def test_build_writes_every_table(spark, tmp_path):
     src = write_fixture(str(tmp_path / "in"))
     out = str(tmp_path / "out")
     assert main(["build", src, out]) == 0
-    for name in ["unit_year", "unit_cells", "cause_area", "unit_dim", "violations", "totals",
+    for name in ["unit_year", "unit_cells", "cause_area", "unit_dim", "biome_dim", "violations", "totals",
                  "class_totals", "fuzzy_matches"]:
         assert spark.read.parquet(f"{out}/{name}").count() > 0, name
     lines = open(glob.glob(f"{out}/totals_csv/*.csv")[0]).read().splitlines()

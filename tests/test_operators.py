@@ -125,6 +125,14 @@ def test_explode_values_allocation(spark):
     assert none == [("Landsat", 10.0), ("Modis", 4.0), ("Sentinel", 10.0)]
 
 
+def test_history_of_text_with_missing_years(spark):
+    df = spark.createDataFrame([("u", 2015, None), ("u", 2016, "CAATINGA"), ("u", 2017, None),
+                                ("u", 2018, "CAATINGA"), ("u", 2019, "CERRADO")],
+                               "k string, yr int, b string")
+    h = sorted(tuple(r) for r in history(df, "k", "yr", "b", None).collect())
+    assert h == [("u", 1, "CAATINGA", 2016, 2018, 3), ("u", 2, "CERRADO", 2019, 2019, 1)]
+
+
 def test_check_one_row_per_broken_rule(spark):
     df = spark.createDataFrame([(1, -1.0, 150.0), (2, 5.0, 50.0), (3, 0.0, None)],
                                "id int, size double, pct double")

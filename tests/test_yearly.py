@@ -126,6 +126,13 @@ def test_size_history(tables):
     assert v == [(1, 2015, 2018), (2, 2020, 2020), (3, 2021, 2022), (4, 2023, 2023)]
 
 
+def test_biome_history_carries_missing_years(tables):
+    v = [(r.version, tuple(r.biomes), r.valid_from, r.valid_to)
+         for r in tables["biome_dim"].where("unit_key = 'APA TESTE'").collect()]
+    assert v == [(1, ("CERRADO",), 2015, 2023)]
+    assert tables["biome_dim"].where("unit_key = 'ESEC NOVA UNIDADE'").count() == 0
+
+
 def test_fuzzy_matches(tables):
     got = [(r.name_a, r.name_b, r.dist) for r in tables["fuzzy_matches"].collect()]
     assert got == [("REBIO PARAIBA SUL", "REBIO PARNAIBA SUL", 1)]
@@ -162,3 +169,5 @@ def test_optional_real_folder(spark):
     assert late.where("biomes_asof is not null").count() == 168
     pairs = {(r.name_a, r.name_b) for r in t["fuzzy_matches"].collect()}
     assert len(pairs) == 1
+    changed = t["biome_dim"].groupBy("unit_key").count().where("count > 1")
+    assert changed.count() == 3
