@@ -57,7 +57,8 @@ def _ensure(df: DataFrame, cols) -> DataFrame:
 def conform_units(raw: DataFrame) -> DataFrame:
     """Typed, cleaned columns of our schema (one row per source row)."""
     df = _ensure(raw, ["biome_raw", "sensor_raw", "mgmt_group_raw", "last_update_raw",
-                       "prevention_published", "combat_published", *CAUSE_COLUMNS])
+                       "prevention_published", "combat_published", "malformed_row",
+                       *CAUSE_COLUMNS])
     df = df.withColumns({"unit": clean_text("unit_raw"), "biome_clean": clean_text("biome_raw")})
     df = df.withColumns({
         "unit_key": unit_key("unit"),
@@ -77,7 +78,7 @@ def conform_units(raw: DataFrame) -> DataFrame:
                      "biome_clean", "biomes_as_written", "biomes", "mgmt_group", "sensors",
                      "last_update_raw", "last_update", "area_total", "area_unit",
                      "pct_published", "pct", "causes_total", "prevention_published",
-                     "combat_published", *CAUSE_COLUMNS, "source_file", "layout")
+                     "combat_published", *CAUSE_COLUMNS, "source_file", "layout", "malformed_row")
 
 
 def quality_rules() -> dict:
@@ -104,6 +105,8 @@ def quality_rules() -> dict:
                                     > F.lit(1e-6) * F.greatest(F.lit(1.0), F.abs(F.col("pct")))),
         # different names on one key in one year: the key merged too much
         "key_collision": F.col("key_names") > 1,
+        # too few or too many fields on the line (kept, raw text attached)
+        "malformed_row": F.col("malformed_row").isNotNull(),
     }
 
 

@@ -79,22 +79,38 @@ def _sql_string(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+MALFORMED = "malformed_row"
+
+
 def read_year(spark: SparkSession, files: str | list[str], layout: Layout | str,
-              mode: str = "FAILFAST") -> DataFrame:
+              mode: str = "PERMISSIVE") -> DataFrame:
     """Files of one layout -> our column names, numbers typed, year and
-    source file added.  Dates stay text here (``last_update_raw``)."""
+    source file added.  Dates stay text here (``last_update_raw``).
+
+    A file whose header is not the layout's fails the read in every mode.
+    A row with too few or too many fields is kept in ``PERMISSIVE`` mode,
+    its raw text in ``malformed_row`` for the quality report, so one bad
+    line does not stop a long job; ``FAILFAST`` stops at it instead.
+    """
     if isinstance(layout, str):
         layout = LAYOUTS[layout]
-    raw = (spark.read.schema(string_schema(layout))
-           .option("header", True).option("enforceSchema", False)
-           .option("mode", mode).csv(files))
+    schema = string_schema(layout)
+    reader = (spark.read.option("header", True).option("enforceSchema", False)
+              .option("mode", mode))
+    if mode == "PERMISSIVE":
+        schema = schema.add(T.StructField(MALFORMED, T.StringType(), True))
+        reader = reader.option("columnNameOfCorruptRecord", MALFORMED)
+    raw = reader.schema(schema).csv(files)
     df = raw.select("*", F.col("_metadata.file_path").alias("source_file"))
-    df = df.toDF(*layout.columns, "source_file")
+    if mode == "PERMISSIVE":
+        df = df.toDF(*layout.columns, MALFORMED, "source_file")
+    else:
+        df = df.toDF(*layout.columns, "source_file").withColumn(MALFORMED, F.lit(None).cast("string"))
     # one projection, written as SQL so the JVM builds it in one call
     types = layout.types()
     exprs = [f"try_cast(nullif(trim(`{c}`), '') as {types[c]}) as `{c}`" if c in types
              else f"`{c}`" for c in layout.columns]
-    exprs.append("source_file")
+    exprs += ["source_file", MALFORMED]
     if "yr" not in types:
         by_name, by_dir = (_sql_string(YEAR_FROM_NAME), _sql_string(YEAR_FROM_DIR))
         exprs.append(f"cast(coalesce(nullif(regexp_extract(source_file, {by_name}, 1), ''), "

@@ -40,6 +40,21 @@ def test_wrong_layout_fails_instead_of_misreading(spark, folder):
         read_year(spark, f, "L1").collect()
 
 
+def test_ragged_row_is_kept_and_reported(spark, tmp_path):
+    d = tmp_path / "ragged"
+    d.mkdir()
+    (d / "burned_2016.csv").write_text(
+        "ind,UC,Bioma,Area_queimada,Area_UC,Perc_UC,Data_ult_atual\n"
+        "0,APA UM,CERRADO,1.0,10,10.0,01/01/2016\n"
+        "1,APA DOIS,CERRADO,2.0\n")
+    t = build(spark, str(d))
+    assert t["unit_year"].count() == 2
+    got = [(r.rule, r.src_row) for r in t["violations"].where("rule = 'malformed_row'").collect()]
+    assert got == [("malformed_row", 1)]
+    with pytest.raises(Exception):
+        read_year(spark, str(d / "burned_2016.csv"), "L1", mode="FAILFAST").collect()
+
+
 def test_union_keeps_every_row_and_year(spark, folder):
     rows, totals = read_folder(spark, folder)
     got = {r.yr: r["count"] for r in rows.groupBy("yr").count().collect()}
