@@ -35,7 +35,9 @@ def list_files(spark: SparkSession, path: str | list[str]) -> list[str]:
     """CSV files under a folder / glob, from the file index (nothing is
     read).  Other files (a licence, a readme) are ignored; directories whose
     names start with ``_`` or ``.`` are skipped, as Spark itself does."""
-    df = spark.read.format("text").load(path)
+    # recursive lookup: leaf files only, no partition inference, so loose
+    # files beside year=... folders are listed too
+    df = spark.read.format("text").option("recursiveFileLookup", "true").load(path)
     return sorted(f for f in df.inputFiles() if f.lower().endswith(".csv"))
 
 

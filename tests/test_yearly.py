@@ -55,6 +55,16 @@ def test_ragged_row_is_kept_and_reported(spark, tmp_path):
         read_year(spark, str(d / "burned_2016.csv"), "L1", mode="FAILFAST").collect()
 
 
+def test_loose_files_beside_year_folders(spark, tmp_path):
+    d = tmp_path / "mixed"
+    (d / "year=2016").mkdir(parents=True)
+    head = "ind,UC,Bioma,Area_queimada,Area_UC,Perc_UC,Data_ult_atual\n"
+    (d / "burned_2015.csv").write_text(head + "0,APA UM,CERRADO,1.0,10,10.0,01/01/2015\n")
+    (d / "year=2016" / "part-0.csv").write_text(head + "0,APA UM,CERRADO,2.0,10,20.0,01/01/2016\n")
+    rows, _ = read_folder(spark, str(d))
+    assert sorted((r.yr, r.area_total) for r in rows.collect()) == [(2015, 1.0), (2016, 2.0)]
+
+
 def test_union_keeps_every_row_and_year(spark, folder):
     rows, totals = read_folder(spark, folder)
     got = {r.yr: r["count"] for r in rows.groupBy("yr").count().collect()}
