@@ -3,6 +3,7 @@ not depend on how rows are split, the index is a permutation per group."""
 
 import string
 
+import pytest
 from hypothesis import given, settings, HealthCheck
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -55,3 +56,24 @@ def test_index_is_a_permutation_per_group(spark, rows, parts):
     for g, xs in by.items():
         assert sorted(i for _, i in xs) == list(range(len(xs)))
         assert [u for u, _ in sorted(xs, key=lambda t: t[1])] == sorted(u for u, _ in xs)
+
+
+@pytest.mark.parametrize("seed", [1, 4])
+def test_any_layout_assignment_conforms_to_the_same_table(spark, tmp_path, seed):
+    from ashgrid.plans.drift import UNIT_ORDER, panel_as_units
+    from ashgrid.plans.panel import unit_year_panel
+    from ashgrid.plans.yearly import conform_units, read_folder
+    from ashgrid.sources.export import write_indexed
+    from tests.conftest import SF_SMALL
+    panel = unit_year_panel(spark, SF_SMALL)
+    lids = F.array(*[F.lit(x) for x in ["L1", "L2", "L3", "L4", "L5", "L6"]])
+    units = panel_as_units(panel).withColumn(
+        "layout", F.element_at(lids, (F.col("yr") * seed) % 6 + 1))
+    write_indexed(units, str(tmp_path / "t"), order_by=UNIT_ORDER)
+    rows, _ = read_folder(spark, str(tmp_path / "t"))
+    common = ["yr", "unit", "area_total", "area_unit"]
+    got = sorted(tuple(r) for r in conform_units(rows).select(*common).collect())
+    want = sorted(tuple(r) for r in panel.select(
+        "yr", F.col("unit_name").alias("unit"), F.col("area").alias("area_total"),
+        F.col("size").alias("area_unit")).collect())
+    assert got == want
