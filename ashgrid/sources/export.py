@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -71,11 +72,15 @@ def write_indexed(df: DataFrame, path: str, order_by: list[str] | None = None,
     else:
         df = df.checkpoint(eager=True)
     ids = [lid for lid in sorted(LAYOUTS) if lid != "LT"]
+    # threads inherit the caller's job group and description, so the jobs
+    # can be cancelled and traced with the query that started them
+    @inheritable_thread_target(df.sparkSession)
+    def write_one(lid):
+        write_layout(df.where(F.col(layout_col) == F.lit(lid)), f"{path}/layout={lid}", lid, year,
+                     mode="overwrite", index=index)
+
     with ThreadPoolExecutor(max_workers=len(ids)) as pool:
-        list(pool.map(lambda lid: write_layout(df.where(F.col(layout_col) == F.lit(lid)),
-                                               f"{path}/layout={lid}", lid, year,
-                                               mode="overwrite", index=index),
-                      ids))
+        list(pool.map(write_one, ids))
 
 
 def write_totals(df: DataFrame, path: str, value: str = "area_total", year: str = "yr") -> None:

@@ -20,6 +20,7 @@ import posixpath
 from collections import defaultdict
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,8 +59,10 @@ def detect_layouts(spark: SparkSession, files: list[str]) -> dict[str, list[str]
         by_dir[key].append(f)
     keys = sorted(by_dir)
     # one tiny job per directory; submitted together, Spark runs them at once
+    # (threads inherit the caller's job group and description)
+    header_of = inheritable_thread_target(spark)(lambda k: read_header(spark, by_dir[k][0]))
     with ThreadPoolExecutor(max_workers=min(16, max(1, len(keys)))) as pool:
-        headers = list(pool.map(lambda k: read_header(spark, by_dir[k][0]), keys))
+        headers = list(pool.map(header_of, keys))
     groups: dict[str, list[str]] = defaultdict(list)
     for key, header in zip(keys, headers):
         groups[detect_layout(header).id].extend(by_dir[key])

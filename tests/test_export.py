@@ -19,7 +19,8 @@ def test_indexed_export(spark, tmp_path):
     for f in sorted(glob.glob(f"{out}/layout=*/year=*/*.csv")):
         lid = f.split("layout=")[1].split("/")[0]
         year = int(f.split("year=")[1].split("/")[0])
-        lines = open(f).read().splitlines()
+        with open(f) as fh:
+            lines = fh.read().splitlines()
         assert lines[0] == ",".join(LAYOUTS[lid].header)
         by_year[year].extend(line.split(",") for line in lines[1:])
     assert by_year
