@@ -6,12 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .personal import op6_pii
+from .pieces import op2_sentencepiece
 from .quality import op1_quality
+from .secret_scan import op9_secrets
+from .token_counts import op10_token_counts
 from .toxicity import op7_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op2_sentencepiece": op2_sentencepiece,
+    "op6_pii": op6_pii,
     "op7_toxicity": op7_toxicity,
+    "op9_secrets": op9_secrets,
+    "op10_token_counts": op10_token_counts,
 }
 
 #: Only where SQL can express the operator.
