@@ -40,7 +40,7 @@ from .words import _P, _P_INVERSE, mix
 
 SPACE = "▁"
 #: Words, and pairs of pieces, whose results a worker keeps.
-KEPT = 600_000
+KEPT = 250_000
 _JOINED = regex.compile(rf"[\p{{L}}\p{{M}}][^{SPACE}\p{{L}}\p{{M}}]|[^{SPACE}\p{{L}}\p{{M}}][\p{{L}}\p{{M}}]")
 _PROBE = "  a bÄﬁ c\n"
 
@@ -327,7 +327,7 @@ def encode(docs: DataFrame, model: str, *, objective: str = "bpe", id_col: str =
     """
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         use = codec(model, objective)
-        for lo, hi, texts in slices(batch.column(1), 1 << 23):
+        for lo, hi, texts in slices(batch.column(1), 1 << 21):
             ids, first = use.encode(texts)
             same = [a == b for a, b in zip(texts, use.decode(ids, first), strict=True)]
             yield pa.RecordBatch.from_arrays(
