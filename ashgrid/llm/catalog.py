@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .fingerprints import op4_fingerprints
 from .personal import op6_pii
 from .pieces import op2_sentencepiece
 from .quality import op1_quality
@@ -16,6 +17,7 @@ from .toxicity import op7_toxicity
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_sentencepiece": op2_sentencepiece,
+    "op4_fingerprints": op4_fingerprints,
     "op6_pii": op6_pii,
     "op7_toxicity": op7_toxicity,
     "op9_secrets": op9_secrets,
