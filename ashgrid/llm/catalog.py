@@ -6,20 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontamination import op8_decontamination
 from .fingerprints import op4_fingerprints
+from .jaccard import op3_jaccard_join
 from .personal import op6_pii
 from .pieces import op2_sentencepiece
 from .quality import op1_quality
 from .secret_scan import op9_secrets
+from .sharding import op5_sharding
 from .token_counts import op10_token_counts
 from .toxicity import op7_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_sentencepiece": op2_sentencepiece,
+    "op3_jaccard_join": op3_jaccard_join,
     "op4_fingerprints": op4_fingerprints,
+    "op5_sharding": op5_sharding,
     "op6_pii": op6_pii,
     "op7_toxicity": op7_toxicity,
+    "op8_decontamination": op8_decontamination,
     "op9_secrets": op9_secrets,
     "op10_token_counts": op10_token_counts,
 }
