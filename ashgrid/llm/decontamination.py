@@ -262,6 +262,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
                       "matched_words", "start_word", "end_word")
 
 
+def clean(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id",
+          **options: object) -> DataFrame:
+    """The rows whose id no contaminated document has, with all their columns."""
+    found = contaminated(docs, benchmark, id_col=id_col, **options)
+    bad = found.select(F.col(id_col).alias("__bad")).distinct()
+    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("__bad")), "left_anti")
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Registered query: all documents that hold a benchmark item, with the alignment."""
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

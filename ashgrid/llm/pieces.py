@@ -265,7 +265,7 @@ class Codec:
             else:
                 by_length.setdefault(len(word), []).append(word)
         for length, group in by_length.items():
-            step = max(1, (1 << 21) // (length * 8))      # bounded memory for any length
+            step = max(1, (1 << 18) // (length * 8))      # bounded memory for any length
             for lo in range(0, len(group), step):
                 part = group[lo:lo + step]
                 found, sizes = self.search(part)

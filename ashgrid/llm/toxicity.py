@@ -278,6 +278,19 @@ def score(docs: DataFrame, index: Index, *, id_col: str = "doc_id", text_col: st
                        f"{schema}, score double, predicted int, evidence string")
 
 
+def drop_toxic(docs: DataFrame, index: Index, *, text_col: str = "text",
+               threshold: float = 0.5) -> DataFrame:
+    """The rows scored below ``threshold``, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(index)  # bounded rows and terms
+    where = docs.columns.index(text_col)
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        s, _ = score_texts(batch.column(where), shared.value, 0)
+        yield batch.filter(pa.array(s < threshold))
+
+    return map_batches(docs, run, ", ".join(f"`{c}` {kind(docs, c)}" for c in docs.columns))
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFrame:
     """Up to ``max_rows`` rows with a toxicity label, outside the held-out fifth.
 
