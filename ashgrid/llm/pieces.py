@@ -291,7 +291,7 @@ class Codec:
         new = sorted(set(chain.from_iterable(split)) - self.place.keys())
         if new:
             self._learn(new)
-        counts = np.array([len(ws) for ws in split])
+        counts = np.array([len(ws) for ws in split], np.int64)
         word = np.fromiter(map(self.place.__getitem__, chain.from_iterable(split)), np.int64,
                            counts.sum())
         lo, size = self.first[word], self.first[word + 1] - self.first[word]
