@@ -31,4 +31,28 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 #: Only where SQL can express the operator.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op3_jaccard_join": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w
+            FROM documents),
+        grams AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5
+                THEN [array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)]
+                ELSE [array_to_string(w, ' ')] END) AS g
+            FROM words),
+        sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+        common AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+            FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+        links AS (
+            SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+            WHERE 5 * c >= 4 * (x.n + y.n - c)),
+        reach(doc_id, other) AS (
+            SELECT doc_id, doc_id FROM documents
+            UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other)
+        SELECT r.doc_id, min(r.other) AS class_id,
+               (SELECT count(*) FROM links l WHERE l.a = r.doc_id) AS n_links
+        FROM reach r GROUP BY r.doc_id
+    """,
+}

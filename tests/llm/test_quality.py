@@ -1,0 +1,69 @@
+import numpy as np
+import pyarrow as pa
+
+from ashgrid.llm import quality as Q
+from tests.conftest import SF_ORACLE
+from tests.llm.helpers import ROWS, no_docs, odd_docs, read
+
+
+def entries(texts):
+    out = [dict() for _ in texts]
+    for lo, _, owner, slot, value in Q.features(pa.array(texts)):
+        for o, s, v in zip(owner, slot, value, strict=True):
+            out[lo + o][int(s)] = float(v)
+    return out
+
+
+def test_features_have_unit_length_and_ignore_place():
+    texts = ["Some words here", "", None, "x" * 10, "Some words here"]
+    got = entries(texts)
+    assert got[0] == got[4] and got[1] == got[2] == {}
+    for f in (got[0], got[3]):
+        assert np.isclose(sum(v * v for v in f.values()), 1.0)
+    assert entries(["Some words here"])[0] == got[0]
+
+
+def test_repeats_share_one_feature():
+    a, b = entries(["word word word", "other other other"])
+    assert set(a) & set(b)
+
+
+def test_dot_products_equal_a_plain_sum():
+    weight = np.random.default_rng(0).normal(size=1 << Q.BITS)
+    texts = ["A few words, some more.", "", "THE END!! THE END!!"]
+    got = Q.score_texts(pa.array(texts), weight, Q.BITS, 0.3)
+    want = [1 / (1 + np.exp(-0.3 - sum(weight[s] * v for s, v in f.items()))) for f in entries(texts)]
+    assert np.allclose(got, want)
+
+
+def test_ftrl_separates_and_handles_one_label():
+    rows = [(np.array([1, 2]), np.array([0.6, 0.8]), 1), (np.array([2, 3]), np.array([0.8, 0.6]), 0)] * 20
+    w, b = Q.ftrl(rows, bits=4)
+    assert w[1] > 0 > w[3]
+    w, b = Q.ftrl(rows[::2], bits=4)
+    assert not w.any() and b > 0
+    assert Q.ftrl([], bits=4)[1] == 0.0
+
+
+def test_rows(spark):
+    labelled = spark.createDataFrame([(1, "good text here", 1), (2, "bad ### $$$", 0), (3, None, None)],
+                                     "doc_id long, text string, label int")
+    model = Q.fit(labelled)
+    got = Q.score(odd_docs(spark), model).collect()
+    assert sorted(r.doc_id or 0 for r in got) == sorted(i or 0 for i, _ in ROWS)
+    empty = {r.score for r in got if r.doc_id in (2, 3, 4)}
+    assert len(empty) == 1 and all(0 <= r.score <= 1 for r in got)
+    assert Q.score(no_docs(spark), model).count() == 0
+    assert Q.fit(labelled.limit(0)).intercept == 0.0
+
+
+def test_held_out_accuracy(spark):
+    ids, labels = read(SF_ORACLE, "labels", "doc_id", "quality")
+    known = dict(zip(ids, labels, strict=True))
+    rows = Q.op1_quality(spark, SF_ORACLE).collect()
+    assert len(rows) == 1000
+    held = [r for r in rows if r.held_out and r.doc_id in known]
+    assert len(held) > 50
+    assert np.mean([r.predicted == known[r.doc_id] for r in held]) > 0.95
+    again = {r.doc_id: r.score for r in Q.op1_quality(spark, SF_ORACLE).collect()}
+    assert all(np.isclose(again[r.doc_id], r.score) for r in rows)

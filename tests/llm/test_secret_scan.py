@@ -1,0 +1,75 @@
+import hashlib
+import re
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from ashgrid.llm import secret_scan as X
+from tests.conftest import SF_SMALL
+from tests.llm.helpers import ROWS, no_docs, odd_docs, read
+
+WORD = "|".join("".join(f"[{c.upper()}{c}]" for c in w) for w in
+                ("password", "passwd", "secret", "token"))
+BASE = {
+    "assign": (rf"({WORD}|[Aa][Pp][Ii]_?[Kk][Ee][Yy])" + r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+               lambda m: len(m[2]) >= 12),
+    "access": (r"AKIA[A-Z0-9]+", lambda m: len(m[0]) >= 18),
+    "hex": (r"[0-9a-f]+", lambda m: len(m[0]) >= 16),
+}
+
+
+def base_spans(text):
+    out = [(m.start(), k, name, m.end()) for k, (name, (pattern, good)) in enumerate(BASE.items())
+           for m in re.finditer(pattern, text) if good(m)]
+    return [(name, start, end) for start, _, name, end in sorted(out)]
+
+
+def found(text):
+    return [s[:3] for s in X.find(text) if s[0] in BASE]
+
+
+PARTS = st.sampled_from(["password", "Token", "SECRET", "apikey", "api_key", "passwd", "ſecret", "=", ":",
+                         " ", "'", '"', "AKIA", "ABCDEFGH12345678", "deadbeef", "0123456789abcdef",
+                         "xyz.+/_-", "é", "\n"])
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(PARTS, max_size=14).map("".join))
+def test_base_spans_equal_whole_text_search(text):
+    assert found(text) == base_spans(text)
+
+
+def test_novelty_tells_keys_from_identifiers():
+    code = "client_secret configuration of the service, "
+    key = "k9Xv2QpL7mZr4TtB8wYc"
+    text = code + key
+    assert X.novelty(text, len(code), len(text)) > 0.8
+    word = "authorization_configuration"
+    text = code + word
+    assert X.novelty(text, len(code), len(text)) < 0.5
+    again = f"{key} {key}"
+    assert X.novelty(again, len(key) + 1, len(again)) < 0.5     # known from around it
+
+
+def test_method_adds_spans_in_sensitive_context_only():
+    key = "k9Xv2QpL7mZr4TtB8wYcR5"
+    kinds = [s[0] for s in X.find(f"Authorization Bearer {key} and more")]
+    assert kinds == ["novel"]
+    assert X.find(f"a harmless string {key} here") == []
+    assert X.find("the token authorizationconfiguration here") == []
+
+
+def test_rows(spark):
+    got = X.scan(odd_docs(spark)).collect()
+    assert sorted(r.doc_id or 0 for r in got) == sorted(i or 0 for i, _ in ROWS)
+    assert X.scan(no_docs(spark)).count() == 0
+
+
+def test_query_equals_patterns(spark):
+    ids, texts = read(SF_SMALL, "documents", "doc_id", "text")
+    got = {r.doc_id: r for r in X.op9_secrets(spark, SF_SMALL).collect()}
+    for i, t in zip(ids, texts, strict=True):
+        spans = base_spans(t)
+        joined = ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
+        assert got[i].base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+        assert [got[i][f"n_{k}"] for k in BASE] == [sum(s[0] == k for s in spans) for k in BASE]
