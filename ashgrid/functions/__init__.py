@@ -6,8 +6,7 @@ from ashgrid.functions.numeric import component_sum, percent_of, round_half_up
 from ashgrid.functions.text import (category, clean_text, null_if, split_known,
                                     split_values, unit_key)
 from ashgrid.functions.dates import parse_date
-from ashgrid.functions.casting import cast_safe
 
 __all__ = ["component_sum", "percent_of", "round_half_up", "category",
            "clean_text", "null_if", "split_known", "split_values", "unit_key",
-           "parse_date", "cast_safe"]
+           "parse_date"]

@@ -1,17 +1,11 @@
-"""Percent of size, yearly totals, newest-first order, output projection."""
+"""Yearly totals, newest-first order, the published layout."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ashgrid.functions.numeric import exact_sum, percent_of
-
-
-def with_percent(df: DataFrame, part: str = "area", whole: str = "size",
-                 out: str = "pct", scale: int | None = None) -> DataFrame:
-    """Add ``100 * part / whole`` (rounded half-up to ``scale`` if given)."""
-    return df.withColumn(out, percent_of(part, whole, scale))
+from ashgrid.functions.numeric import exact_sum
 
 
 def yearly_total(df: DataFrame, year: str = "yr", value: str = "area",
@@ -35,11 +29,6 @@ def newest_first(df: DataFrame, year: str = "yr") -> DataFrame:
     return df.orderBy(F.col(year).desc())
 
 
-def project(df: DataFrame, names: dict[str, str]) -> DataFrame:
-    """Select and rename in the given order: ``{source: target}``."""
-    return df.select(*[F.col(s).alias(t) for s, t in names.items()])
-
-
 # Column names and order of the published totals table.
 TOTALS_COLUMNS = ("AREA_QUEIM_ANO", "ano")
 
