@@ -3,20 +3,23 @@
 Structured Streaming discovers the files: a ``binaryFile`` stream over the
 landing folder with only the ``path`` column selected, so file contents are
 never read by the stream itself.  Each micro-batch hands its new paths (a
-list bounded by ``maxFilesPerTrigger``) to the batch ingest: layout
-detection, typed per-layout reads, union, cleaning.  The result replaces the
-touched year partitions of a parquet table (dynamic partition overwrite),
-so a corrected file for a year replaces that year instead of doubling it.
-Yearly totals of the years a batch touched are recomputed from the table
-and replace those years in ``totals``.  Published totals files go to their
-own table, one partition per batch.
-Every write replaces exactly the partitions its batch owns, so a batch run
-again after a failure does not duplicate rows.
-
-The stream's checkpoint lives below the shared ``spark.checkpoint.dir``, so
-a restarted job skips files it has already committed.  Files of one year
-must land in the same micro-batch when ``mode="replace_year"``; use
-``mode="append"`` when a year arrives in several files over time.
+list bounded by ``max_files_per_trigger``) to the batch ingest: layout
+detection, typed per-layout reads, union, cleaning.
+
+What a batch writes is keyed by year and source file, never by batch: the
+rows of a file replace the rows of that file and of nothing else, so the
+result does not depend on how files are dealt to batches, a batch run again
+after a failure doubles nothing, and a new checkpoint loses nothing.
+
+A *delivery* of a year is all its files in one folder.  With
+``mode="replace_year"`` the delivery whose first file is newest is the year
+(a corrected table lands in a folder of its own); older deliveries stay in
+``landed`` and are left out of ``current_units`` and ``totals``.  With
+``mode="append"`` all deliveries count.  Totals of the years that a batch
+touched are recomputed from what is current.
+
+The checkpoint lives beside the sink unless one is named, so a restarted job
+skips files it has already committed.
 """
 
 from __future__ import annotations
@@ -28,9 +31,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ashgrid.operators.metrics import yearly_total
 from ashgrid.plans.yearly import EXACT, conform_units
-from ashgrid.session import scratch_path
-from ashgrid.sources.yearly_csv import detect_layouts, read_totals, read_year, union_years
-
+from ashgrid.sources.yearly_csv import (CSV_GLOB, CSV_NAME, detect_layouts, read_totals, read_year,
+                                        union_years)
 
 # The binaryFile source's fixed schema (streams need it stated).
 BINARY_FILE_SCHEMA = T.StructType([
@@ -40,64 +42,80 @@ BINARY_FILE_SCHEMA = T.StructType([
     T.StructField("content", T.BinaryType(), True),
 ])
 
+MODES = ("replace_year", "append")
+
+
+def _replace(df: DataFrame, path: str, *parts: str) -> None:
+    """Overwrite exactly the partitions that ``df`` holds."""
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy(*parts).parquet(path))
+
+
+def current_units(spark: SparkSession, sink: str, mode: str = "replace_year") -> DataFrame:
+    """The conformed rows that count: of every year's newest delivery, or all."""
+    landed = spark.read.parquet(f"{sink}/landed")
+    if mode == "replace_year":
+        deliveries = landed.groupBy("yr", "delivery").agg(F.min("source_time").alias("since"))
+        newest = deliveries.groupBy("yr").agg(
+            F.max(F.struct("since", "delivery"))["delivery"].alias("delivery"))
+        same = landed["yr"].eqNullSafe(newest["yr"]) & (landed["delivery"] == newest["delivery"])
+        landed = landed.join(newest, same, "left_semi")
+    return landed.drop("source_key", "delivery")
+
 
-def _ingest_batch(spark: SparkSession, sink: str, mode: str):
+def _ingest_batch(sink: str, mode: str):
     def run(batch: DataFrame, epoch_id: int) -> None:
         session = batch.sparkSession
-        paths = sorted(r.path for r in batch.select("path").distinct().collect())
+        paths = sorted(r.path for r in batch.select("path").distinct().collect()
+                       if CSV_NAME.search(r.path))         # bounded by max_files_per_trigger
         if not paths:
             return
         groups = detect_layouts(session, paths)
         totals_files = groups.pop("LT", None)
-        # every write is a dynamic partition overwrite, so a micro-batch that
-        # is run again after a failure replaces its own output, never doubles it
         if groups:
             rows = union_years([read_year(session, fs, lid) for lid, fs in sorted(groups.items())])
-            units = conform_units(rows)
-            parts = ["yr"]
-            if mode == "append":
-                units = units.withColumn("ingest_batch", F.lit(epoch_id))
-                parts.append("ingest_batch")
-            (units.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                .partitionBy(*parts).parquet(f"{sink}/unit_year"))
-            # yearly totals of the touched years, recomputed from the table
-            touched = units.select("yr").distinct()
-            current = session.read.parquet(f"{sink}/unit_year").join(touched, "yr", "left_semi")
-            (yearly_total(current, "yr", "area_total", "area_total", EXACT)
-                .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                .partitionBy("yr").parquet(f"{sink}/totals"))
+            units = conform_units(rows).withColumns({
+                "source_key": F.sha1("source_file"),
+                "delivery": F.regexp_replace("source_file", "/[^/]*$", ""),
+                "ingest_batch": F.lit(epoch_id)})
+            _replace(units, f"{sink}/landed", "yr", "source_key")
+            # the touched years, from what was written
+            written = session.read.parquet(f"{sink}/landed").where(F.col("ingest_batch") == epoch_id)
+            touched = written.select("yr").where("yr is not null").distinct()
+            current = current_units(session, sink, mode).join(touched, "yr", "left_semi")
+            _replace(yearly_total(current, "yr", "area_total", "area_total", EXACT),
+                     f"{sink}/totals", "yr")
         if totals_files:
-            (read_totals(session, totals_files).withColumn("ingest_batch", F.lit(epoch_id))
-                .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                .partitionBy("ingest_batch").parquet(f"{sink}/published_totals"))
+            published = read_totals(session, totals_files).withColumn(
+                "source_key", F.sha1("source_file"))
+            _replace(published, f"{sink}/published_totals", "source_key")
     return run
 
 
 def start_ingest(spark: SparkSession, landing: str, sink: str, checkpoint: str | None = None,
-                 available_now: bool = True, max_files_per_trigger: int | None = None,
+                 available_now: bool = True, max_files_per_trigger: int = 10_000,
                  mode: str = "replace_year", processing_time: str = "1 minute") -> StreamingQuery:
     """Start the stream.  ``available_now`` processes what has landed and
     stops; otherwise it polls every ``processing_time``."""
-    if mode not in ("replace_year", "append"):
+    if mode not in MODES:
         raise ValueError(mode)
-    reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
-              .option("pathGlobFilter", "*.csv")
-              .option("recursiveFileLookup", "true"))
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    files = reader.load(landing).select("path")
-    writer = (files.writeStream.foreachBatch(_ingest_batch(spark, sink, mode))
-              .option("checkpointLocation", checkpoint or scratch_path(spark, "ingest-checkpoint")))
+    sink = sink.rstrip("/")
+    files = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
+             .option("pathGlobFilter", CSV_GLOB).option("recursiveFileLookup", "true")
+             .option("maxFilesPerTrigger", str(max_files_per_trigger))
+             .load(landing).select("path"))
+    writer = (files.writeStream.foreachBatch(_ingest_batch(sink, mode))
+              .option("checkpointLocation", checkpoint or f"{sink}/_ingest_checkpoint"))
     writer = writer.trigger(availableNow=True) if available_now else \
         writer.trigger(processingTime=processing_time)
     return writer.start()
 
 
 def ingest_available(spark: SparkSession, landing: str, sink: str,
-                     checkpoint: str | None = None, **kw) -> DataFrame:
-    """Process everything that has landed, wait, return the conformed table."""
-    q = start_ingest(spark, landing, sink, checkpoint, available_now=True, **kw)
+                     checkpoint: str | None = None, mode: str = "replace_year", **kw) -> DataFrame:
+    """Process everything that has landed, wait, return the conformed rows that count."""
+    q = start_ingest(spark, landing, sink, checkpoint, available_now=True, mode=mode, **kw)
     q.awaitTermination()
     if q.exception():
         raise q.exception()
-    return spark.read.parquet(f"{sink}/unit_year")
+    return current_units(spark, sink.rstrip("/"), mode)
