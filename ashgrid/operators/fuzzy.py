@@ -21,10 +21,11 @@ block, and no candidate is dropped by a cap:
   neighbouring bucket, so one side's sizes are replicated to three buckets
   and sizes are paired by an equi-join on the bucket.
 
-Text is matched on distinct names, so a name repeated on many rows (or
-with many sizes) is compared once and never with itself; every candidate
-name pair is verified with ``levenshtein(a, b, max_dist)``, then sizes are
-attached and checked with the exact rule.  Names equal as text are the same
+The bucket is part of the candidate key, so names meet only where their sizes
+may: names that share a segment but not a size are never paired.  A name is
+never compared with itself; every candidate name pair is verified once with
+``levenshtein(a, b, max_dist)``, then sizes are attached and checked with the
+exact rule.  Names equal as text are the same
 entity (see ``unit_key``) and are not reported.
 """
 
@@ -35,11 +36,14 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ashgrid.session import checkpoint_root
+
 
 def _name_pairs(names: DataFrame, block: list[str], tau: int) -> DataFrame:
     """(block..., name_a, name_b, dist): distinct names of one block within
-    ``tau`` edits, name_a < name_b.  ``names`` holds each (block, name) once,
-    so a name repeated on many rows is compared once."""
+    ``tau`` edits that have sizes in the same or neighbouring buckets, name_a <
+    name_b.  ``names`` holds each (block, name, bucket) once, so a name
+    repeated on many rows is compared once."""
     nseg = tau + 1
 
     def seg_len(L, i):
@@ -54,7 +58,7 @@ def _name_pairs(names: DataFrame, block: list[str], tau: int) -> DataFrame:
     idx = (names.withColumn("__i", F.explode(F.sequence(F.lit(0), F.lit(tau))))
                 .withColumn("__slen", seg_len(F.col("__len"), F.col("__i")))
                 .withColumn("__start", seg_start(F.col("__len"), F.col("__i")))
-                .select(*block, F.col("__len").alias("__L"), "__i",
+                .select(*block, "__bucket", F.col("__len").alias("__L"), "__i",
                         F.col("__name").substr(F.col("__start") + 1, F.col("__slen")).alias("__seg"),
                         F.col("__name").alias("__name_s")))
     probe = (names.withColumn("__d", F.explode(F.sequence(F.lit(0), F.lit(tau))))
@@ -67,11 +71,13 @@ def _name_pairs(names: DataFrame, block: list[str], tau: int) -> DataFrame:
                   .withColumn("__slen", seg_len(F.col("__L"), F.col("__i")))
                   .withColumn("__q", seg_start(F.col("__L"), F.col("__i")) + F.col("__shift"))
                   .where((F.col("__q") >= 0) & (F.col("__q") + F.col("__slen") <= F.col("__len")))
-                  .select(*block, "__L", "__i",
+                  .withColumn("__near", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))))
+                  .select(*block, (F.col("__bucket") + F.col("__near")).alias("__bucket"),
+                          "__L", "__i",
                           F.col("__name").substr(F.col("__q") + 1, F.col("__slen")).alias("__seg"),
                           F.col("__name").alias("__name_r"))
                   .distinct())
-    cand = (probe.join(idx, [*block, "__L", "__i", "__seg"], "inner")
+    cand = (probe.join(idx, [*block, "__bucket", "__L", "__i", "__seg"], "inner")
                  .where(F.col("__name_r") != F.col("__name_s"))
                  .select(*block, F.least("__name_r", "__name_s").alias("name_a"),
                          F.greatest("__name_r", "__name_s").alias("name_b"))
@@ -85,7 +91,7 @@ def fuzzy_pairs(df: DataFrame, name: str, size: str, block: list[str],
     """(block..., name_a, name_b, size_a, size_b, dist) with name_a < name_b,
     ``levenshtein <= max_dist`` and ``|size_a - size_b| < size_tol * max``.
 
-    Text is matched on distinct (block, name) first; sizes are attached
+    Text is matched on distinct (block, name, size bucket) first; sizes are attached
     afterwards through an equi-join on neighbouring size buckets, so a name
     seen with many sizes is neither compared with itself nor paired with
     every size of its partner.
@@ -97,7 +103,10 @@ def fuzzy_pairs(df: DataFrame, name: str, size: str, block: list[str],
         ent = ent.where(F.col(b).isNotNull())
     ent = (ent.where(F.col("__name").isNotNull() & (F.col("__size") > 0)).distinct()
               .withColumn("__bucket", F.floor(F.log("__size") / F.lit(width))))
-    pairs = _name_pairs(ent.select(*block, "__name").distinct(), block, tau)
+    # the entities feed four branches: computed once
+    checkpoint_root(df.sparkSession)
+    ent = ent.checkpoint(eager=True)
+    pairs = _name_pairs(ent.select(*block, "__name", "__bucket").distinct(), block, tau)
 
     a = ent.select(*block, F.col("__name").alias("name_a"), F.col("__size").alias("size_a"),
                    F.col("__bucket").alias("__bucket_a"))

@@ -23,28 +23,42 @@ def asof_fill(df: DataFrame, key: str, order: str, attr: str,
 
 
 def change_flags(df: DataFrame, key: str, order: str, attr: str, tol: float | None,
-                 prev: str = "prev", flag: str = "changed",
+                 opened: str = "opened", flag: str = "changed",
                  version: str = "version") -> DataFrame:
-    """Previous value, a change flag and a version number per row.
-
-    ``prev`` is the last non-null value before this row, so a year in which
-    the attribute is missing neither opens a version nor hides a change.
-    The first non-null value opens version 1; later rows open a new version
-    when the value moved by more than ``tol`` relative to ``prev`` (numbers:
-    tiny rewrites of the last digits stay in the version) or, with
-    ``tol=None``, whenever it differs at all (text, arrays).  Null rows keep
-    the current version (0 before any value).
+    """The value that opened each row's version, a change flag, a version number.
+
+    The first non-null value opens version 1.  A later row opens a new one
+    when its value is off the opening value of the running version by more
+    than ``tol`` relative to it (numbers: rewrites of the last digits stay, a
+    slow drift does not) or, with ``tol=None``, whenever it differs at all
+    (text, arrays).  A row without a value keeps the version (0 before any).
+
+    Which value opened a version depends on all versions before, so a key's
+    values are folded in order: one array a key, one entry per row of it (at
+    most one a year).
     """
-    w = Window.partitionBy(key).orderBy(order)
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    a, p = F.col(attr), F.col(prev)
-    moved = (a != p) if tol is None else (F.abs(a - p) > F.lit(tol) * F.abs(p))
-    changed = (F.when(a.isNull(), F.lit(0)).when(p.isNull(), F.lit(1))
-                .when(moved, F.lit(1)).otherwise(F.lit(0)))
-    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (df.withColumn(prev, F.last(attr, ignorenulls=True).over(before))
-              .withColumn(flag, changed.cast("int"))
-              .withColumn(version, F.sum(flag).over(running).cast("int")))
+    rows = (df.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(
+        F.col(order).alias("o"), F.col(attr).alias("a")))).alias("__rows")))
+    item = df.schema[attr].dataType.simpleString()
+    step = f"struct<o:{df.schema[order].dataType.simpleString()},opened:{item},changed:int,version:int>"
+
+    def fold(done: F.Column, row: F.Column) -> F.Column:
+        last = F.try_element_at(done, F.lit(-1))
+        base, number = last["opened"], F.coalesce(last["version"], F.lit(0))
+        moved = (row["a"] != base) if tol is None else (
+            F.abs(row["a"] - base) > F.lit(tol) * F.abs(base))
+        new = row["a"].isNotNull() & (base.isNull() | moved)
+        return F.concat(done, F.array(F.struct(
+            row["o"].alias("o"), F.when(new, row["a"]).otherwise(base).alias("opened"),
+            F.when(new, 1).otherwise(0).alias("changed"),
+            F.when(new, number + 1).otherwise(number).alias("version")).cast(step)))
+
+    flags = rows.select(F.col(key).alias("__k"), F.explode(F.aggregate(
+        "__rows", F.array().cast(f"array<{step}>"), fold)).alias("__f"))
+    flags = flags.select("__k", F.col("__f.o").alias("__o"), F.col("__f.opened").alias(opened),
+                         F.col("__f.changed").alias(flag), F.col("__f.version").alias(version))
+    same = F.col(key).eqNullSafe(F.col("__k")) & F.col(order).eqNullSafe(F.col("__o"))
+    return df.join(flags, same).drop("__k", "__o")
 
 
 def history(df: DataFrame, key: str, order: str, attr: str, tol: float | None,
@@ -56,7 +70,7 @@ def history(df: DataFrame, key: str, order: str, attr: str, tol: float | None,
     are left out."""
     flagged = change_flags(df, key, order, attr, tol, version=version)
     return (flagged.where(F.col(version) > 0).groupBy(key, version)
-                   .agg(F.min_by(attr, F.when(F.col(attr).isNotNull(), F.col(order))).alias(value),
+                   .agg(F.first("opened").alias(value),
                         F.min(order).alias(valid_from),
                         F.max(order).alias(valid_to),
                         F.count(F.lit(1)).alias("n_rows")))

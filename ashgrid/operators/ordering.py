@@ -10,18 +10,7 @@ from ashgrid.session import checkpoint_root
 _POS_BITS = 33  # monotonically_increasing_id: partition index above bit 33
 
 
-def order_units(df: DataFrame, year: str = "yr", unit: str = "unit") -> DataFrame:
-    """Year, then unit name in binary (code point) order."""
-    return df.orderBy(F.col(year), F.col(unit))
-
-
-# Offset tables up to this many rows (about 30 MB) are broadcast to the
-# sorted rows; larger ones are joined with a shuffle.
-MAX_BROADCAST_OFFSETS = 1_000_000
-
-
-def index_within(df: DataFrame, group: str, order: list[str], out: str = "ind",
-                 max_broadcast_rows: int = MAX_BROADCAST_OFFSETS) -> DataFrame:
+def index_within(df: DataFrame, group: str, order: list[str], out: str = "ind") -> DataFrame:
     """0-based position of each row inside its group, by ``order``.
 
     ``row_number()`` over ``partitionBy(group)`` would sort a whole group in
@@ -38,9 +27,8 @@ def index_within(df: DataFrame, group: str, order: list[str], out: str = "ind",
        task's offset inside the group;
     4. index = offset + position - first position.
 
-    The offset table has at most tasks + groups rows.  It is checkpointed and
-    counted; under ``max_broadcast_rows`` it is broadcast, so the sorted rows
-    are not shuffled again, otherwise both sides are shuffled on the keys.
+    The offset table has at most tasks + groups rows; Spark broadcasts it or
+    shuffles both sides by its measured size.
     """
     pos, part = "__pos", "__part"
     tagged = (df.orderBy(F.col(group), *[F.col(c) for c in order])
@@ -56,17 +44,8 @@ def index_within(df: DataFrame, group: str, order: list[str], out: str = "ind",
                   .select(F.col(part).alias("__spart"), F.col(group).alias("__sgroup"),
                           "__first", "__offset")
                   .checkpoint(eager=True))
-    if stats.count() <= max_broadcast_rows:
-        stats = F.broadcast(stats)
     on = (F.col(part) == F.col("__spart")) & F.col(group).eqNullSafe(F.col("__sgroup"))
     idx = (F.col("__offset") + F.col(pos) - F.col("__first"))
     return (tagged.join(stats, on, "inner")
                   .withColumn(out, idx)
                   .drop(pos, part, "__spart", "__sgroup", "__first", "__offset"))
-
-
-def index_within_small(df: DataFrame, group: str, order: list[str], out: str = "ind") -> DataFrame:
-    """Same numbering with ``row_number``; only for groups known to be small
-    (a whole group is sorted in one task)."""
-    w = Window.partitionBy(group).orderBy(*[F.col(c) for c in order])
-    return df.withColumn(out, F.row_number().over(w) - 1)

@@ -43,32 +43,30 @@ def with_group_stats(df: DataFrame, groups: list[tuple[list[str], list[Column]]]
     return out
 
 
-def with_key_count(df: DataFrame, keys: list[str], out: str = "key_count") -> DataFrame:
-    """Rows sharing the key, for a uniqueness rule."""
-    return with_group_stats(df, [(keys, [F.count(F.lit(1)).alias(out)])])
-
-
-def with_group_median(df: DataFrame, key: str, value: str, out: str) -> DataFrame:
-    """Exact median of ``value`` over the key's rows.  Spark's exact
-    percentile keeps a value -> count map per group and merges partial
-    maps, so a hot key costs memory by its distinct values, not its rows."""
-    return with_group_stats(df, [([key], [F.median(value).alias(out)])])
-
-
-def reconcile(recomputed: DataFrame, published: DataFrame, key: str,
+def reconcile(recomputed: DataFrame, published: DataFrame | None, key: str,
               rec_value: str = "recomputed", pub_value: str = "published",
               tol: float = 1e-6) -> DataFrame:
-    """Full outer join on ``key``; every key of either side is reported.
+    """Full outer join on ``key``; every key of either side is reported once.
 
     status: ``ok`` (relative difference within ``tol``), ``mismatch``,
-    ``missing_published`` or ``missing_recomputed``.
+    ``missing_published``, ``missing_recomputed``, or ``conflict`` where one
+    key was published with two values (the least is shown).  The columns are
+    the same without published values (``None``); published rows of null key
+    are left out.
     """
     r = recomputed.select(F.col(key).alias("__rk"), F.col(rec_value).alias(rec_value))
-    p = published.select(F.col(key).alias("__pk"), F.col(pub_value).alias(pub_value))
+    if published is None:
+        p = r.select(F.col("__rk").alias("__pk"), F.lit(None).cast("double").alias(pub_value),
+                     F.lit(False).alias("__conflict")).limit(0)
+    else:
+        p = (published.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__pk"))
+             .agg(F.min(pub_value).alias(pub_value),
+                  (F.min(pub_value) != F.max(pub_value)).alias("__conflict")))
     j = r.join(p, F.col("__rk") == F.col("__pk"), "full_outer")
     diff = F.col(rec_value) - F.col(pub_value)
     ok = F.abs(diff) <= F.lit(tol) * F.greatest(F.lit(1.0), F.abs(F.col(pub_value)))
-    status = (F.when(F.col(pub_value).isNull(), F.lit("missing_published"))
+    status = (F.when(F.col("__conflict"), F.lit("conflict"))
+               .when(F.col(pub_value).isNull(), F.lit("missing_published"))
                .when(F.col(rec_value).isNull(), F.lit("missing_recomputed"))
                .when(ok, F.lit("ok")).otherwise(F.lit("mismatch")))
     return j.select(F.coalesce("__rk", "__pk").alias(key), rec_value, pub_value,

@@ -14,7 +14,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ashgrid.session import checkpoint_root
+from ashgrid.session import scratch_path
 from ashgrid.sources.layouts import LAYOUTS, Layout
 
 # Date format of the "last update" column by layout.
@@ -56,28 +56,29 @@ def write_indexed(df: DataFrame, path: str, order_by: list[str] | None = None,
     """Write each row in the layout named by ``layout_col``, the 0-based
     index within its year first.
 
-    With ``order_by`` the index is computed here (``index_within``): a
-    global range sort, checkpointed, so every task holds one contiguous
-    index range and the part files of a year, in name order, list the rows
-    in index order.  Without it ``df`` must carry ``index`` already and is
-    checkpointed as it is; rows are then in index order within each file.
-    One write job per layout, into its own ``layout=Lx`` folder, so the jobs
-    never share a committer's staging folder and run together; each job
-    overwrites its folder, so a retried export replaces rather than doubles.
+    With ``order_by`` the index is computed here (``index_within``); without
+    it ``df`` must carry ``index`` already.  The indexed rows are written once
+    as parquet partitioned by layout, so each layout's job reads only its own
+    rows, and is sorted again by (year, index): the part files of a year, in
+    name order, list the rows in index order.  One write job per layout, into
+    its own ``layout=Lx`` folder, so the jobs never share a committer's staging
+    folder and run together; each job overwrites its folder, so a retried
+    export replaces rather than doubles.
     """
     from ashgrid.operators.ordering import index_within
-    checkpoint_root(df.sparkSession)
+    spark = df.sparkSession
     if order_by is not None:
         df = index_within(df, year, order_by, index)
-    else:
-        df = df.checkpoint(eager=True)
+    staged = scratch_path(spark, "export")
+    df.write.partitionBy(layout_col).parquet(staged)
+    staged_rows = spark.read.schema(df.schema).parquet(staged)
     ids = [lid for lid in sorted(LAYOUTS) if lid != "LT"]
     # threads inherit the caller's job group and description, so the jobs
     # can be cancelled and traced with the query that started them
-    @inheritable_thread_target(df.sparkSession)
+    @inheritable_thread_target(spark)
     def write_one(lid):
-        write_layout(df.where(F.col(layout_col) == F.lit(lid)), f"{path}/layout={lid}", lid, year,
-                     mode="overwrite", index=index)
+        own = staged_rows.where(F.col(layout_col) == F.lit(lid)).orderBy(year, index)
+        write_layout(own, f"{path}/layout={lid}", lid, year, mode="overwrite", index=index)
 
     with ThreadPoolExecutor(max_workers=len(ids)) as pool:
         list(pool.map(write_one, ids))
