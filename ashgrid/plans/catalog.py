@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ashgrid.functions import (category, clean_text, null_if, parse_date,
+from ashgrid.functions import (category, clean_text, null_if, parse_date, split_known,
                                split_values, unit_key)
 from ashgrid.functions.numeric import exact_sum, percent_of
 from ashgrid.operators.canonical import canonical
@@ -23,13 +23,13 @@ from ashgrid.operators.collapse import collapse
 from ashgrid.operators.fuzzy import fuzzy_pairs
 from ashgrid.operators.history import asof_fill, change_flags, history
 from ashgrid.operators.metrics import as_totals_layout, newest_first, yearly_total
-from ashgrid.operators.ordering import index_within
 from ashgrid.operators.multivalue import explode_values
+from ashgrid.operators.ordering import index_within
 from ashgrid.operators.quality import check, reconcile, with_group_stats
 from ashgrid.plans import drift
 from ashgrid.plans.panel import MONEY, PANEL_CAUSES, PANEL_SQL, unit_year_panel
-from ashgrid.plans.yearly import CAUSE_COLUMNS, EXACT
-from ashgrid.session import scratch_path
+from ashgrid.plans.yearly import CAUSE_COLUMNS, EXACT, conform_units
+from ashgrid.session import checkpoint_root, scratch_path
 from ashgrid.sources.layouts import CAUSE_PREFIX
 from ashgrid.sources.tables import read_table
 from ashgrid.streaming.yearly_drop import ingest_available
@@ -283,14 +283,19 @@ def q_history_flags(spark, sf):
     return change_flags(df, "unit", "yr", "area", 0.5)
 
 
-_FLAGS_SQL = (
-    "select unit, yr, area, prev, changed, cast(sum(changed) over (partition by unit order by yr "
-    "rows between unbounded preceding and current row) as integer) as version from ("
-    "select unit, yr, area, prev, cast(case when area is null then 0 when prev is null then 1 "
-    "when abs(area - prev) > 0.5 * abs(prev) then 1 else 0 end as integer) as changed from ("
-    "select unit, yr, area, last_value(area ignore nulls) over (partition by unit order by yr "
-    "rows between unbounded preceding and 1 preceding) as prev from panel))")
-SQL_HISTORY_FLAGS = _panel_cte(_FLAGS_SQL)
+# The opening value of a version depends on the version before: one step a row.
+_FLAGS_CTE = (
+    "n as (select unit, yr, area, row_number() over (partition by unit order by yr) as i from panel), "
+    "f as (select unit, yr, area, i, area as opened, cast(case when area is null then 0 else 1 end "
+    "as integer) as changed, cast(case when area is null then 0 else 1 end as integer) as version "
+    "from n where i = 1 union all "
+    "select unit, yr, area, i, case when moved then area else opened end as opened, "
+    "cast(moved as integer) as changed, version + cast(moved as integer) as version from ("
+    "select n.unit, n.yr, n.area, n.i, f.opened, f.version, n.area is not null and (f.opened is null "
+    "or abs(n.area - f.opened) > 0.5 * abs(f.opened)) as moved "
+    "from f join n on n.unit = f.unit and n.i = f.i + 1)) ")
+_FLAGS_SQL = "select unit, yr, area, opened, changed, version from f"
+SQL_HISTORY_FLAGS = f"with recursive panel as ({PANEL_SQL}), {_FLAGS_CTE} {_FLAGS_SQL}"
 
 
 def q_history_versions(spark, sf):
@@ -298,10 +303,10 @@ def q_history_versions(spark, sf):
     return history(df, "unit", "yr", "area", 0.5)
 
 
-SQL_HISTORY_VERSIONS = _panel_cte(
-    f"select unit, version, arg_min(area, case when area is not null then yr end) as value, "
-    f"min(yr) as valid_from, max(yr) as valid_to, count(*) as n_rows from ({_FLAGS_SQL}) "
-    f"where version > 0 group by unit, version")
+SQL_HISTORY_VERSIONS = (
+    f"with recursive panel as ({PANEL_SQL}), {_FLAGS_CTE} "
+    "select unit, version, any_value(opened) as value, min(yr) as valid_from, max(yr) as valid_to, "
+    f"count(*) as n_rows from ({_FLAGS_SQL}) where version > 0 group by unit, version")
 
 
 def panel_rules() -> dict:
@@ -317,7 +322,10 @@ def panel_rules() -> dict:
 
 
 def q_quality_violations(spark, sf):
-    df = component_total(unit_year_panel(spark, sf), list(PANEL_CAUSES), "causes_total", MONEY)
+    checkpoint_root(spark)
+    # three uses of the panel: computed once
+    df = component_total(unit_year_panel(spark, sf), list(PANEL_CAUSES), "causes_total",
+                         MONEY).checkpoint(eager=True)
     df = with_group_stats(df, [(["unit", "yr"], [F.count(F.lit(1)).alias("key_count")]),
                                (["unit"], [F.median("size").alias("size_median")])])
     return check(df, panel_rules(), ["unit", "yr"])
@@ -398,9 +406,8 @@ SQL_DRIFT_CAUSE_AREA = _drift_cte(
 
 
 def q_drift_totals_reconcile(spark, sf):
-    _, published = drift.read_back(spark, sf)
-    rec = yearly_total(drift.conformed(spark, sf), "yr", "area_total", "recomputed", EXACT,
-                       count_as=None)
+    rows, published = drift.read_back(spark, sf)
+    rec = yearly_total(conform_units(rows), "yr", "area_total", "recomputed", EXACT, count_as=None)
     return reconcile(rec, published.withColumnRenamed("area_total", "published"), "yr", tol=1e-9)
 
 
@@ -434,9 +441,9 @@ SQL_SENSOR_AREA = _drift_cte(
 
 # ------------------------------------ incremental ingest (streaming, P15)
 
-def q_stream_ingest(spark, sf):
+def _streamed(spark, sf, **options):
     base = drift.write_panel_tables(spark, sf)
-    u = ingest_available(spark, f"{base}/tables", scratch_path(spark, "ingest-sink"))
+    u = ingest_available(spark, f"{base}/tables", scratch_path(spark, "ingest-sink"), **options)
     return u.select(F.col("yr").cast("int").alias("yr"), "src_row", "unit",
                     F.col("biome_clean").alias("biome"), "mgmt_group",
                     F.array_join("sensors", "/").alias("sensors"), _iso("last_update").alias("last_update"),
@@ -444,6 +451,129 @@ def q_stream_ingest(spark, sf):
                     "area_unit", "pct_published", "causes_total", "layout")
 
 
+def q_stream_ingest(spark, sf):
+    return _streamed(spark, sf)
+
+
+def q_stream_ingest_single(spark, sf):
+    """One file a batch: the result is that of all files at once."""
+    return _streamed(spark, sf, max_files_per_trigger=1)
+
+
+# ------------------------ rules and statuses on data where every one fires
+
+def q_drift_malformed(spark, sf):
+    rows, _ = drift.read_back(spark, sf, malformed=True)
+    bad = F.col("malformed_row").isNotNull()
+    return conform_units(rows).groupBy("yr").agg(
+        exact_sum("area_total", EXACT).alias("area_total"), F.count_if(bad).alias("n_malformed"),
+        F.count_if(bad & F.coalesce("unit", F.col("area_total").cast("string")).isNotNull())
+        .alias("n_malformed_with_values"))
+
+
+SQL_DRIFT_MALFORMED = _panel_cte(
+    "select yr, cast(sum(cast(area as decimal(18,2))) as double) as area_total, "
+    "count(*) filter (where yr = 2001) as n_malformed, cast(0 as bigint) as n_malformed_with_values "
+    "from panel group by yr")
+
+
+def q_quality_lineitem(spark, sf):
+    li = read_table(spark, sf, "lineitem", ["l_orderkey", "l_suppkey", "l_linenumber", "l_quantity",
+                                            "l_extendedprice", "l_discount", "l_shipdate"])
+    orders = read_table(spark, sf, "orders", ["o_orderkey", "o_orderdate"])
+    keys = li.groupBy("l_orderkey", "l_suppkey").agg(F.count(F.lit(1)).alias("key_count"))
+    df = (li.join(keys, ["l_orderkey", "l_suppkey"], "left")
+            .join(orders, F.col("l_orderkey") == F.col("o_orderkey")))
+    return check(df, {
+        "duplicate_key": F.col("key_count") > 1,
+        "causes_mismatch": F.abs(F.col("l_extendedprice") - F.lit(1500.0) * F.col("l_quantity"))
+                           > F.lit(0.2) * F.col("l_extendedprice"),
+        "date_outside_year": (F.year("l_shipdate") < F.year("o_orderdate"))
+                             | (F.year("l_shipdate") > F.year("o_orderdate") + 1),
+        "pct_out_of_range": F.lit(2000) * F.col("l_discount") > 100,
+    }, ["l_orderkey", "l_linenumber"])
+
+
+SQL_QUALITY_LINEITEM = (
+    "select rule, l_orderkey, l_linenumber from (select *, count(*) over (partition by l_orderkey, "
+    "l_suppkey) as key_count from lineitem) t join orders on l_orderkey = o_orderkey, lateral (select unnest(["
+    "case when key_count > 1 then 'duplicate_key' end, "
+    "case when abs(l_extendedprice - 1500.0::double * l_quantity) > 0.2::double * l_extendedprice "
+    "then 'causes_mismatch' end, "
+    "case when year(l_shipdate) < year(o_orderdate) or year(l_shipdate) > year(o_orderdate) + 1 "
+    "then 'date_outside_year' end, "
+    "case when 2000 * l_discount > 100 then 'pct_out_of_range' end]) as rule) r where rule is not null")
+
+
+def q_reconcile_statuses(spark, sf):
+    """Published totals that agree, differ, conflict and lack a year on either side."""
+    rec = yearly_total(unit_year_panel(spark, sf), "yr", "area", "recomputed", MONEY, count_as=None)
+    pub = rec.select("yr", F.when(F.col("yr") == 1995, F.col("recomputed") + 5)
+                     .otherwise(F.col("recomputed")).alias("published")).where("yr > 1993")
+    late = pub.where("yr in (1996, 1997)").select(
+        F.when(F.col("yr") == 1997, F.col("yr") + 1000).otherwise(F.col("yr")).alias("yr"),
+        (F.col("published") + 1).alias("published"))
+    return reconcile(rec, pub.unionByName(late).unionByName(pub.where("yr = 1998")), "yr", tol=1e-9)
+
+
+SQL_RECONCILE_STATUSES = _panel_cte(
+    ", t as (select yr, cast(sum(cast(area as decimal(18,2))) as double) as r from panel group by yr), "
+    "p as (select yr, case when yr = 1995 then r + 5 else r end as p from t where yr > 1993 "
+    "union all select 2997, r + 1 from t where yr = 1997) "
+    "select coalesce(t.yr, p.yr) as yr, r as recomputed, p as published, r - p as diff, "
+    "case when t.yr = 1996 then 'conflict' when p is null then 'missing_published' "
+    "when r is null then 'missing_recomputed' when t.yr = 1995 then 'mismatch' else 'ok' end as status "
+    "from t full join p on t.yr = p.yr")
+
+
+def q_canonical_table(spark, sf):
+    """Names replaced through a mapping table that repeats its keys."""
+    nation = read_table(spark, sf, "nation", ["n_nationkey", "n_name", "n_regionkey"])
+    region = read_table(spark, sf, "region", ["r_regionkey", "r_name"])
+    mapping = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).where(
+        "n_regionkey <> 2").select(F.col("n_name").alias("raw"), F.col("r_name").alias("canonical"))
+    cust = read_table(spark, sf, "customer", ["c_custkey", "c_nationkey"]).join(
+        nation, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "n_name")
+    return canonical(cust, "n_name", mapping.unionByName(mapping), out="name").select(
+        "c_custkey", "name")
+
+
+SQL_CANONICAL_TABLE = (
+    "select c_custkey, case when n_regionkey <> 2 then r_name else n_name end as name from customer "
+    "join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey")
+
+
+def q_split_known(spark, sf):
+    """Two known values in one text are split, an unknown one keeps it whole."""
+    c = read_table(spark, sf, "customer", ["c_custkey", "c_mktsegment", "c_acctbal"])
+    known = ("AUTOMOBILE", "BUILDING", "FURNITURE", "MACHINERY")
+    text = F.when(F.col("c_acctbal") > 0, F.concat("c_mktsegment", F.lit(" E BUILDING"))) \
+            .otherwise(F.col("c_mktsegment"))
+    return c.select("c_custkey", F.array_join(split_known(text, known), "|").alias("parts"))
+
+
+SQL_SPLIT_KNOWN = (
+    "select c_custkey, case when c_acctbal > 0 then c_mktsegment || case when c_mktsegment in "
+    "('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'MACHINERY') then '|BUILDING' else ' E BUILDING' end "
+    "else c_mktsegment end as parts from customer")
+
+
+def q_asof_changes(spark, sf):
+    """As-of fill of an attribute that changes over the years and is missing in odd ones."""
+    o = read_table(spark, sf, "orders", ["o_custkey", "o_orderdate", "o_orderpriority"])
+    seen = o.groupBy(F.col("o_custkey").alias("unit"), F.year("o_orderdate").cast("int").alias("yr")) \
+        .agg(F.max("o_orderpriority").alias("p"))
+    seen = seen.select("unit", "yr", F.when(F.col("yr") % 2 == 0, F.col("p")).alias("seen"))
+    return asof_fill(seen, "unit", "yr", "seen", "filled")
+
+
+SQL_ASOF_CHANGES = (
+    "select unit, yr, seen, last_value(seen ignore nulls) over (partition by unit order by yr rows "
+    "between unbounded preceding and current row) as filled from (select o_custkey as unit, "
+    "cast(year(o_orderdate) as int) as yr, case when year(o_orderdate) % 2 = 0 then "
+    "max(o_orderpriority) end as seen from orders group by o_custkey, year(o_orderdate))")
+
+
 REGISTRY: dict[str, Entry] = {
     "panel": Entry("E5-E9 input", q_panel, SQL_PANEL),
     "yearly_total": Entry("E10 E11", q_yearly_total, SQL_YEARLY_TOTAL),
@@ -473,4 +603,13 @@ REGISTRY: dict[str, Entry] = {
                                     SQL_DRIFT_TOTALS_RECONCILE),
     "sensor_area": Entry("R10 (explode, equal allocation)", q_sensor_area, SQL_SENSOR_AREA),
     "stream_ingest": Entry("P15 (E1 R1-R7 incremental)", q_stream_ingest, SQL_DRIFT_ROUNDTRIP),
+    "stream_ingest_single": Entry("P15 (one file a batch)", q_stream_ingest_single,
+                                  SQL_DRIFT_ROUNDTRIP),
+    "drift_malformed": Entry("E1 R18 (malformed rows)", q_drift_malformed, SQL_DRIFT_MALFORMED),
+    "quality_lineitem": Entry("R18 (every rule fires)", q_quality_lineitem, SQL_QUALITY_LINEITEM),
+    "reconcile_statuses": Entry("R19 (every status)", q_reconcile_statuses,
+                                SQL_RECONCILE_STATUSES),
+    "canonical_table": Entry("R8 (mapping table)", q_canonical_table, SQL_CANONICAL_TABLE),
+    "split_known": Entry("R10 (known values)", q_split_known, SQL_SPLIT_KNOWN),
+    "asof_changes": Entry("R16 (changing values)", q_asof_changes, SQL_ASOF_CHANGES),
 }

@@ -10,8 +10,6 @@ below the shared checkpoint folder.
 
 from __future__ import annotations
 
-import threading
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,9 +17,9 @@ from ashgrid.functions.numeric import component_sum, percent_of
 from ashgrid.operators.metrics import yearly_total
 from ashgrid.plans.panel import MONEY, unit_year_panel
 from ashgrid.plans.yearly import conform_units, read_folder
-from ashgrid.session import scratch_path
+from ashgrid.session import checkpoint_root, scratch_path
 from ashgrid.sources.export import write_indexed, write_totals
-from ashgrid.sources.layouts import CAUSE_PREFIX
+from ashgrid.sources.layouts import CAUSE_PREFIX, LAYOUTS
 from ashgrid.sources.yearly_csv import read_totals
 
 FIRST_PUBLISHED_YEAR = 1998
@@ -80,52 +78,54 @@ def panel_as_units(panel: DataFrame) -> DataFrame:
     return df
 
 
-_written: dict[tuple[int, str], str] = {}
-_lock = threading.RLock()   # queries may be run from several threads
-
-
 def write_panel_tables(spark: SparkSession, sf_dir: str) -> str:
-    """Write (once per session and input folder) and return the base path."""
-    key = (id(spark), sf_dir)
-    with _lock:
-        if key not in _written:
-            _written[key] = _write_tables(spark, sf_dir)
-        return _written[key]
-
-
-def _write_tables(spark: SparkSession, sf_dir: str) -> str:
+    """Write the tables of the folder as it is now; return their base path."""
+    checkpoint_root(spark)
     base = scratch_path(spark, "yearly-tables")
-    units = panel_as_units(unit_year_panel(spark, sf_dir))
+    units = panel_as_units(unit_year_panel(spark, sf_dir)).checkpoint(eager=True)
     write_indexed(units, f"{base}/tables", order_by=UNIT_ORDER)
     totals = yearly_total(units, "yr", "area_total", "area_total", MONEY, count_as=None)
     write_totals(totals.where(F.col("yr") >= FIRST_PUBLISHED_YEAR), f"{base}/totals")
     return base
 
 
-_frames: dict[tuple[int, str], tuple[DataFrame, DataFrame, DataFrame]] = {}
-
-
-def _frames_for(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Read-back DataFrames, built once per session and input folder.
-
-    Only the plan objects are kept (no data is cached): every query that
-    uses them still reads the files, but does not pay again for building
-    and analysing the six-layout plan on the driver."""
-    key = (id(spark), sf_dir)
-    with _lock:
-        if key not in _frames:
-            base = write_panel_tables(spark, sf_dir)
-            rows, _ = read_folder(spark, f"{base}/tables")
-            _frames[key] = (rows, read_totals(spark, f"{base}/totals"), conform_units(rows))
-        return _frames[key]
-
-
-def read_back(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """(yearly rows of all layouts, published totals), read from the files."""
-    rows, totals, _ = _frames_for(spark, sf_dir)
-    return rows, totals
+def write_malformed(spark: SparkSession, sf_dir: str, base: str) -> None:
+    """Beside the L6 tables, a file of lines with a field too many or too few.
+
+    One line for every panel row of 2001: its values shifted by an unquoted
+    comma in the name, or, for rows of one order, without the last two fields.
+    """
+    rows = unit_year_panel(spark, sf_dir).where("yr = 2001")
+    fields = ["unit", "unit_name", "seg", "area", "area", "area", "area", "area", "area", "area",
+              "area", "area", "size", "size"]
+    full = F.concat_ws(",", *(F.concat(F.lit("X,"), F.col(c)) if c == "unit_name"
+                              else F.col(c).cast("string") for c in fields))
+    short = F.concat_ws(",", *(F.col(c).cast("string") for c in fields[:-2]))
+    lines = rows.select(F.when(F.col("n_orders") > 1, full).otherwise(short).alias("line"))
+    header = spark.createDataFrame([(",".join(LAYOUTS["L6"].header),)], "line string")
+    (header.withColumn("n", F.lit(0)).unionByName(lines.withColumn("n", F.lit(1)))
+     .coalesce(1).sortWithinPartitions("n").select("line")
+     .write.text(f"{base}/tables/layout=L6-more/year=2001"))
+    # Spark names text files .txt; the reader takes names that end in .csv
+    files = spark.sparkContext._jvm.org.apache.hadoop.fs
+    folder = files.Path(f"{base}/tables/layout=L6-more/year=2001")
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in system.listStatus(folder):
+        name = status.getPath().getName()
+        if name.startswith("part-"):
+            system.rename(status.getPath(), files.Path(folder, name.replace(".txt", ".csv")))
+
+
+def read_back(spark: SparkSession, sf_dir: str, malformed: bool = False
+              ) -> tuple[DataFrame, DataFrame]:
+    """(yearly rows of all layouts, published totals), written and read again."""
+    base = write_panel_tables(spark, sf_dir)
+    if malformed:
+        write_malformed(spark, sf_dir, base)
+    rows, _ = read_folder(spark, f"{base}/tables")
+    return rows, read_totals(spark, f"{base}/totals")
 
 
 def conformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The read-back rows, cleaned and typed (``conform_units``)."""
-    return _frames_for(spark, sf_dir)[2]
+    return conform_units(read_back(spark, sf_dir)[0])

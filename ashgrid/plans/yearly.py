@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ashgrid.functions import (category, clean_text, null_if, parse_date,
                                percent_of, split_known, split_values, unit_key)
 from ashgrid.functions.numeric import component_sum, exact_sum
-from ashgrid.operators.canonical import canonical
+from ashgrid.operators.canonical import canonical_parts
 from ashgrid.operators.causes import CAUSE_OF, class_totals, unpivot_causes
 from ashgrid.operators.collapse import collapse
 from ashgrid.operators.fuzzy import fuzzy_pairs
@@ -49,7 +49,9 @@ HISTORY_TOL = 0.01   # a size change under 1 % is a rewrite, not a new version
 
 
 def _ensure(df: DataFrame, cols) -> DataFrame:
-    missing = {c: F.lit(None).cast("double" if c.startswith(CAUSE_PREFIX) else "string")
+    kinds = {"source_time": "timestamp", "bad_numbers": "array<string>"}
+    missing = {c: F.lit(None).cast("double" if c.startswith(CAUSE_PREFIX)
+                                   else kinds.get(c, "string"))
                for c in cols if c not in df.columns}
     return df.withColumns(missing) if missing else df
 
@@ -58,6 +60,7 @@ def conform_units(raw: DataFrame) -> DataFrame:
     """Typed, cleaned columns of our schema (one row per source row)."""
     df = _ensure(raw, ["biome_raw", "sensor_raw", "mgmt_group_raw", "last_update_raw",
                        "prevention_published", "combat_published", "malformed_row",
+                       "source_time", "bad_numbers",
                        *CAUSE_COLUMNS])
     df = df.withColumns({"unit": clean_text("unit_raw"), "biome_clean": clean_text("biome_raw")})
     df = df.withColumns({
@@ -65,7 +68,8 @@ def conform_units(raw: DataFrame) -> DataFrame:
         "category": category("unit"),
         "biomes_as_written": split_known("biome_clean", KNOWN_BIOMES),
     })
-    df = canonical(df, "biome_clean", BIOME_SPELLING)
+    # each part of a list gets its canonical spelling, then the list is split
+    df = df.withColumn("biome_clean", canonical_parts(F.col("biome_clean"), BIOME_SPELLING))
     df = df.withColumns({
         "biomes": split_known("biome_clean", KNOWN_BIOMES),
         "mgmt_group": null_if(clean_text("mgmt_group_raw"), NO_GROUP),
@@ -78,7 +82,8 @@ def conform_units(raw: DataFrame) -> DataFrame:
                      "biome_clean", "biomes_as_written", "biomes", "mgmt_group", "sensors",
                      "last_update_raw", "last_update", "area_total", "area_unit",
                      "pct_published", "pct", "causes_total", "prevention_published",
-                     "combat_published", *CAUSE_COLUMNS, "source_file", "layout", "malformed_row")
+                     "combat_published", *CAUSE_COLUMNS, "source_file", "source_time", "layout", "malformed_row",
+                     "bad_numbers")
 
 
 def quality_rules() -> dict:
@@ -105,8 +110,12 @@ def quality_rules() -> dict:
                                     > F.lit(1e-6) * F.greatest(F.lit(1.0), F.abs(F.col("pct")))),
         # different names on one key in one year: the key merged too much
         "key_collision": F.col("key_names") > 1,
-        # too few or too many fields on the line (kept, raw text attached)
+        # too few or too many fields on the line (raw text kept, no values)
         "malformed_row": F.col("malformed_row").isNotNull(),
+        # no year in the file's path: the row is in no yearly total
+        "year_missing": F.col("yr").isNull(),
+        # text that is no finite number in range: null in the typed column
+        "number_out_of_range": F.col("bad_numbers").isNotNull(),
     }
 
 
@@ -150,9 +159,12 @@ def build(spark: SparkSession, path: str | list[str],
     unit_year_df = dq_tags(units, rules)
     violations = check(units, rules, ["yr", "src_row", "unit", "unit_key", "source_file"])
 
-    cells = collapse(units, ["unit_key", "yr"], sum_cols=["area_total"],
-                     max_cols=["area_unit", "last_update", "unit", "category", "mgmt_group"],
-                     array_cols=["sensors", "biomes"], decimal_type=EXACT)
+    # malformed rows have no unit and no values
+    whole = units.where(F.col("malformed_row").isNull())
+    cells = collapse(whole, ["unit_key", "yr"], sum_cols=["area_total"],
+                     row_cols=["area_unit", "last_update", "unit", "category", "mgmt_group"],
+                     array_cols=["sensors", "biomes"], sources=["source_file", "src_row"],
+                     decimal_type=EXACT)
     cells = cells.withColumn("biomes", F.when(F.size("biomes") > 0, F.col("biomes")))
     cells = asof_fill(cells, "unit_key", "yr", "biomes", "biomes_asof")
     cells = cells.withColumn("pct", percent_of("area_total", "area_unit"))
@@ -170,10 +182,12 @@ def build(spark: SparkSession, path: str | list[str],
 
     recomputed = yearly_total(units, "yr", "area_total", "recomputed", EXACT, count_as=None)
     if published is not None:
-        totals = reconcile(recomputed, published.withColumnRenamed("area_total", "published"),
-                           "yr", tol=1e-9)
-    else:
-        totals = recomputed.withColumn("published", F.lit(None).cast("double"))
+        published = published.withColumnRenamed("area_total", "published")
+    lost = units.groupBy("yr").agg(
+        F.count_if(F.col("malformed_row").isNotNull()).alias("n_malformed"))
+    totals = reconcile(recomputed, published, "yr", tol=1e-9).join(lost, "yr", "left").select(
+        "yr", "recomputed", "published", "diff", "status",
+        F.coalesce("n_malformed", F.lit(0)).alias("n_malformed"))
     return {"unit_year": unit_year_df, "unit_cells": cells, "cause_area": cause_area,
             "unit_dim": unit_dim, "biome_dim": biome_dim, "violations": violations,
             "totals": totals,
