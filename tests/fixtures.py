@@ -35,7 +35,7 @@ FILES = {
         "1,ESEC SERRA VERDE,AMAZONIA,6.0,,6.0,2000,0.3,04/08/2020,Modis",         # one cause empty
         "2,PARNA DO LAGO AZUL,MATA ATLANTICA,0,0,0.0,500,0.0,04/08/2020,Modis",   # explicit zeros
         "3,PARNA DOS PICOS,CERRADO,1.0,1.0,2.0,2000,0.1,04/08/2020,Modis",        # size of another unit
-        "4,REBIO PARNAIBA DO SUL,CAATINGA,1.0,0.5,1.5,700,0.2142857142857143,04/08/2020,Modis",  # one-letter misspelling
+        "4,REBIO CAMPOLANA DO SUL,CAATINGA,1.0,0.5,1.5,700,0.2142857142857143,04/08/2020,Modis",  # one-letter misspelling
     ]),
     # L4, LF
     "burned_2021.csv": ("\n", [
@@ -43,7 +43,7 @@ FILES = {
         "Gestao_raio,Aceiro_negro,Area_queimada,Area_UC,`Perc_UC,Data_ult_atual,Satelite",
         "0,APA DO TESTE,CERRADO,0.0,0.0,20.0,0.0,5.0,0.0,0.0,25.0,1000.0,2.5,2022-01-15,Modis",
         "1,PARNA DOS PICOS,CERRADO,0.0,0.0,10.0,0.0,0.0,0.0,0.0,12.0,1000.0,1.2,2022-01-15,Modis",  # total != parts
-        "2,REBIO PARAIBA DO SUL,CAATINGA,0.0,0.0,1.0,0.0,0.0,0.0,0.0,1.0,700.0,0.14285714285714285,2022-01-15,Modis",
+        "2,REBIO CAMPLANA DO SUL,CAATINGA,0.0,0.0,1.0,0.0,0.0,0.0,0.0,1.0,700.0,0.14285714285714285,2022-01-15,Modis",
         "3,PARNA DO LAGO AZUL,MATA ATLANTICA,0.0,0.0,2.0,0.0,0.0,0.0,0.0,2.0,300.0,0.6666666666666666,2022-01-15,Modis",
     ]),
     # L5, CRLF: no biome, date or sensor
@@ -53,7 +53,7 @@ FILES = {
         "0,APA DO TESTE,20,5,0,0,0,0,0,25,1000,2.5",
         "1,ESEC NOVA UNIDADE,1,0,0,0,0,0,0,1,100,1.0",                # never seen before
         "2,PARNA DOS PICOS,0.001,0,0,0,0,0,0,0.001,1000,0.0",         # positive area, percent rounds to 0
-        "3,APA PARAIBA DO SUL,1,0,0,0,0,0,0,1,300,0.33",              # same name, other category and size
+        "3,APA CAMPLANA DO SUL,1,0,0,0,0,0,0,1,300,0.33",              # same name, other category and size
     ]),
     # L6, CRLF
     "burned_2023.csv": ("\r\n", [

@@ -3,7 +3,7 @@ matter at scale, not only the rows."""
 
 import pytest
 
-import __spark_entry__ as E
+from ashgrid.plans.catalog import REGISTRY
 from tests.conftest import SF_SMALL
 
 
@@ -13,10 +13,10 @@ def plan_of(df) -> str:
 
 @pytest.fixture(scope="module")
 def plans(spark):
-    return {n: plan_of(q(spark, SF_SMALL)) for n, q in E.queries().items()}
+    return {n: plan_of(e.run(spark, SF_SMALL)) for n, e in REGISTRY.items()}
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_no_python_and_no_all_pairs(plans, name):
     p = plans[name]
     for bad in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
@@ -24,14 +24,15 @@ def test_no_python_and_no_all_pairs(plans, name):
         assert bad not in p, (name, bad)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_scans_read_only_needed_columns(plans, name):
     p = plans[name]
     if "orders.parquet" in p:
         assert "o_comment" not in p and "o_clerk" not in p
     if "lineitem.parquet" in p:
-        # lineitem has 11 columns; no query needs more than four of them
-        for col in ("l_tax", "l_discount", "l_extendedprice", "l_returnflag"):
+        # lineitem has 11 columns; only one query needs the prices
+        priced = name == "quality_lineitem"
+        for col in ("l_tax", "l_returnflag") + (() if priced else ("l_discount", "l_extendedprice")):
             assert col not in p, (name, col)
 
 
@@ -42,8 +43,22 @@ def test_panel_aggregates_before_the_shuffle(plans):
     assert p.index("Exchange hashpartitioning(o_custkey") < p.rindex("partial_sum")
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_nothing_funnels_into_one_task(plans, name):
     # an un-partitioned window or a global aggregate without keys would
     # move every row to a single partition
     assert "SinglePartition" not in plans[name], name
+
+
+def test_quality_rules_scan_orders_once(plans):
+    # the panel is computed before, once; its three uses read that
+    assert "orders.parquet" not in plans["quality_violations"]
+
+
+def test_export_reads_each_layout_alone(spark, tmp_path):
+    from ashgrid.plans.drift import panel_as_units
+    from ashgrid.plans.panel import unit_year_panel
+    df = panel_as_units(unit_year_panel(spark, SF_SMALL))
+    df.write.partitionBy("layout").parquet(f"{tmp_path}/staged")
+    one = spark.read.schema(df.schema).parquet(f"{tmp_path}/staged").where("layout = 'L2'")
+    assert "PartitionFilters: [isnotnull(layout" in plan_of(one)

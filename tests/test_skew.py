@@ -7,7 +7,9 @@ import statistics
 from ashgrid.operators.collapse import collapse
 from ashgrid.operators.fuzzy import fuzzy_pairs
 from ashgrid.operators.metrics import yearly_total
-from ashgrid.operators.quality import with_group_median, with_key_count
+from pyspark.sql import functions as F
+
+from ashgrid.operators.quality import with_group_stats
 
 
 def skewed_rows(n=3000, seed=11):
@@ -23,7 +25,8 @@ def skewed_rows(n=3000, seed=11):
 def test_key_count_and_median_with_a_hot_key(spark):
     rows = skewed_rows()
     df = spark.createDataFrame(rows, "k string, yr int, size double, sensor string, id int").repartition(6)
-    out = with_group_median(with_key_count(df, ["k", "yr"]), "k", "size", "med")
+    out = with_group_stats(df, [(["k", "yr"], [F.count(F.lit(1)).alias("key_count")]),
+                                (["k"], [F.median("size").alias("med")])])
     got = {r.id: (r.key_count, r.med) for r in out.collect()}
     assert len(got) == len(rows)
     for k, yr, size, _, i in rows:

@@ -49,3 +49,37 @@ def test_append_mode_keeps_each_batch(spark, tmp_path):
     totals = {r.yr: r.area_total for r in spark.read.parquet(f"{sink}/totals").collect()}
     assert totals == {2018: 77.0 + 20.0}  # the second file holds one row of 20.0
     assert sorted(r.ingest_batch for r in df.select("ingest_batch").distinct().collect()) == [0, 1]
+
+
+def test_result_does_not_depend_on_the_batch_size(spark, tmp_path):
+    eol, rows = FILES["burned_2018.csv"]
+    for limit in (1, 2, 100):
+        landing, sink = str(tmp_path / f"landing{limit}"), str(tmp_path / f"sink{limit}")
+        for i, line in enumerate(rows[1:]):
+            land(landing, "burned_2018.csv", f"year=2018/part-{i}.csv", [rows[0], line])
+        land(landing, "burned_2015.csv")
+        df = ingest_available(spark, landing, sink, max_files_per_trigger=limit)
+        assert counts(df) == {2018: 5, 2015: 6}
+        totals = {r.yr: r.area_total for r in spark.read.parquet(f"{sink}/totals").collect()}
+        assert totals == {2018: 77.0, 2015: 79.0}
+
+
+def test_archived_files_and_a_new_checkpoint_lose_nothing(spark, tmp_path):
+    landing, sink = str(tmp_path / "landing"), str(tmp_path / "sink")
+    land(landing, "burned_2018.csv", "a/burned_2018.csv")
+    ingest_available(spark, landing, sink, str(tmp_path / "ckpt1"), mode="append")
+    os.rename(f"{landing}/a/burned_2018.csv", str(tmp_path / "archived.csv"))
+    land(landing, "burned_2018.csv", "b/burned_2018.csv", FILES["burned_2018.csv"][1][:2])
+    df = ingest_available(spark, landing, sink, str(tmp_path / "ckpt2"), mode="append")
+    assert counts(df) == {2018: 6}
+
+
+def test_default_checkpoint_is_stable(spark, tmp_path):
+    landing, sink = str(tmp_path / "landing"), str(tmp_path / "sink")
+    land(landing, "burned_2015.csv")
+    ingest_available(spark, landing, sink)
+    before = sorted(os.listdir(f"{sink}/landed/yr=2015"))
+    files = {f for k in before if k.startswith("source_key") for f in os.listdir(f"{sink}/landed/yr=2015/{k}")}
+    assert counts(ingest_available(spark, landing, sink)) == {2015: 6}
+    after = {f for k in before if k.startswith("source_key") for f in os.listdir(f"{sink}/landed/yr=2015/{k}")}
+    assert files == after          # nothing was read again

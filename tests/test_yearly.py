@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ashgrid.plans.yearly import build, read_folder
 from ashgrid.sources.layouts import LAYOUTS, detect_layout
-from ashgrid.sources.yearly_csv import detect_layouts, list_files, read_year
+from ashgrid.sources.yearly_csv import detect_layouts, list_files, read_year, skipped_files
 from tests.fixtures import write_fixture
 
 
@@ -40,21 +40,92 @@ def test_wrong_layout_fails_instead_of_misreading(spark, folder):
         read_year(spark, f, "L1").collect()
 
 
-def test_ragged_row_is_kept_and_reported(spark, tmp_path):
+HEAD_L1 = "ind,UC,Bioma,Area_queimada,Area_UC,Perc_UC,Data_ult_atual\n"
+
+
+def test_ragged_rows_are_reported_and_have_no_values(spark, tmp_path):
     d = tmp_path / "ragged"
     d.mkdir()
     (d / "burned_2016.csv").write_text(
-        "ind,UC,Bioma,Area_queimada,Area_UC,Perc_UC,Data_ult_atual\n"
-        "0,APA UM,CERRADO,1.0,10,10.0,01/01/2016\n"
-        "1,APA DOIS,CERRADO,2.0\n")
+        HEAD_L1 + "0,APA UM,CERRADO,1.0,10,10.0,01/01/2016\n"
+        "1,APA DOIS,CERRADO,2.0\n"
+        "2,APA TRES, DE CIMA,CERRADO,4.0,10,40.0,01/01/2016\n")
+    (d / "totals.csv").write_text("AREA_QUEIM_ANO,ano\n1.0,2016\n7.0,2017,9\n")
     t = build(spark, str(d))
-    assert t["unit_year"].count() == 2
-    got = [(r.rule, r.src_row) for r in t["violations"].where("rule = 'malformed_row'").collect()]
-    assert got == [("malformed_row", 1)]
+    assert t["unit_year"].count() == 3
+    got = sorted((r.rule, r.src_row) for r in t["violations"].where("rule = 'malformed_row'").collect())
+    assert got == [("malformed_row", 1), ("malformed_row", 2)]
+    lost = t["unit_year"].where("malformed_row is not null").collect()
+    assert all(r.unit is None and r.area_total is None and r.area_unit is None for r in lost)
+    assert [tuple(r) for r in t["totals"].collect()] == [(2016, 1.0, 1.0, 0.0, "ok", 2)]
+    assert t["unit_cells"].count() == 1
     with pytest.raises(Exception):
         read_year(spark, str(d / "burned_2016.csv"), "L1", mode="FAILFAST").collect()
 
 
+def test_malformed_rows_are_seen_whatever_is_selected(spark, tmp_path):
+    f = tmp_path / "burned_2016.csv"
+    f.write_text(HEAD_L1 + "0,APA, UM,CERRADO,900,907,50000,1.81\n")
+    assert read_year(spark, str(f), "L1").select("area_total").first()[0] is None
+
+
+def test_numbers_out_of_range_are_null_and_named(spark, tmp_path):
+    d = tmp_path / "numbers"
+    d.mkdir()
+    (d / "burned_2016.csv").write_text(HEAD_L1 + "".join(
+        f"{i},APA {i},CERRADO,{v},10,,01/01/2016\n"
+        for i, v in enumerate(["1.0", "1e27", "NaN", "Infinity", "abc", ""])))
+    t = build(spark, str(d))
+    assert t["totals"].first().recomputed == 1.0
+    got = sorted(r.src_row for r in t["violations"].where("rule = 'number_out_of_range'").collect())
+    assert got == [1, 2, 3, 4]
+
+
+def test_every_spelling_of_a_csv_name_is_read(spark, tmp_path):
+    import gzip
+    d = tmp_path / "names"
+    (d / "tables_2019" / "deep").mkdir(parents=True)
+    (d / "x_2015.CSV").write_text(HEAD_L1 + "0,APA UM,CERRADO,1.0,10,10.0,01/01/2015\n")
+    (d / "burned_2016.csv.gz").write_bytes(gzip.compress(
+        (HEAD_L1 + "0,APA UM,CERRADO,2.0,10,20.0,01/01/2016\n").encode()))
+    (d / "y_2017.csv").mkdir()
+    (d / "y_2017.csv" / "part-0.csv").write_text(HEAD_L1 + "0,APA UM,CERRADO,3.0,10,30.0,01/01/2017\n")
+    (d / "noyear.csv").write_text(HEAD_L1 + "0,APA UM,CERRADO,4.0,10,40.0,01/01/2018\n")
+    (d / "readme.txt").write_text("not a table")
+    t = build(spark, str(d))
+    got = {r.yr: r.area_total for r in t["unit_year"].collect()}
+    assert got == {2015: 1.0, 2016: 2.0, 2017: 3.0, None: 4.0}
+    assert [r.source_file.rsplit("/", 1)[1] for r in
+            t["violations"].where("rule = 'year_missing'").collect()] == ["noyear.csv"]
+    assert [f.rsplit("/", 1)[1] for f in skipped_files(spark, str(d))] == ["readme.txt"]
+
+
+def test_headers_take_one_job_however_many_files(spark, tmp_path):
+    d = tmp_path / "many"
+    d.mkdir()
+    for y in range(1960, 2000):
+        (d / f"burned_{y}.csv").write_text(HEAD_L1 + "0,APA UM,CERRADO,1.0,10,10.0,01/01/2015\n")
+    files = list_files(spark, str(d))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("headers", "headers")
+    assert {k: len(v) for k, v in detect_layouts(spark, files).items()} == {"L1": 40}
+    jobs = tracker.getJobIdsForGroup("headers")
+    spark.sparkContext.setJobGroup("tests", "tests")
+    assert len(jobs) <= 3
+    (d / "burned_2000.csv").write_text("ind,UC,Other\n")
+    with pytest.raises(ValueError, match="unknown layout"):
+        detect_layouts(spark, list_files(spark, str(d)))
+
+
+def test_two_biomes_with_a_misspelling_are_split(spark, tmp_path):
+    d = tmp_path / "biomes"
+    d.mkdir()
+    (d / "burned_2016.csv").write_text(
+        HEAD_L1 + "0,APA UM,MATA ATANTICA E CERRADO,1.0,10,10.0,01/01/2016\n")
+    row = build(spark, str(d))["unit_year"].first()
+    assert row.biomes == ["MATA ATLANTICA", "CERRADO"] and "unknown_biome" in row.dq
+
+
 def test_loose_files_beside_year_folders(spark, tmp_path):
     d = tmp_path / "mixed"
     (d / "year=2016").mkdir(parents=True)
@@ -160,7 +231,7 @@ def test_biome_history_carries_missing_years(tables):
 
 def test_fuzzy_matches(tables):
     got = [(r.name_a, r.name_b, r.dist) for r in tables["fuzzy_matches"].collect()]
-    assert got == [("REBIO PARAIBA SUL", "REBIO PARNAIBA SUL", 1)]
+    assert got == [("REBIO CAMPLANA SUL", "REBIO CAMPOLANA SUL", 1)]
 
 
 def test_layout_order_does_not_matter(spark, folder):
