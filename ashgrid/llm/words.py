@@ -89,13 +89,6 @@ class Words:
         return mix(out), offsets
 
 
-def lowered(column: pa.Array) -> pa.Array:
-    """Lower-cased texts, nulls as empty ones."""
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    return pc.utf8_lower(pc.fill_null(column.cast(pa.large_string()), ""))
-
-
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(offsets, bytes) of a large_string array without nulls."""
     _, offsets, data = column.buffers()
@@ -121,15 +114,21 @@ def _word_mask(data: np.ndarray) -> np.ndarray:
 
 
 def chunks(column: pa.Array, size: int = CHUNK_BYTES) -> Iterator[Words]:
-    """The words of all texts of a batch, a bounded number of bytes at a time."""
-    texts = lowered(column)
+    """The words of all texts of a batch, a bounded number of bytes at a time.
+
+    Nulls are empty texts.  Only the chunk at work is lower-cased and copied.
+    """
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    texts = pc.fill_null(column.cast(pa.large_string()), "")
     if not len(texts):
         return
-    offsets, data = utf8(texts)
+    place, _ = utf8(texts)
     lo = 0
     while lo < len(texts):
-        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + size, "right")) - 1)
-        yield words_of(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], lo, hi)
+        hi = max(lo + 1, int(np.searchsorted(place, place[lo] + size, "right")) - 1)
+        offsets, data = utf8(pc.utf8_lower(texts[lo:hi]))
+        yield words_of(data[offsets[0]:offsets[-1]], offsets - offsets[0], lo, hi)
         lo = hi
 
 
