@@ -11,6 +11,7 @@ written as a CSV in the published layout (value, year; newest first).
 from __future__ import annotations
 
 import argparse
+import os
 import sys
 
 from ashgrid.session import get_session
@@ -21,7 +22,9 @@ def main(argv=None) -> int:
     ap.add_argument("command", choices=["build", "totals"])
     ap.add_argument("input")
     ap.add_argument("output")
-    ap.add_argument("--master", default=None, help="Spark master, e.g. local[8]")
+    # spark-submit names the master itself
+    ap.add_argument("--master", default=None if os.environ.get("SPARK_ENV_LOADED") else "local[*]",
+                    help="Spark master, e.g. local[8]")
     a = ap.parse_args(argv)
     spark = get_session(a.master)
     from ashgrid.plans.yearly import EXACT, build, conform_units, read_folder

@@ -32,9 +32,10 @@ def get_session(master: str | None = None, app: str = "ashgrid",
 
     ``conf`` is what the caller asks for and is always applied.
     """
-    b = SparkSession.builder.appName(app)
+    b = SparkSession.builder
     settings: dict[str, str] = {}
     if SparkSession.getActiveSession() is None:
+        b = b.appName(app)
         if master:
             b = b.master(master)
         if (master or "").startswith("local"):
