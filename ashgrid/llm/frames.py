@@ -58,6 +58,8 @@ def map_batches(df: DataFrame, make: Callable[[pa.RecordBatch], Iterator[pa.Reco
         for batch in batches:
             if batch.num_rows:
                 yield from make(batch)
+                # Arrow's pool else keeps what the largest batch needed
+                pa.default_memory_pool().release_unused()
     return df.mapInArrow(run, schema)
 
 

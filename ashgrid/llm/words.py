@@ -17,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text worked on at once (a longer text is a chunk of its own).
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 _P = 0x9E3779B97F4A7C15
 _P_INVERSE = pow(_P, -1, 1 << 64)
