@@ -14,6 +14,7 @@ bins agrees by chance.
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Callable
 
@@ -121,6 +122,24 @@ def likeness(a: Column, b: Column) -> Column:
         F.greatest(F.lit(0.0), (share - 1 / 16) / (1 - 1 / 16)))
 
 
+def _cuts_up_to(key: Column, cuts: list) -> Column:
+    """How many of the sorted cuts are at most ``key``: first by every n-th cut, then within."""
+    if not cuts:
+        return F.lit(0)
+    step = math.isqrt(len(cuts) - 1) + 1
+
+    def constant(values: list) -> Column:
+        if all(isinstance(v, int) for v in values):
+            return _numbers(values, "bigint")
+        return F.array(*(F.lit(v) for v in values))
+
+    def up_to(values: Column) -> Column:
+        return F.size(F.filter(values, lambda c: c <= key))
+
+    return _let(up_to(constant(cuts[::step])), lambda n: F.when(n == 0, 0).otherwise(
+        (n - 1) * step + up_to(F.slice(constant(cuts), (n - 1) * step + 1, step))))
+
+
 def with_next(df: DataFrame, key: str, value: str, names: dict[str, str], *,
               prepare: Callable[[DataFrame], DataFrame] = lambda d: d,
               parts: int | None = None) -> DataFrame:
@@ -129,18 +148,17 @@ def with_next(df: DataFrame, key: str, value: str, names: dict[str, str], *,
     ``df`` has the columns ``key`` and ``value``; ``prepare`` may add more, row
     by row.  ``names`` says which columns of the following row to add, and as
     what.  The keys are cut at approximate quantiles into ``parts`` ranges
-    (default: twice the shuffle partitions); each range is sorted in its own
+    (default: six a shuffle partition, so that partitions even out); each range is sorted in its own
     task and gets a copy of the following range's first row, so no task holds
     the whole order, and rows are exchanged once.  Rows of a null key come
     first; equal keys are taken in the order of ``value``.
     """
     spark = df.sparkSession
-    parts = parts or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = parts or 6 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     cuts = sorted(set(df.agg(F.percentile_approx(
         key, [i / parts for i in range(1, parts)], 10 * parts)).first()[0] or []))
-    place = (F.size(F.filter(F.array(*(F.lit(c) for c in cuts)), lambda c: c <= F.col(key)))
-             if cuts else F.lit(0))
-    ranged = df.withColumn("__range", F.when(F.col(key).isNull(), 0).otherwise(place))
+    ranged = df.withColumn("__range", F.when(F.col(key).isNull(), 0).otherwise(
+        _cuts_up_to(F.col(key), cuts)))
     stats = (ranged.groupBy("__range")                        # at most ``parts`` rows
              .agg(F.min(key).alias("__least"), F.max(F.col(key).isNull()).alias("__null"))
              .orderBy("__range").collect())
