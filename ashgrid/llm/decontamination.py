@@ -1,13 +1,19 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
-
-Test items are cut into runs of three words.  A first pass counts how often
-each of these runs occurs in all documents.  In every window of four
-neighbouring runs of an item the one that is rarest in the corpus becomes a
-seed, so any six words copied in a row hold a seed, and seeds are seldom
-common phrases.  A second pass joins documents to items on seeds, marks the
-stretch around the hits, and aligns the item's words with it (Smith-Waterman:
-match 2, mismatch -1, gap -1).  The score is the best local alignment's share
-of the item's full score: edited and paraphrased copies keep most of it.
+"""Benchmark decontamination: counted word pairs, then Smith-Waterman alignment.
+
+The score is the best local alignment's share of the item's full score
+(match 2, mismatch -1, gap -1): edited and paraphrased copies keep most of it.
+What is aligned is chosen by a bound, so no pair above the threshold is missed.
+
+Between two matched words that follow each other, an alignment loses one
+point for every word of the longer side.  It scores two for the first match,
+and for each later one two less what the step to it lost; so steps that lose
+less than two points make up all of the score but two.  Such a step starts at
+a pair of words that are next to each other, or one word apart, in the item
+and in the text.  Pairs are counted in all documents first; the steps of an
+item that start at its commonest pairs are left out, and what they could have
+scored is taken off the points asked for.  A second pass adds up the points
+of the pairs of each document and item, and aligns the item with the
+stretches where enough are close together.
 
 Items are taken in blocks of bounded size, so what is broadcast is bounded
 however large the benchmark is; every block meets all documents.
@@ -26,8 +32,6 @@ from pyspark.sql import functions as F
 from . import words as W
 from .frames import kind, map_batches, saved, ship, table
 
-SEED_WORDS = 3
-WINDOW = 4
 MATCH, MISMATCH, GAP = 2, -1, -1
 THRESHOLD = 0.5
 #: Items of fewer words are no evidence, whatever text holds them.
@@ -36,6 +40,8 @@ MIN_WORDS = 5
 MIN_MATCHED = 8
 #: Bytes of test items that are searched at once.
 BLOCK_BYTES = 4 << 20
+#: Leading bits of a hash by which most of the other pairs are passed over.
+TABLE_BITS = 20
 
 
 @dataclass
@@ -44,15 +50,19 @@ class Block:
 
     ids: list
     words: list[np.ndarray]
-    runs: np.ndarray           # sorted distinct run hashes of all items
+    pairs: np.ndarray          # sorted distinct pair hashes of all items
+    least: np.ndarray          # of each item: the least score that is a hit
+    need: np.ndarray           # of each item: the points asked of its seeds
     seeds: np.ndarray          # sorted seed hashes
     first: np.ndarray          # of each seed: its first place, and one more
-    item: np.ndarray           # places: item and run position
-    position: np.ndarray
+    item: np.ndarray           # places: item, and whether its words are neighbours
+    near: np.ndarray
+    table: np.ndarray          # whether a seed's hash begins with these bits
+    single: bool               # words of some items are seeds, too
 
 
-def read_block(items: list[tuple[object, str | None]]) -> Block:
-    """Words and runs of (id, text) items; short ones are left out."""
+def read_block(items: list[tuple[object, str | None]], threshold: float = THRESHOLD) -> Block:
+    """Words and pairs of (id, text) items; short ones are left out."""
     ids, words = [], []
     if items:
         for w in W.chunks(pa.array([t for _, t in items], pa.large_string())):
@@ -61,38 +71,80 @@ def read_block(items: list[tuple[object, str | None]]) -> Block:
                 if len(h) >= MIN_WORDS:
                     ids.append(items[w.lo + i][0])
                     words.append(h)
-    runs = np.unique(np.concatenate([_runs(h) for h in words])) if words else np.zeros(0, np.uint64)
+    pairs = (np.unique(np.concatenate([_pairs(h, d) for h in words for d in (1, 2)]))
+             if words else np.zeros(0, np.uint64))
+    length = np.array([len(h) for h in words], np.int64)
+    least = np.maximum(1, np.ceil(MATCH * threshold * length - 1e-9).astype(np.int64))
     none = np.zeros(0, np.int64)
-    return Block(ids, words, runs, np.zeros(0, np.uint64), np.zeros(1, np.int64), none, none)
+    return Block(ids, words, pairs, least, none, np.zeros(0, np.uint64), np.zeros(1, np.int64),
+                 none, none.astype(bool), np.zeros(1 << TABLE_BITS, bool), False)
 
 
-def _runs(h: np.ndarray) -> np.ndarray:
-    """Hashes of the runs of SEED_WORDS words, as ``Words.grams`` makes them."""
-    value = h[:len(h) - SEED_WORDS + 1].copy()
-    for k in range(1, SEED_WORDS):
-        value = value * W._C + h[k:len(h) - SEED_WORDS + 1 + k]
-    return W.mix(value)
+def _pairs(h: np.ndarray, distance: int) -> np.ndarray:
+    """Hashes of the pairs of words that are ``distance`` apart."""
+    return W.mix(h[:-distance] * W._C + h[distance:])
 
 
 def choose_seeds(block: Block, frequency: np.ndarray) -> None:
-    """Keep, of every WINDOW neighbouring runs, the rarest (ties: the first)."""
-    seeds, items, positions = [], [], []
+    """Seeds of every item: all its pairs but those of its commonest starts.
+
+    A start left out could have scored two points; half the points that a hit
+    must have stay asked of the others.  An item that may score without any
+    pair has its words as seeds.
+    """
+    seeds, items, nears, need = [], [], [], []
     for i, h in enumerate(block.words):
-        runs = _runs(h)
-        often = frequency[np.searchsorted(block.runs, runs)]
-        span = min(WINDOW, len(runs))
-        windows = np.lib.stride_tricks.sliding_window_view(often, span)
-        at = np.unique(np.arange(len(windows)) + windows.argmin(axis=1))
-        seeds.append(runs[at])
-        items.append(np.full(len(at), i))
-        positions.append(at)
+        points = int(block.least[i]) - MATCH
+        if points < 1:
+            seeds.append(h)
+            items.append(np.full(len(h), i))
+            nears.append(np.zeros(len(h), bool))
+            need.append(1)
+            block.single = True
+            continue
+        near, far = _pairs(h, 1), _pairs(h, 2)
+        often = frequency[np.searchsorted(block.pairs, near)]
+        often[:-1] += frequency[np.searchsorted(block.pairs, far)]
+        skipped = points // 4
+        keep = np.sort(np.argsort(often, kind="stable")[:len(near) - skipped])
+        far = far[keep[keep < len(far)]]
+        seeds += [near[keep], far]
+        items.append(np.full(len(keep) + len(far), i))
+        nears += [np.ones(len(keep), bool), np.zeros(len(far), bool)]
+        need.append(points - MATCH * skipped)
     if not seeds:
         return
     seed = np.concatenate(seeds)
     order = np.argsort(seed, kind="stable")
     block.seeds, count = np.unique(seed, return_counts=True)
     block.first = np.concatenate(([0], np.cumsum(count)))
-    block.item, block.position = np.concatenate(items)[order], np.concatenate(positions)[order]
+    block.item, block.near = np.concatenate(items)[order], np.concatenate(nears)[order]
+    block.need = np.array(need)
+    block.table = _table(block.seeds)
+
+
+def _table(keys: np.ndarray) -> np.ndarray:
+    out = np.zeros(1 << TABLE_BITS, bool)
+    out[keys >> np.uint64(64 - TABLE_BITS)] = True
+    return out
+
+
+def _found(keys: np.ndarray, table: np.ndarray, hashes: np.ndarray
+           ) -> tuple[np.ndarray, np.ndarray]:
+    """(index into hashes, index into keys) of the hashes that are among the sorted keys."""
+    maybe = np.flatnonzero(table[hashes >> np.uint64(64 - TABLE_BITS)])
+    at = np.minimum(np.searchsorted(keys, hashes[maybe]), len(keys) - 1)
+    same = keys[at] == hashes[maybe]
+    return maybe[same], at[same]
+
+
+def _text_pairs(w: W.Words, distance: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, first word) of the pairs of words that are ``distance`` apart in one text."""
+    if len(w.hash) <= distance:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    text = np.repeat(np.arange(w.hi - w.lo), np.diff(w.first))
+    start = np.flatnonzero(text[distance:] == text[:-distance])
+    return _pairs(w.hash, distance)[start], start
 
 
 def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int, int]:
@@ -123,17 +175,15 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int, int]:
     return best, matched, int(j), end
 
 
-def _stretches(item: np.ndarray, place: np.ndarray, length: int) -> Iterator[tuple[int, int]]:
-    """Unions of the stretches that an item may cover around its seed hits in a text."""
-    lo = place - item - length // 2
-    hi = place - item + length + length // 2
-    order = np.argsort(lo, kind="stable")
+def _stretches(place: np.ndarray, reach: int, most: int) -> Iterator[tuple[int, int]]:
+    """Unions of the stretches within ``reach`` of ascending places, to about ``most`` words."""
     start, end = None, None
-    for a, b in zip(lo[order].tolist(), hi[order].tolist(), strict=True):
+    for p in place.tolist():
+        a, b = p - reach, p + reach
         if start is None:
             start, end = a, b
-        elif a <= end and b - start <= 8 * length:
-            end = max(end, b)
+        elif a <= end and b - start <= most:
+            end = b
         else:
             yield start, end
             start, end = a, b
@@ -141,26 +191,53 @@ def _stretches(item: np.ndarray, place: np.ndarray, length: int) -> Iterator[tup
         yield start, end
 
 
+def _candidates(w: W.Words, block: Block, reach: np.ndarray
+                ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(item, text, word) where as many points as an item needs begin within its reach."""
+    items, places, points = [], [], []
+    for distance in (1, 2, 0) if block.single else (1, 2):
+        hashes, start = (_text_pairs(w, distance) if distance
+                         else (w.hash, np.arange(len(w.hash))))
+        hit, at = _found(block.seeds, block.table, hashes)
+        size = np.diff(block.first)[at]
+        index = np.arange(size.sum()) + np.repeat(block.first[at] - (np.cumsum(size) - size), size)
+        items.append(block.item[index])
+        places.append(np.repeat(start[hit], size))
+        points.append(block.near[index] + 1 if distance == 1 else np.ones(len(index), np.int64))
+    item, place, point = map(np.concatenate, (items, places, points))
+    none = np.zeros(0, np.int64)
+    if not len(item):
+        return none, none, none
+    key = (item << 40) | (place << 2) | point
+    key.sort()
+    last = np.append(key[1:] >> 2 != key[:-1] >> 2, True)      # a word starts one step: its best
+    key = key[last]
+    item, place, point = key >> 40, (key >> 2) & ((1 << 38) - 1), key & 3
+    text = np.searchsorted(w.first, place, "right") - 1
+    new = np.append(True, (item[1:] != item[:-1]) | (text[1:] != text[:-1]))
+    group = np.cumsum(new) - 1
+    total = np.bincount(group, point)
+    some = total[group] >= block.need[item]
+    item, place, point, text, group = item[some], place[some], point[some], text[some], group[some]
+    spot = (group << 38) + place
+    upto = np.searchsorted(spot, spot + reach[item])
+    summed = np.concatenate(([0], np.cumsum(point)))
+    some = summed[upto] - summed[:-1] >= block.need[item]
+    return item[some], text[some], place[some]
+
+
 def find(w: W.Words, block: Block, threshold: float
          ) -> Iterator[tuple[int, int, float, int, int, int]]:
     """(text, item, score, matched words, first word, word after) of a chunk's best hits."""
-    grams, offsets = w.grams(SEED_WORDS)
-    if not len(grams) or not len(block.seeds):
+    if not len(block.seeds) or not len(w.hash):
         return
-    at = np.minimum(np.searchsorted(block.seeds, grams), len(block.seeds) - 1)
-    hit = np.flatnonzero(block.seeds[at] == grams)
-    if not len(hit):
+    # a word of text beyond the item's costs a point, and so does one that doesn't match
+    length = np.array([len(h) for h in block.words], np.int64)
+    reach = np.maximum(length, 3 * length - block.least)
+    item, text, place = _candidates(w, block, reach)
+    if not len(item):
         return
-    size = np.diff(block.first)[at[hit]]
-    places = np.repeat(hit, size)
-    index = (np.arange(size.sum()) + np.repeat(block.first[at[hit]] - (np.cumsum(size) - size), size))
-    item, position = block.item[index], block.position[index]
-    text = np.searchsorted(offsets, places, "right") - 1
-    place = places - offsets[text]
-    order = np.lexsort((place, item, text))
-    text, item, position, place = text[order], item[order], position[order], place[order]
-    new = np.ones(len(text), dtype=bool)
-    new[1:] = (text[1:] != text[:-1]) | (item[1:] != item[:-1])
+    new = np.append(True, (item[1:] != item[:-1]) | (text[1:] != text[:-1]))
     cuts = np.append(np.flatnonzero(new), len(text))
     for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
         t, i = int(text[a]), int(item[a])
@@ -168,7 +245,7 @@ def find(w: W.Words, block: Block, threshold: float
         doc = w.hash[w.first[t]:w.first[t + 1]]
         need = min(len(wanted), MIN_MATCHED)
         best = None
-        for start, end in _stretches(position[a:b], place[a:b], len(wanted)):
+        for start, end in _stretches(place[a:b] - w.first[t], int(reach[i]), 8 * len(wanted)):
             start, end = max(0, start), min(len(doc), end)
             # words in common bound the score from above
             there = int(np.isin(wanted, doc[start:end]).sum())
@@ -182,33 +259,34 @@ def find(w: W.Words, block: Block, threshold: float
             yield (w.lo + t, i, *best)
 
 
-def _run_counts(docs: DataFrame, block: Block) -> np.ndarray:
-    """How often each run of the block occurs in all documents."""
+def _pair_counts(docs: DataFrame, block: Block) -> np.ndarray:
+    """How often each pair of the block occurs in all documents."""
     ship(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(block.runs)   # bounded by BLOCK_BYTES
+    shared = docs.sparkSession.sparkContext.broadcast(block.pairs)  # bounded by BLOCK_BYTES
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        runs = shared.value
-        number = np.zeros(len(runs), np.int64)
+        pairs = shared.value
+        table = _table(pairs)
+        number = np.zeros(len(pairs), np.int64)
         for batch in batches:
             for w in W.chunks(batch.column(0)):
-                grams, _ = w.grams(SEED_WORDS)
-                at = np.minimum(np.searchsorted(runs, grams), len(runs) - 1)
-                number += np.bincount(at[runs[at] == grams], minlength=len(runs))
+                for distance in (1, 2):
+                    _, at = _found(pairs, table, _text_pairs(w, distance)[0])
+                    number += np.bincount(at, minlength=len(pairs))
         some = np.flatnonzero(number)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(number[some])],
-                                         names=["run", "number"])
+                                         names=["pair", "number"])
 
-    out = np.zeros(len(block.runs), np.int64)
+    out = np.zeros(len(block.pairs), np.int64)
     if len(out):
-        got = (docs.select("text").mapInArrow(count, "run long, number long")
-               .groupBy("run").agg(F.sum("number").alias("number")).toArrow())
-        out[got["run"].to_numpy()] = got["number"].to_numpy()
+        got = (docs.select("text").mapInArrow(count, "pair long, number long")
+               .groupBy("pair").agg(F.sum("number").alias("number")).toArrow())
+        out[got["pair"].to_numpy()] = got["number"].to_numpy()
     return out
 
 
-def blocks(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int
-           ) -> Iterator[Block]:
+def blocks(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int,
+           threshold: float = THRESHOLD) -> Iterator[Block]:
     """The items in blocks of about ``block_bytes`` bytes, chosen by hash."""
     items = benchmark.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
@@ -217,7 +295,7 @@ def blocks(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int
         part = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k) if n > 1 else items
         rows = part.collect()                      # about ``block_bytes`` of items
         yield read_block(sorted(((r["id"], r["text"]) for r in rows),
-                                key=lambda r: (r[0] is None, r[0])))
+                                key=lambda r: (r[0] is None, r[0])), threshold)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id",
@@ -237,8 +315,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
               "matched_words int, start_word int, end_word int")
     item_type = benchmark.select(item_col).limit(0).toArrow().schema.field(0).type
     parts = []
-    for block in blocks(benchmark, item_col, item_text, block_bytes):
-        choose_seeds(block, _run_counts(rows, block))
+    for block in blocks(benchmark, item_col, item_text, block_bytes, threshold):
+        choose_seeds(block, _pair_counts(rows, block))
         shared = docs.sparkSession.sparkContext.broadcast(block)    # bounded by block_bytes
 
         def search(batch: pa.RecordBatch, shared=shared) -> Iterator[pa.RecordBatch]:

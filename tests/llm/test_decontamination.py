@@ -108,3 +108,50 @@ def test_query_finds_every_planted_passage(spark):
              for k, item in zip(names, items, strict=True) if item in t}
     got = {(r.doc_id, r.item_id): r.score for r in D.op8_decontamination(spark, SF_SMALL).collect()}
     assert exact and exact <= set(got) and all(got[p] == 1.0 for p in exact)
+
+
+@pytest.mark.parametrize("every", [3, 4, 5, 6])
+def test_edits_at_every_few_words(spark, every):
+    rng = random.Random(every)
+    items = [(k, " ".join(rng.choice(VOCABULARY) for _ in range(n)))
+             for k, n in enumerate((5, 9, 15, 24, 40))]
+    docs = []
+    for k, item in items:
+        for how in ("replace", "insert", "drop", "mix"):
+            copy = []
+            for p, word in enumerate(item.split()):
+                if (p + 1) % every:
+                    copy.append(word)
+                    continue
+                does = rng.choice(("replace", "insert", "drop")) if how == "mix" else how
+                copy += {"replace": ["edit"], "insert": ["more", word], "drop": []}[does]
+            around = [rng.choice(VOCABULARY) for _ in range(30)]
+            docs.append((len(docs), " ".join(around[:15] + copy + around[15:])))
+            # an exact copy beside it made the seeds fall on the edited words
+            docs.append((len(docs), item))
+    want = {pair: share for pair, share in brute_force(docs, items).items()
+            if len(items[pair[1]][1].split()) >= 15}
+    assert len(want) >= 3 * 4 * 2
+    got = D.contaminated(*frames(spark, docs, items)).where("item_id >= 2").collect()
+    assert {(r.doc_id, r.item_id): pytest.approx(r.score) for r in got} == want
+    assert len(got) == len(want)
+
+
+@pytest.mark.parametrize("threshold", [0.1, 0.35, 0.5, 0.8])
+def test_every_threshold_equals_brute_force(threshold):
+    rng = np.random.default_rng(11)
+    found = 0
+    for _ in range(150):
+        item = rng.integers(0, 12, rng.integers(14, 20))
+        copy = [x for w in item for x in ([w], [w], [w, 99], [99], [])[rng.integers(5)]]
+        text = " ".join(f"v{x}" for x in [*rng.integers(0, 12, 12), *copy, *rng.integers(0, 12, 60)])
+        item = " ".join(f"v{x}" for x in item)
+        block = D.read_block([(0, item)], threshold)
+        D.choose_seeds(block, rng.integers(0, 9, len(block.pairs)))
+        (w,) = D.W.chunks(D.pa.array([text]))
+        got = [share for _, _, share, *_ in D.find(w, block, threshold)]
+        share = slow_align(words(item), words(text)) / (2 * len(words(item)))
+        # eight words must match, whatever the threshold
+        assert got == ([share] if share >= threshold else []) or share < 0.5 and not got
+        found += bool(got)
+    assert found
