@@ -22,7 +22,7 @@ however large the benchmark is; every block meets all documents.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +36,6 @@ MATCH, MISMATCH, GAP = 2, -1, -1
 THRESHOLD = 0.5
 #: Items of fewer words are no evidence, whatever text holds them.
 MIN_WORDS = 5
-#: Aligned words that a hit needs (or the whole item, if it is shorter).
-MIN_MATCHED = 8
 #: Bytes of test items that are searched at once.
 BLOCK_BYTES = 4 << 20
 #: Leading bits of a hash by which most of the other pairs are passed over.
@@ -61,11 +59,40 @@ class Block:
     single: bool               # words of some items are seeds, too
 
 
+def _chunks(column: pa.Array) -> Iterator[W.Words]:
+    """``words.chunks``, with every character of a script without spaces a word."""
+    return map(_characters, W.chunks(column))
+
+
+def _characters(w: W.Words) -> W.Words:
+    """Words cut around each Han, Kana, Thai, Lao, Burmese or Khmer character."""
+    at = np.flatnonzero(w.data >= 0xE0)
+    if not len(at) or not len(w.start):
+        return w
+    lead, second = w.data[at], w.data[at + 1]
+    unspaced = ((lead >= 0xE3) & (lead <= 0xE9)
+                | (lead == 0xE0) & (second >= 0xB8) & (second <= 0xBB)
+                | (lead == 0xE1) & ((second <= 0x82) | (second == 0x9E) | (second == 0x9F))
+                | (lead == 0xEF) & ((second >= 0xA4) & (second <= 0xAB) | (second == 0xBE)
+                                    | (second == 0xBD) & (w.data[at + 2] >= 0xA6))
+                | (lead == 0xF0) & (second >= 0xA0) & (second <= 0xB3))
+    at, size = at[unspaced], 3 + (lead[unspaced] == 0xF0)
+    word = np.searchsorted(w.start, at, "right") - 1
+    inside = (word >= 0) & (at < w.end[word])
+    at, size, word = at[inside], size[inside], word[inside]
+    if not len(at):
+        return w
+    start = np.unique(np.concatenate((w.start, at, (at + size)[at + size < w.end[word]])))
+    end = np.unique(np.concatenate((w.end, at + size, at[at > w.start[word]])))
+    first = np.append(np.searchsorted(start, w.start), len(start))[w.first]
+    return replace(w, start=start, end=end, first=first, hash=W.hashes(w.data, start, end))
+
+
 def read_block(items: list[tuple[object, str | None]], threshold: float = THRESHOLD) -> Block:
     """Words and pairs of (id, text) items; short ones are left out."""
     ids, words = [], []
     if items:
-        for w in W.chunks(pa.array([t for _, t in items], pa.large_string())):
+        for w in _chunks(pa.array([t for _, t in items], pa.large_string())):
             for i in range(w.hi - w.lo):
                 h = w.hash[w.first[i]:w.first[i + 1]]
                 if len(h) >= MIN_WORDS:
@@ -243,17 +270,16 @@ def find(w: W.Words, block: Block, threshold: float
         t, i = int(text[a]), int(item[a])
         wanted = block.words[i]
         doc = w.hash[w.first[t]:w.first[t + 1]]
-        need = min(len(wanted), MIN_MATCHED)
         best = None
         for start, end in _stretches(place[a:b] - w.first[t], int(reach[i]), 8 * len(wanted)):
             start, end = max(0, start), min(len(doc), end)
             # words in common bound the score from above
             there = int(np.isin(wanted, doc[start:end]).sum())
-            if there < need or there < threshold * len(wanted):
+            if there < threshold * len(wanted):
                 continue
             score, matched, first, last = align(wanted, doc[start:end])
             share = score / (MATCH * len(wanted))
-            if share >= threshold and matched >= need and (best is None or share > best[0]):
+            if share >= threshold and (best is None or share > best[0]):
                 best = (share, matched, start + first, start + last)
         if best:
             yield (w.lo + t, i, *best)
@@ -269,7 +295,7 @@ def _pair_counts(docs: DataFrame, block: Block) -> np.ndarray:
         table = _table(pairs)
         number = np.zeros(len(pairs), np.int64)
         for batch in batches:
-            for w in W.chunks(batch.column(0)):
+            for w in _chunks(batch.column(0)):
                 for distance in (1, 2):
                     _, at = _found(pairs, table, _text_pairs(w, distance)[0])
                     number += np.bincount(at, minlength=len(pairs))
@@ -304,9 +330,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
     """(id, item id, score, matched_words, start_word, end_word) of documents that hold an item.
 
     One row per document row and item whose best alignment reaches
-    ``threshold`` of the item's full score, with MIN_MATCHED words matched
-    (all, if the item is shorter).  Items of fewer than MIN_WORDS words, null
-    and empty ones find nothing, as do null and empty texts.  Equal items and
+    ``threshold`` of the item's full score.  Items of fewer than MIN_WORDS
+    words, null and empty ones find nothing, as do null and empty texts; in
+    scripts without spaces every character is a word.  Equal items and
     repeated rows are all reported; other columns are ignored; empty tables
     give an empty result.
     """
@@ -321,7 +347,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
 
         def search(batch: pa.RecordBatch, shared=shared) -> Iterator[pa.RecordBatch]:
             use = shared.value
-            for w in W.chunks(batch.column("text")):
+            for w in _chunks(batch.column("text")):
                 hits = list(find(w, use, threshold))
                 if hits:
                     row, item, *rest = zip(*hits, strict=True)

@@ -147,10 +147,15 @@ def words_of(data: np.ndarray, offsets: np.ndarray, lo: int, hi: int) -> Words:
     ends = mask.copy()
     ends[:-1] &= ~mask[1:] | starts[1:]
     start, end = np.flatnonzero(starts), np.flatnonzero(ends) + 1
+    first = np.searchsorted(start, offsets, "left")
+    return Words(lo, hi, data, start, end, first, hashes(data, start, end))
+
+
+def hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words ``data[start:end]``."""
+    n = len(data)
     power, inverse = _power_tables(n + 1)
     prefix = np.empty(n + 1, np.uint64)
     prefix[0] = 0
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:n], out=prefix[1:])
-    hashes = mix((prefix[end] - prefix[start]) * inverse[start])
-    first = np.searchsorted(start, offsets, "left")
-    return Words(lo, hi, data, start, end, first, hashes)
+    return mix((prefix[end] - prefix[start]) * inverse[start])

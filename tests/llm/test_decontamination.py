@@ -129,10 +129,9 @@ def test_edits_at_every_few_words(spark, every):
             docs.append((len(docs), " ".join(around[:15] + copy + around[15:])))
             # an exact copy beside it made the seeds fall on the edited words
             docs.append((len(docs), item))
-    want = {pair: share for pair, share in brute_force(docs, items).items()
-            if len(items[pair[1]][1].split()) >= 15}
-    assert len(want) >= 3 * 4 * 2
-    got = D.contaminated(*frames(spark, docs, items)).where("item_id >= 2").collect()
+    want = brute_force(docs, items)
+    assert len(want) >= 5 * 4 * 2 - 4
+    got = D.contaminated(*frames(spark, docs, items)).collect()
     assert {(r.doc_id, r.item_id): pytest.approx(r.score) for r in got} == want
     assert len(got) == len(want)
 
@@ -151,7 +150,26 @@ def test_every_threshold_equals_brute_force(threshold):
         (w,) = D.W.chunks(D.pa.array([text]))
         got = [share for _, _, share, *_ in D.find(w, block, threshold)]
         share = slow_align(words(item), words(text)) / (2 * len(words(item)))
-        # eight words must match, whatever the threshold
-        assert got == ([share] if share >= threshold else []) or share < 0.5 and not got
+        assert got == ([share] if share >= threshold else [])
         found += bool(got)
     assert found
+
+
+def test_share_alone_decides_on_short_items(spark):
+    items = [(1, "one two three four five six seven eight"), (2, "red green blue black white")]
+    docs = [(1, "so one two three four other six seven eight it is"), (2, "a red green blue car"),
+            (3, "one two three of them"), (4, "red and blue")]
+    got = D.contaminated(*frames(spark, docs, items)).collect()
+    assert {(r.doc_id, r.item_id): r.score for r in got} == {(1, 1): 13 / 16, (2, 2): 0.6}
+
+
+def test_scripts_without_spaces(spark):
+    items = [(1, "北京是中华人民共和国的首都"), (2, "東京タワーの高さは何メートルですか"),
+             (3, "กรุงเทพมหานครเป็นเมืองหลวง"), (4, "𠀀𠀁𠀂𠀃𠀄")]
+    docs = [(1, "我们知道北京是中华人民共和国的首都，很大。"), (2, "問題：東京タワーの高さは約何メートルですか？"),
+            (3, "วันนี้กรุงเทพมหานครเป็นเมืองหลวงของไทย"), (4, "x𠀀𠀁𠀂𠀃𠀄y"),
+            (5, "上海是一座很大的城市"), (6, "plain words only")]
+    got = {(r.doc_id, r.item_id): r for r in D.contaminated(*frames(spark, docs, items)).collect()}
+    assert set(got) == {(k, k) for k in range(1, 5)}
+    assert got[1, 1].score == got[3, 3].score == got[4, 4].score == 1.0
+    assert (got[1, 1].start_word, got[1, 1].end_word) == (4, 17)
