@@ -2,6 +2,7 @@
 
 The score is the best local alignment's share of the item's full score
 (match 2, mismatch -1, gap -1): edited and paraphrased copies keep most of it.
+A long passage with few edits is a hit also where it is a small part of its item.
 What is aligned is chosen by a bound, so no pair above the threshold is missed.
 
 Between two matched words that follow each other, an alignment loses one
@@ -38,6 +39,9 @@ THRESHOLD = 0.5
 MIN_WORDS = 5
 #: Bytes of test items that are searched at once.
 BLOCK_BYTES = 4 << 20
+#: A passage of so many item words, word for word, is a hit whatever the item's
+#: length; every edit in it asks for EDIT_COST words more.
+PASSAGE, EDIT_COST = 13, 4
 #: Leading bits of a hash by which most of the other pairs are passed over.
 TABLE_BITS = 20
 
@@ -101,7 +105,8 @@ def read_block(items: list[tuple[object, str | None]], threshold: float = THRESH
     pairs = (np.unique(np.concatenate([_pairs(h, d) for h in words for d in (1, 2)]))
              if words else np.zeros(0, np.uint64))
     length = np.array([len(h) for h in words], np.int64)
-    least = np.maximum(1, np.ceil(MATCH * threshold * length - 1e-9).astype(np.int64))
+    least = np.ceil(MATCH * threshold * length - 1e-9).astype(np.int64)
+    least = np.clip(least, 1, MATCH * PASSAGE)          # a passage scores as much at least
     none = np.zeros(0, np.int64)
     return Block(ids, words, pairs, least, none, np.zeros(0, np.uint64), np.zeros(1, np.int64),
                  none, none.astype(bool), np.zeros(1 << TABLE_BITS, bool), False)
@@ -174,7 +179,8 @@ def _text_pairs(w: W.Words, distance: int) -> tuple[np.ndarray, np.ndarray]:
     return _pairs(w.hash, distance)[start], start
 
 
-def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int, int]:
+def align(item: np.ndarray, text: np.ndarray, match: int = MATCH, mismatch: int = MISMATCH,
+          gap: int = GAP) -> tuple[int, int, int, int]:
     """Best local alignment of two word sequences: (score, matched words, start, end in text).
 
     Ties go to the earliest end in the item, then in the text.  Horizontal
@@ -182,20 +188,20 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int, int]:
     """
     n, m = len(item), len(text)
     score = np.zeros((n + 1, m + 1), np.int32)
-    ramp = np.arange(m + 1, dtype=np.int32) * -GAP
+    ramp = np.arange(m + 1, dtype=np.int32) * -gap
     for i in range(n):
-        step = np.where(text == item[i], MATCH, MISMATCH)
-        row = np.maximum(score[i] + GAP, 0)
+        step = np.where(text == item[i], match, mismatch)
+        row = np.maximum(score[i] + gap, 0)
         np.maximum(row[1:], score[i, :-1] + step, out=row[1:])
         score[i + 1] = np.maximum.accumulate(row + ramp) - ramp
     i, j = np.unravel_index(int(score.argmax()), score.shape)
     best, matched, end = int(score[i, j]), 0, int(j)
     while i > 0 and j > 0 and score[i, j] > 0:
         same = item[i - 1] == text[j - 1]
-        if score[i, j] == score[i - 1, j - 1] + (MATCH if same else MISMATCH):
+        if score[i, j] == score[i - 1, j - 1] + (match if same else mismatch):
             matched += int(same)
             i, j = i - 1, j - 1
-        elif score[i, j] == score[i - 1, j] + GAP:
+        elif score[i, j] == score[i - 1, j] + gap:
             i -= 1
         else:
             j -= 1
@@ -275,11 +281,18 @@ def find(w: W.Words, block: Block, threshold: float
             start, end = max(0, start), min(len(doc), end)
             # words in common bound the score from above
             there = int(np.isin(wanted, doc[start:end]).sum())
-            if there < threshold * len(wanted):
+            if MATCH * there < block.least[i]:
                 continue
             score, matched, first, last = align(wanted, doc[start:end])
             share = score / (MATCH * len(wanted))
-            if share >= threshold and (best is None or share > best[0]):
+            if share < threshold:
+                points, matched, first, last = align(wanted, doc[start:end], 1, -EDIT_COST,
+                                                     -EDIT_COST)
+                if points < PASSAGE:
+                    continue
+                edits = (matched - points) // EDIT_COST
+                share = (MATCH * matched - edits) / (MATCH * len(wanted))
+            if best is None or share > best[0]:
                 best = (share, matched, start + first, start + last)
         if best:
             yield (w.lo + t, i, *best)
@@ -330,7 +343,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
     """(id, item id, score, matched_words, start_word, end_word) of documents that hold an item.
 
     One row per document row and item whose best alignment reaches
-    ``threshold`` of the item's full score.  Items of fewer than MIN_WORDS
+    ``threshold`` of the item's full score, or else whose best passage has
+    PASSAGE words matched after EDIT_COST are taken off for every edit; its
+    score is the passage's share, below ``threshold``.  Items of fewer than MIN_WORDS
     words, null and empty ones find nothing, as do null and empty texts; in
     scripts without spaces every character is a word.  Equal items and
     repeated rows are all reported; other columns are ignored; empty tables
