@@ -351,9 +351,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
     repeated rows are all reported; other columns are ignored; empty tables
     give an empty result.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return _hits(docs, benchmark, id_col, text_col, item_col, item_text, threshold,
+                 block_bytes).drop("text_hash")
+
+
+def _hits(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str,
+          item_text: str, threshold: float, block_bytes: int) -> DataFrame:
+    """The rows of ``contaminated`` with the hash of each document's text."""
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
+                       F.xxhash64(text_col).alias("text_hash"))
     schema = (f"id {kind(docs, id_col)}, item {kind(benchmark, item_col)}, score double, "
-              "matched_words int, start_word int, end_word int")
+              "matched_words int, start_word int, end_word int, text_hash long")
     item_type = benchmark.select(item_col).limit(0).toArrow().schema.field(0).type
     parts = []
     for block in blocks(benchmark, item_col, item_text, block_bytes, threshold):
@@ -370,23 +378,31 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
                         [batch.column("id").take(pa.array(row)),
                          pa.array([use.ids[i] for i in item], item_type),
                          pa.array(rest[0], pa.float64()),
-                         *(pa.array(c, pa.int32()) for c in rest[1:])],
-                        names=["id", "item", "score", "matched_words", "start_word", "end_word"])
+                         *(pa.array(c, pa.int32()) for c in rest[1:]),
+                         batch.column("text_hash").take(pa.array(row))],
+                        names=["id", "item", "score", "matched_words", "start_word", "end_word",
+                               "text_hash"])
 
         parts.append(saved(map_batches(rows, search, schema), "contaminated"))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionAll(part)
     return out.select(F.col("id").alias(id_col), F.col("item").alias(item_col), "score",
-                      "matched_words", "start_word", "end_word")
+                      "matched_words", "start_word", "end_word", "text_hash")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id",
-          **options: object) -> DataFrame:
-    """The rows whose id no contaminated document has, with all their columns."""
-    found = contaminated(docs, benchmark, id_col=id_col, **options)
-    bad = found.select(F.col(id_col).alias("__bad")).distinct()
-    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("__bad")), "left_anti")
+          text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
+          threshold: float = THRESHOLD, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows that ``contaminated`` doesn't find, with all their columns.
+
+    A row is known by its id and its text's hash, so other rows of a null or
+    repeated id stay.
+    """
+    found = _hits(docs, benchmark, id_col, text_col, item_col, item_text, threshold, block_bytes)
+    bad = found.select(F.col(id_col).alias("__bad"), F.col("text_hash").alias("__hash")).distinct()
+    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("__bad"))
+                     & (F.xxhash64(text_col) == F.col("__hash")), "left_anti")
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

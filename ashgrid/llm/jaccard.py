@@ -79,12 +79,12 @@ def gram_sets(column: pa.Array, words: int) -> Iterator[tuple[int, np.ndarray, b
 
 def _signed(docs: DataFrame, id_col: str, text_col: str, words: int, bands: int, rows: int
             ) -> DataFrame:
-    """(id, set digest, band hashes) of every row; texts without words have no bands."""
+    """(id, text hash, set digest, band hashes) of every row; texts without words have no bands."""
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         factors = _factors(bands * rows)
         done: dict[bytes, np.ndarray] = {}
         keys, found = [], []
-        for _, grams, key in gram_sets(batch.column(1), words):
+        for _, grams, key in gram_sets(batch.column(2), words):
             if key not in done:
                 done[key] = (band_hashes(grams, bands, rows, factors) if len(grams)
                              else np.zeros(0, np.int64))
@@ -92,12 +92,13 @@ def _signed(docs: DataFrame, id_col: str, text_col: str, words: int, bands: int,
             found.append(done[key])
         cut = np.concatenate(([0], np.cumsum([len(b) for b in found]))).astype(np.int32)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(keys, pa.binary()),
+            [batch.column(0), batch.column(1), pa.array(keys, pa.binary()),
              pa.ListArray.from_arrays(cut, pa.array(np.concatenate(found)))],
-            names=["id", "key", "bands"])
+            names=["id", "text_hash", "key", "bands"])
 
-    return map_batches(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), run,
-                       f"id {kind(docs, id_col)}, key binary, bands array<long>")
+    return map_batches(docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"),
+                                   F.col(text_col).alias("text")), run,
+                       f"id {kind(docs, id_col)}, text_hash long, key binary, bands array<long>")
 
 
 def _candidates(classes: DataFrame) -> DataFrame:
@@ -247,10 +248,24 @@ def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     only has a null class id); other columns are ignored; an empty table
     gives an empty one.
     """
+    signed, named = _named(docs, id_col, text_col, words, threshold, recall)
+    ids = named.groupBy("label").agg(F.min("first").alias("class_id"))
+    return signed.select("id", "key").join(named.join(ids, "label"), "key").select(
+        F.col("id").alias(id_col), "class_id", "n_links")
+
+
+def _named(docs: DataFrame, id_col: str, text_col: str, words: int, threshold: float,
+           recall: float) -> tuple[DataFrame, DataFrame]:
+    """The signed rows, and (key, first, row, label, n_links) of every class of copies.
+
+    ``row`` is the class's least row: those with an id first, then by id and text hash.
+    """
     bands, rows = choose_bands(threshold, recall)
     signed = saved(_signed(docs, id_col, text_col, words, bands, rows), "jaccard-signed")
     classes = saved(signed.groupBy("key").agg(
-        F.min("id").alias("first"), F.count("*").alias("copies"),
+        F.min("id").alias("first"),
+        F.min(F.struct(F.col("id").isNull().alias("absent"), "id", "text_hash")).alias("row"),
+        F.count("*").alias("copies"),
         F.first("bands").alias("bands")), "jaccard-classes")
     parts = saved(_candidates(classes), "jaccard-parts")
     wanted = parts.join(classes.select("key", "first", "copies"), "key")
@@ -272,29 +287,30 @@ def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     reached = components(verified.where("key <> root").select(
         F.col("key").alias("a"), F.col("root").alias("b")))
     links = verified.groupBy("key").agg(F.sum("links").alias("links"))
-    named = (classes.select("key", "first", "copies")
+    named = (classes.select("key", "first", "row", "copies")
              .join(reached.select(F.col("node").alias("key"), "label"), "key", "left")
              .join(links, "key", "left")
-             .select("key", "first", F.coalesce("label", "key").alias("label"),
+             .select("key", "first", "row", F.coalesce("label", "key").alias("label"),
                      (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
-    ids = named.groupBy("label").agg(F.min("first").alias("class_id"))
-    return signed.select("id", "key").join(named.join(ids, "label"), "key").select(
-        F.col("id").alias(id_col), "class_id", "n_links")
+    return signed, named
 
 
 def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-                **options: object) -> DataFrame:
+                words: int = WORDS, threshold: float = THRESHOLD, recall: float = 0.9999
+                ) -> DataFrame:
     """The row of least id of every near-duplicate class, with all its columns.
 
-    Of rows that repeat both id and text one stays.  Rows of null id stay, as
-    no id names them.
+    A row is known by its id and its text's hash: of rows that repeat both one
+    stays, and of texts under the class's least id the one of least hash.  A
+    row of null id stays only if its class has no row with an id.
     """
-    found = join(docs, id_col=id_col, text_col=text_col, **options)
-    first = found.where(F.col(id_col) == F.col("class_id")).select(id_col).distinct()
-    named = docs.join(first, id_col, "left_semi").select(docs.columns)
-    return (named.withColumn("__text_hash", F.xxhash64(text_col))
-            .dropDuplicates([id_col, "__text_hash"]).drop("__text_hash")
-            .unionByName(docs.where(F.col(id_col).isNull())))
+    _, named = _named(docs, id_col, text_col, words, threshold, recall)
+    first = named.groupBy("label").agg(F.min("row").alias("row")).select(
+        F.col("row.id").alias("__first"), F.col("row.text_hash").alias("__hash"))
+    hashed = docs.withColumn("__text_hash", F.xxhash64(text_col))
+    return (hashed.join(first, F.col(id_col).eqNullSafe(F.col("__first"))
+                        & (F.col("__text_hash") == F.col("__hash")), "left_semi")
+            .dropDuplicates([id_col, "__text_hash"]).drop("__text_hash"))
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -208,3 +208,15 @@ def test_long_passage_of_a_longer_item(spark):
         1: (29 / 59, 29, 20, 49), 2: (13 / 59, 13, 20, 33), 4: (33 / 118, 17, 20, 38)}
     for k, text in docs:
         assert (passage(item, text.split()) >= 13) == (k in (1, 2, 4))
+
+
+def test_clean_rows_of_a_null_or_repeated_id_stay(spark):
+    item = "a passage that the benchmark asks about in these very words"
+    rows = [(None, f"x {item} y"), (None, "clean text of no id"), (None, None),
+            (7, item), (7, "clean text of the same id"), (8, "another clean text")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    kept = D.clean(docs, items)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.text or "") for r in kept.collect()) == sorted(
+        (i or 0, t or "") for i, t in (rows[1], rows[2], rows[4], rows[5]))

@@ -10,7 +10,7 @@ from ashgrid.llm import jaccard as J
 from ashgrid.llm.catalog import SQL
 from ashgrid.llm.components import components
 from tests.conftest import SF_SMALL
-from tests.llm.helpers import grams, no_docs, odd_docs
+from tests.llm.helpers import grams, no_docs, odd_docs, words
 
 
 def brute_force(rows, threshold=0.8):
@@ -83,6 +83,19 @@ def test_rows(spark):
     assert kept[0].asDict().keys() == set(docs.columns)
 
 
+def test_one_of_each_decides_rows_by_id_and_text(spark):
+    def text(k, *more):
+        return " ".join([f"t{k}w{i}" for i in range(40)] + list(more))
+
+    rows = [(1, text(1)), (2, text(1, "more")), (None, text(1)),        # null id beside ids
+            (None, text(2)), (None, text(2, "more")), (None, text(2)),  # null ids only
+            (None, text(3)),
+            (4, text(4)), (5, text(5)), (5, text(4)), (5, text(5))]     # an id with two texts
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = sorted(((r.doc_id or 0, words(r.text)[0]) for r in J.one_of_each(docs).collect()))
+    assert kept == [(0, "t2w0"), (0, "t3w0"), (1, "t1w0"), (4, "t4w0"), (5, "t5w0")]
+
+
 def test_query_equals_sql(spark):
     got = found(J.op3_jaccard_join(spark, SF_SMALL))
     with duckdb.connect() as con:
