@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, WindowSpec
 from pyspark.sql import functions as F
 
 ColumnOrName = Column | str
@@ -70,9 +70,10 @@ def _integer_scale(decimal_type: str) -> int | None:
     return 10 ** int(m.group(2)) if m and int(m.group(1)) <= 18 else None
 
 
-def exact_sum(c: ColumnOrName, decimal_type: str = "decimal(38,12)") -> Column:
+def exact_sum(c: ColumnOrName, decimal_type: str = "decimal(38,12)",
+              window: WindowSpec | None = None) -> Column:
     """Aggregate sum that does not depend on the order of the rows, as a
-    double.
+    double; over the frame of ``window`` if one is given.
 
     For ``decimal(p,s)`` with p <= 18 each value is taken to s decimals as
     a 64-bit integer (``round(value * 10^s)``, half away from zero) and the
@@ -82,6 +83,20 @@ def exact_sum(c: ColumnOrName, decimal_type: str = "decimal(38,12)") -> Column:
     """
     col = _col(c)
     k = _integer_scale(decimal_type)
-    if k:
-        return F.sum(F.round(col * F.lit(k)).cast("bigint")) / F.lit(k)
-    return F.sum(col.cast(decimal_type)).cast("double")
+    total = F.sum(F.round(col * F.lit(k)).cast("bigint") if k else col.cast(decimal_type))
+    if window is not None:
+        total = total.over(window)
+    return total / F.lit(k) if k else total.cast("double")
+
+
+def scaled(c: ColumnOrName, decimal_type: str) -> Column:
+    """The value as a whole number of its last decimal (``decimal(p,s)``, p at most 18)."""
+    k = _integer_scale(decimal_type)
+    if not k:
+        raise ValueError(f"{decimal_type} does not fit a 64-bit integer")
+    return F.round(_col(c) * F.lit(k)).cast("bigint")
+
+
+def unscaled(c: ColumnOrName, decimal_type: str) -> Column:
+    """The value of a ``scaled`` number, as a double."""
+    return _col(c) / F.lit(_integer_scale(decimal_type))

@@ -1,14 +1,17 @@
 """Attribute history over years: as-of fill and type-2 versions.
 
-Windows here partition by the unit key over a (unit, year) grain, so one
-window group holds at most one row per year; run ``collapse`` first when a
-key can repeat inside a year.
+The window of the as-of fill partitions by the unit key over a (unit, year)
+grain, so one window group holds at most one row per year; run ``collapse``
+first when a key can repeat inside a year.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def asof_fill(df: DataFrame, key: str, order: str, attr: str,
@@ -32,33 +35,39 @@ def change_flags(df: DataFrame, key: str, order: str, attr: str, tol: float | No
     than ``tol`` relative to it (numbers: rewrites of the last digits stay, a
     slow drift does not) or, with ``tol=None``, whenever it differs at all
     (text, arrays).  A row without a value keeps the version (0 before any).
+    Rows of a repeated (key, order) follow each other by value.
 
-    Which value opened a version depends on all versions before, so a key's
-    values are folded in order: one array a key, one entry per row of it (at
-    most one a year).
+    Which value opened a version depends on all versions before, a recursion
+    that neither windows nor aggregates express: rows are dealt out by key and
+    sorted, and one pass over each partition carries the running version
+    from row to row, so no list of a key's rows is ever made.
     """
-    rows = (df.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(
-        F.col(order).alias("o"), F.col(attr).alias("a")))).alias("__rows")))
-    item = df.schema[attr].dataType.simpleString()
-    step = f"struct<o:{df.schema[order].dataType.simpleString()},opened:{item},changed:int,version:int>"
+    schema = T.StructType([*df.schema.fields, T.StructField(opened, df.schema[attr].dataType),
+                           T.StructField(flag, T.IntegerType()),
+                           T.StructField(version, T.IntegerType())])
+    at_key, at_attr = df.columns.index(key), df.columns.index(attr)
 
-    def fold(done: F.Column, row: F.Column) -> F.Column:
-        last = F.try_element_at(done, F.lit(-1))
-        base, number = last["opened"], F.coalesce(last["version"], F.lit(0))
-        moved = (row["a"] != base) if tol is None else (
-            F.abs(row["a"] - base) > F.lit(tol) * F.abs(base))
-        new = row["a"].isNotNull() & (base.isNull() | moved)
-        return F.concat(done, F.array(F.struct(
-            row["o"].alias("o"), F.when(new, row["a"]).otherwise(base).alias("opened"),
-            F.when(new, 1).otherwise(0).alias("changed"),
-            F.when(new, number + 1).otherwise(number).alias("version")).cast(step)))
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        now, base, number = object(), None, 0
+        for batch in batches:
+            bases, changed, numbers = [], [], []
+            for k, a in zip(batch.column(at_key).to_pylist(), batch.column(at_attr).to_pylist()):
+                if k != now:
+                    now, base, number = k, None, 0
+                new = a is not None and (base is None or (
+                    a != base if tol is None else abs(a - base) > tol * abs(base)))
+                if new:
+                    base, number = a, number + 1
+                bases.append(base)
+                changed.append(int(new))
+                numbers.append(number)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(bases, batch.column(at_attr).type),
+                 pa.array(changed, pa.int32()), pa.array(numbers, pa.int32())],
+                names=[*batch.schema.names, opened, flag, version])
 
-    flags = rows.select(F.col(key).alias("__k"), F.explode(F.aggregate(
-        "__rows", F.array().cast(f"array<{step}>"), fold)).alias("__f"))
-    flags = flags.select("__k", F.col("__f.o").alias("__o"), F.col("__f.opened").alias(opened),
-                         F.col("__f.changed").alias(flag), F.col("__f.version").alias(version))
-    same = F.col(key).eqNullSafe(F.col("__k")) & F.col(order).eqNullSafe(F.col("__o"))
-    return df.join(flags, same).drop("__k", "__o")
+    return df.repartition(key).sortWithinPartitions(key, order, attr).mapInArrow(run, schema)
 
 
 def history(df: DataFrame, key: str, order: str, attr: str, tol: float | None,

@@ -90,10 +90,11 @@ def write_panel_tables(spark: SparkSession, sf_dir: str) -> str:
 
 
 def write_malformed(spark: SparkSession, sf_dir: str, base: str) -> None:
-    """Beside the L6 tables, a file of lines with a field too many or too few.
+    """Beside the L6 tables, files of lines with a field too many or too few.
 
     One line for every panel row of 2001: its values shifted by an unquoted
     comma in the name, or, for rows of one order, without the last two fields.
+    The lines are dealt out to several files, each with a header of its own.
     """
     rows = unit_year_panel(spark, sf_dir).where("yr = 2001")
     fields = ["unit", "unit_name", "seg", "area", "area", "area", "area", "area", "area", "area",
@@ -101,19 +102,20 @@ def write_malformed(spark: SparkSession, sf_dir: str, base: str) -> None:
     full = F.concat_ws(",", *(F.concat(F.lit("X,"), F.col(c)) if c == "unit_name"
                               else F.col(c).cast("string") for c in fields))
     short = F.concat_ws(",", *(F.col(c).cast("string") for c in fields[:-2]))
-    lines = rows.select(F.when(F.col("n_orders") > 1, full).otherwise(short).alias("line"))
-    header = spark.createDataFrame([(",".join(LAYOUTS["L6"].header),)], "line string")
-    (header.withColumn("n", F.lit(0)).unionByName(lines.withColumn("n", F.lit(1)))
-     .coalesce(1).sortWithinPartitions("n").select("line")
-     .write.text(f"{base}/tables/layout=L6-more/year=2001"))
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lines = rows.select(F.when(F.col("n_orders") > 1, full).otherwise(short).alias("line"),
+                        F.lit(1).alias("n"), F.pmod(F.xxhash64("unit"), F.lit(files)).alias("file"))
+    header = spark.range(files).select(F.lit(",".join(LAYOUTS["L6"].header)).alias("line"),
+                                       F.lit(0).alias("n"), F.col("id").alias("file"))
+    folder = f"{base}/tables/layout=L6-more/year=2001"
+    (header.unionByName(lines).repartition("file").sortWithinPartitions("file", "n")
+     .select("line", "file").write.partitionBy("file").text(folder))
     # Spark names text files .txt; the reader takes names that end in .csv
-    files = spark.sparkContext._jvm.org.apache.hadoop.fs
-    folder = files.Path(f"{base}/tables/layout=L6-more/year=2001")
-    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for status in system.listStatus(folder):
-        name = status.getPath().getName()
-        if name.startswith("part-"):
-            system.rename(status.getPath(), files.Path(folder, name.replace(".txt", ".csv")))
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    system = hadoop.Path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in system.globStatus(hadoop.Path(f"{folder}/file=*/part-*")):
+        path = status.getPath()
+        system.rename(path, hadoop.Path(path.getParent(), path.getName().replace(".txt", ".csv")))
 
 
 def read_back(spark: SparkSession, sf_dir: str, malformed: bool = False

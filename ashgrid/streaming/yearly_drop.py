@@ -16,7 +16,9 @@ A *delivery* of a year is all its files in one folder.  With
 (a corrected table lands in a folder of its own); older deliveries stay in
 ``landed`` and are left out of ``current_units`` and ``totals``.  With
 ``mode="append"`` all deliveries count.  Totals of the years that a batch
-touched are recomputed from what is current.
+touched are recomputed from what is current; a batch reads the partitions of
+these years and of no other.  ``deliveries`` holds one row a file, so that
+finding the newest delivery reads no facts.
 
 The checkpoint lives beside the sink unless one is named, so a restarted job
 skips files it has already committed.
@@ -32,7 +34,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ashgrid.operators.metrics import yearly_total
 from ashgrid.plans.yearly import EXACT, conform_units
 from ashgrid.sources.yearly_csv import (CSV_GLOB, CSV_NAME, detect_layouts, read_totals, read_year,
-                                        union_years)
+                                        union_years, year_from_path)
 
 # The binaryFile source's fixed schema (streams need it stated).
 BINARY_FILE_SCHEMA = T.StructType([
@@ -51,12 +53,26 @@ def _replace(df: DataFrame, path: str, *parts: str) -> None:
        .partitionBy(*parts).parquet(path))
 
 
-def current_units(spark: SparkSession, sink: str, mode: str = "replace_year") -> DataFrame:
-    """The conformed rows that count: of every year's newest delivery, or all."""
-    landed = spark.read.parquet(f"{sink}/landed")
+def _some_years(table: DataFrame, years: list[int | None] | None) -> DataFrame:
+    """The table's partitions of these years alone; all of them without years."""
+    if years is None:
+        return table
+    named = F.col("yr").isin([y for y in years if y is not None])
+    return table.where(named | F.col("yr").isNull() if None in years else named)
+
+
+def current_units(spark: SparkSession, sink: str, mode: str = "replace_year",
+                  years: list[int | None] | None = None) -> DataFrame:
+    """The conformed rows that count: of every year's newest delivery, or all.
+
+    Which delivery is newest is told by ``deliveries``, one row a file; with
+    ``years`` only the partitions of these years are read.
+    """
+    landed = _some_years(spark.read.parquet(f"{sink}/landed"), years)
     if mode == "replace_year":
-        deliveries = landed.groupBy("yr", "delivery").agg(F.min("source_time").alias("since"))
-        newest = deliveries.groupBy("yr").agg(
+        files = _some_years(spark.read.parquet(f"{sink}/deliveries"), years)
+        since = files.groupBy("yr", "delivery").agg(F.min("source_time").alias("since"))
+        newest = since.groupBy("yr").agg(
             F.max(F.struct("since", "delivery"))["delivery"].alias("delivery"))
         same = landed["yr"].eqNullSafe(newest["yr"]) & (landed["delivery"] == newest["delivery"])
         landed = landed.join(newest, same, "left_semi")
@@ -66,11 +82,11 @@ def current_units(spark: SparkSession, sink: str, mode: str = "replace_year") ->
 def _ingest_batch(sink: str, mode: str):
     def run(batch: DataFrame, epoch_id: int) -> None:
         session = batch.sparkSession
-        paths = sorted(r.path for r in batch.select("path").distinct().collect()
-                       if CSV_NAME.search(r.path))         # bounded by max_files_per_trigger
-        if not paths:
+        files = [r for r in batch.select("path", year_from_path(F.col("path")).alias("yr"))
+                 .distinct().collect() if CSV_NAME.search(r.path)]   # bounded by max_files_per_trigger
+        if not files:
             return
-        groups = detect_layouts(session, paths)
+        groups = detect_layouts(session, sorted(r.path for r in files))
         totals_files = groups.pop("LT", None)
         if groups:
             rows = union_years([read_year(session, fs, lid) for lid, fs in sorted(groups.items())])
@@ -79,10 +95,14 @@ def _ingest_batch(sink: str, mode: str):
                 "delivery": F.regexp_replace("source_file", "/[^/]*$", ""),
                 "ingest_batch": F.lit(epoch_id)})
             _replace(units, f"{sink}/landed", "yr", "source_key")
-            # the touched years, from what was written
-            written = session.read.parquet(f"{sink}/landed").where(F.col("ingest_batch") == epoch_id)
-            touched = written.select("yr").where("yr is not null").distinct()
-            current = current_units(session, sink, mode).join(touched, "yr", "left_semi")
+            # from here on, the partitions of the years that this batch touched
+            years = sorted({r.yr for r in files}, key=lambda y: y or 0)
+            written = _some_years(session.read.parquet(f"{sink}/landed"), years).where(
+                F.col("ingest_batch") == epoch_id)
+            _replace(written.groupBy("yr", "source_key").agg(
+                F.min("delivery").alias("delivery"), F.min("source_time").alias("source_time")),
+                f"{sink}/deliveries", "yr", "source_key")
+            current = current_units(session, sink, mode, [y for y in years if y is not None])
             _replace(yearly_total(current, "yr", "area_total", "area_total", EXACT),
                      f"{sink}/totals", "yr")
         if totals_files:
