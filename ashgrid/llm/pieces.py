@@ -14,13 +14,18 @@ of that prefix and the piece itself leaves these two pieces alone, and the
 longest such piece is taken.  Merging depends on neighbours only, so a
 sequence whose neighbours all stay apart is the merged one.  Whether a pair
 stays apart is decided by merging its text, once per pair.  (Words that
-begin with two or more spaces are merged directly: their pieces share one
-score, which that argument doesn't cover.)  Characters without a piece
-become the pieces of their bytes.
+begin with two or more spaces are merged directly, with a heap: their pieces
+share one score, which that argument doesn't cover.)  Characters without a
+piece become the pieces of their bytes.
+
+A text without breaks is one word, which has nothing to advance together
+with: its substrings are probed all at once like any other's, and its
+positions are then walked one by one over the pieces that were found.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -39,8 +44,10 @@ from .texts import LETTERS, PLAIN, slices
 from .words import _P, _P_INVERSE, mix
 
 SPACE = "▁"
-#: Words, and pairs of pieces, whose results a worker keeps.
-KEPT = 250_000
+#: Words, their characters, and pairs of pieces, whose results a worker keeps.
+KEPT, KEPT_CHARS = 250_000, 16_000_000
+#: Characters from where a word is walked alone.
+LONG = 512
 _JOINED = regex.compile(rf"[\p{{L}}\p{{M}}][^{SPACE}\p{{L}}\p{{M}}]|[^{SPACE}\p{{L}}\p{{M}}][\p{{L}}\p{{M}}]")
 _PROBE = "  a bÄﬁ c\n"
 
@@ -95,6 +102,7 @@ class Codec:
         self.out_data = np.frombuffer(b"".join(self.out), np.uint8)
         self.names = names
         self.pairs, self.apart = np.array([-1]), np.array([True])
+        self.known_pairs: dict[tuple[int, int], bool] = {}
         self._index()
         self._forget()
 
@@ -113,6 +121,7 @@ class Codec:
             self.keys[length] = (keys[order], np.array([self.id[p] for p in pieces])[order])
 
     def _forget(self) -> None:
+        self.held = 0
         self.place: dict[str, int] = {}
         self.flat = np.zeros(0, np.int32)
         self.first = np.zeros(1, np.int64)
@@ -131,6 +140,8 @@ class Codec:
 
     def merge(self, word: str) -> list[str]:
         """Pieces left after merging the best-scored neighbours, leftmost first."""
+        if len(word) > 64:
+            return self._merge_long(word)
         parts = list(word)
         none = -np.inf
 
@@ -152,6 +163,35 @@ class Codec:
                 scores[at] = score(at)
         return parts
 
+    def _merge_long(self, word: str) -> list[str]:
+        """The same with a heap of pairs, for words of any length."""
+        n = len(word)
+        part: list[str | None] = list(word)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap: list[tuple[float, int, str, str]] = []
+
+        def offer(i: int) -> None:
+            if i >= 0 and after[i] < n:
+                a, b = part[i], part[after[i]]
+                joined = self.id.get(a + b)
+                if joined is not None:
+                    heapq.heappush(heap, (-self.plain_score[joined], i, a, b))
+
+        for i in range(n):
+            offer(i)
+        while heap:
+            _, i, a, b = heapq.heappop(heap)
+            j = after[i]
+            if part[i] != a or j >= n or part[j] != b:
+                continue                       # one of them was merged since
+            part[i], part[j] = a + b, None
+            after[i] = after[j]
+            if after[j] < n:
+                before[after[j]] = i
+            offer(before[i])
+            offer(i)
+        return [p for p in part if p is not None]
+
     def _spelled(self, pieces: list[str]) -> list[int]:
         """Ids of pieces; a character without one becomes its bytes."""
         out: list[int] = []
@@ -191,6 +231,10 @@ class Codec:
                 probe = (prefix[:, size:] - prefix[:, :-size]) * inverse[:length - size + 1]
                 at = np.minimum(np.searchsorted(keys, probe), len(keys) - 1)
                 match[size] = np.where(keys[at] == probe, ids[at], -1)
+        if length > LONG:
+            ids = [self._walk_one(word, {size: found[i] for size, found in match.items()})
+                   for i, word in enumerate(words)]
+            return np.concatenate(ids), np.array([len(i) for i in ids], np.int64)
         sizes = sorted(match, reverse=True)      # longest first
         step = np.zeros((m, length + 1), np.int32)          # backpointer: length of last piece
         last = np.full((m, length + 1), -1, np.int64)       # last piece, -1 for none
@@ -222,6 +266,54 @@ class Codec:
             total[:, end] = np.where(np.isfinite(best), best, 0.0)
         return self._walk(words, step, last)
 
+    def _walk_one(self, word: str, match: dict[int, np.ndarray]) -> np.ndarray:
+        """Ids of one word, whose pieces of each size are known by their start."""
+        length, bpe = len(word), self.objective == "bpe"
+        sizes = np.array(sorted(match, reverse=True), np.int64)
+        found = [(size, np.flatnonzero(match[size] >= 0)) for size in sizes.tolist()]
+        end = np.concatenate([at + size for size, at in found])
+        size_of = np.concatenate([np.full(len(at), size) for size, at in found])
+        piece_of = np.concatenate([match[size][at] for size, at in found])
+        order = np.lexsort((-size_of, end))                 # by end, longest first
+        cut = np.searchsorted(end[order], np.arange(length + 2)).tolist()
+        size_of, piece_of = size_of[order].tolist(), piece_of[order].tolist()
+        score, lowest = self.plain_score, float(self.score.min()) - 10.0
+        step, last, total = [0] * (length + 1), [-1] * (length + 1), [0.0] * (length + 1)
+        for at in range(1, length + 1):
+            best = -np.inf
+            single = False
+            for k in range(cut[at], cut[at + 1]):
+                size, piece = size_of[k], piece_of[k]
+                single = single or size == 1
+                if bpe:
+                    if best == -np.inf and self._apart(last[at - size], piece):
+                        best, step[at], last[at] = float(size), size, piece
+                else:
+                    value = total[at - size] + score[piece]
+                    if value > best:
+                        best, step[at], last[at] = value, size, piece
+            if not single and (best == -np.inf if bpe else total[at - 1] + lowest > best):
+                best = -np.inf if bpe else total[at - 1] + lowest
+                step[at], last[at] = 1, -1
+            total[at] = best if np.isfinite(best) else 0.0
+        pieces, at = [], length
+        while at > 0 and step[at]:
+            pieces.append(word[at - step[at]:at])
+            at -= step[at]
+        return np.array(self._spelled(pieces[::-1] if at == 0 else self.merge(word)), np.int32)
+
+    def _apart(self, left: int, right: int) -> bool:
+        """One pair of piece ids; ``_stay_apart`` is the same for many."""
+        if left < 0:
+            return True
+        kept = self.known_pairs.get((left, right))
+        if kept is None:
+            if len(self.known_pairs) > 4 * KEPT:
+                self.known_pairs.clear()
+            a, b = self.names[left], self.names[right]
+            kept = self.known_pairs[left, right] = self.merge(a + b) == [a, b]
+        return kept
+
     def _walk(self, words: list[str], step: np.ndarray, last: np.ndarray
               ) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all words in a row, ids per word), following the backpointers."""
@@ -272,6 +364,7 @@ class Codec:
                 ids.append(found)
                 counts.append(sizes)
                 order += part
+        self.held += sum(map(len, order))
         self.place.update(zip(order, range(len(self.place), len(self.place) + len(order)),
                               strict=True))
         self.flat = np.concatenate(ids)
@@ -286,7 +379,7 @@ class Codec:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, first id of each text and one more)."""
         split = [self._split(t) for t in texts]
-        if len(self.place) > KEPT:
+        if len(self.place) > KEPT or self.held > KEPT_CHARS:
             self._forget()
         new = sorted(set(chain.from_iterable(split)) - self.place.keys())
         if new:

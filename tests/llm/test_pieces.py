@@ -1,3 +1,6 @@
+import random
+import time
+
 import numpy as np
 import public_tokenizers
 import pytest
@@ -85,3 +88,48 @@ def test_query_equals_library(spark):
            for r in S.op2_sentencepiece(spark, SF_SMALL).collect()}
     want = LIBRARY.encode(texts)
     assert got == {i: (w, True, len(w)) for i, w in zip(ids, want, strict=True)}
+
+
+def long_texts():
+    rng = random.Random(1)
+    han = [chr(c) for c in range(0x4E00, 0x5200)]
+    return [" " * 3000, "a" + " " * 2999 + "b", "".join(rng.choice(han) for _ in range(3000)),
+            "".join(rng.choice("abcdefghij") for _ in range(3000)), "=" * 3000, "ab" * 1500, "漢" * 2000,
+            "".join(rng.choice("aé漢😀1=") for _ in range(3000)), "internationally" * 200,
+            "x" * S.LONG, "y" * (S.LONG - 1), "z" * (S.LONG + 1)]
+
+
+def test_unbroken_texts_equal_the_library():
+    texts = long_texts()
+    for text in texts:
+        assert encoded([text]) == LIBRARY.encode([text])
+    assert encoded(texts + texts[:3]) == LIBRARY.encode(texts + texts[:3])
+
+
+def test_walking_alone_equals_advancing_together(monkeypatch):
+    words = [t.replace(" ", S.SPACE)[:300] for t in long_texts()]
+    for objective in ("bpe", "unigram"):
+        use = S.codec(PATH, objective)
+        together = [use.search([w])[0].tolist() for w in words]
+        monkeypatch.setattr(S, "LONG", 0)
+        assert [use.search([w])[0].tolist() for w in words] == together
+        monkeypatch.undo()
+
+
+def test_a_megabyte_without_breaks_takes_seconds():
+    rng = random.Random(2)
+    for text in (" " * (1 << 20), "".join(chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(350_000))):
+        start = time.perf_counter()
+        ids = encoded([text])[0]
+        assert time.perf_counter() - start < 30
+        assert ids == LIBRARY.encode(text)
+
+
+def test_kept_words_are_bounded_by_their_characters(monkeypatch):
+    monkeypatch.setattr(S, "KEPT_CHARS", 2000)
+    use = S.Codec(PATH, "bpe")
+    for i in range(40):
+        text = f"word{i} " * 3 + "x" * 100 + str(i)
+        ids, _ = use.encode([text])
+        assert ids.tolist() == LIBRARY.encode(text)
+        assert use.held <= 2000 + 200
