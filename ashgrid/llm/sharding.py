@@ -2,7 +2,9 @@
 
 Every row has a 64-bit key: the high 40 bits come from a hash of its text, so
 equal texts are neighbours, the low 24 from a hash of its id, so that even a
-third of all rows with one text can be cut.  Splitters are found without
+third of all rows with one text can be cut.  Rows that share their key (they
+repeat id and text, or have no id) get these bits from their place in a
+written table instead.  Splitters are found without
 sorting: the exact bytes below evenly spaced probe keys are counted over all
 partitions, the probes that enclose each target become its new bracket, and
 the bracket is probed again until a probe is within tolerance of its target.
@@ -39,6 +41,28 @@ def keyed(docs: DataFrame, id_col: str, text_col: str, keep: tuple[str, ...] = (
             F.xxhash64(F.col(id_col).cast("string")).bitwiseAND(F.lit(low))).alias("__key"))
 
 
+def cuttable(light: DataFrame, docs: DataFrame, id_col: str, text_col: str,
+             keep: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
+    """(rows without, rows with the kept columns), keyed so that repeated rows differ too.
+
+    Rows that share a key are told apart by file and position in a written
+    table, so a task that runs again sees the same keys; which of several
+    equal rows gets which key makes no difference.
+    """
+    again = light.groupBy("__key").agg(F.count("*").alias("n")).where("n > 1")
+    if again.isEmpty():
+        return light, keyed(docs, id_col, text_col, keep) if keep else light
+    rows = saved(keyed(docs, id_col, text_col, keep), "shard-rows") if keep else light
+    again = again.select(F.col("__key").alias("__again"))
+    low = F.lit((1 << _ID_BITS) - 1)
+    placed = rows.select("*", F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("__at"))
+    own = F.col("__key").bitwiseAND(F.lit(~((1 << _ID_BITS) - 1))).bitwiseOR(F.col("__at").bitwiseAND(low))
+    placed = placed.join(again, F.col("__key") == F.col("__again"), "left")
+    rows = saved(placed.withColumn("__key", F.when(F.col("__again").isNotNull(), own)
+                                   .otherwise(F.col("__key"))).select(rows.columns), "shard-rows")
+    return rows, rows
+
+
 def histogram(rows: DataFrame, probes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Exact (bytes, rows) between neighbouring probe keys: below the first, ..., from the last."""
     ship(rows.sparkSession)
@@ -110,9 +134,10 @@ def shard(docs: DataFrame, shards: int, *, id_col: str = "doc_id", text_col: str
     can miss by its own size.  Every shard is sorted in ranges of about
     ``range_rows`` rows, each its own task, so shards may be of any size.
     Null texts count as empty, null ids as any other id, repeated rows get a
-    slot each; an empty table gives an empty one.
+    slot each and are cut like others; an empty table gives an empty one.
     """
-    light = saved(keyed(docs, id_col, text_col), "shard-keys")
+    light, rows = cuttable(saved(keyed(docs, id_col, text_col), "shard-keys"), docs, id_col,
+                           text_col, keep)
     count, total = light.agg(F.count("*"), F.coalesce(F.sum("__size"), F.lit(0))).first()
     parts = max(1, -(-count // (shards * range_rows)))
     cuts = np.sort(splitters(light, total, shards * parts, int(tolerance * total / shards))
@@ -121,7 +146,6 @@ def shard(docs: DataFrame, shards: int, *, id_col: str = "doc_id", text_col: str
     number = histogram(light, cuts)[1].reshape(shards, parts)
     slots = (np.cumsum(number, axis=1) - number).ravel()
     shared = docs.sparkSession.sparkContext.broadcast((cuts, slots))   # 16 bytes per range
-    rows = keyed(docs, id_col, text_col, keep) if keep else light
     names = rows.columns
     schema = ", ".join(f"`{c}` {kind(rows, c)}" for c in names)
 

@@ -82,3 +82,28 @@ def test_written_shards_hold_whole_rows(spark, tmp_path):
     back = spark.read.parquet(f"{tmp_path}/out")
     assert sorted((r.doc_id, r.text) for r in back.collect()) == [(i, f"text {i}") for i in range(60)]
     assert back.select("shard").distinct().count() == 4
+
+
+@pytest.mark.parametrize("rows", [
+    [(1, "one repeated row")] * 320, [(None, "one of two texts"), (None, "another text here")] * 160,
+    [(1, "one repeated row")] * 160 + [(i, f"text {i} of its own") for i in range(160)]])
+def test_repeated_rows_are_cut(spark, rows):
+    docs = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)],
+                                 "doc_id long, text string, label int").repartition(4)
+    for keep in ((), ("label",)):
+        got = S.shard(docs, 16, keep=keep).collect()
+        sums = check(got, 16)
+        assert max(sums) - min(sums) <= 2 * max(len(t) + 1 for _, t in rows)
+        assert len(got) == 320
+        if keep:
+            assert sorted(r.label for r in got) == list(range(320))
+
+
+def test_a_hot_repeated_row_is_cut_into_ranges(spark):
+    docs = spark.range(6000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id")).alias("doc_id"),
+        F.when(F.col("id") % 3 == 0, F.lit("no id")).otherwise(
+            F.concat(F.lit("text "), F.col("id").cast("string"))).alias("text")).repartition(5)
+    got = S.shard(docs, 8, range_rows=200).collect()
+    sums = check(got, 8)
+    assert max(sums) - min(sums) <= 60 and len(got) == 6000
