@@ -140,14 +140,28 @@ def _cuts_up_to(key: Column, cuts: list) -> Column:
         (n - 1) * step + up_to(F.slice(constant(cuts), (n - 1) * step + 1, step))))
 
 
+def _cuts(df: DataFrame, key: str, parts: int) -> list:
+    """Up to ``parts - 1`` keys that cut the rows into ranges; only balance depends on them.
+
+    Approximate quantiles of numbers and times; of texts, which Spark has none
+    of, evenly spaced ones of 16 different keys a range, chosen by hash.
+    """
+    if kind(df, key) not in ("string", "binary"):
+        return sorted(set(df.agg(F.percentile_approx(
+            key, [i / parts for i in range(1, parts)], 10 * parts)).first()[0] or []))
+    some = (df.where(F.col(key).isNotNull()).select(key).distinct()
+            .orderBy(F.xxhash64(key)).limit(16 * parts).collect())
+    return sorted(r[0] for r in some)[16::16]      # by code point, as Spark sorts UTF-8
+
+
 def with_next(df: DataFrame, key: str, value: str, names: dict[str, str], *,
               prepare: Callable[[DataFrame], DataFrame] = lambda d: d,
               parts: int | None = None) -> DataFrame:
     """Every row with columns of the row that follows by ascending ``key`` (last: the first).
 
-    ``df`` has the columns ``key`` and ``value``; ``prepare`` may add more, row
-    by row.  ``names`` says which columns of the following row to add, and as
-    what.  The keys are cut at approximate quantiles into ``parts`` ranges
+    ``df`` has the columns ``key`` (a number, a time or a text) and ``value``;
+    ``prepare`` may add more, row by row.  ``names`` says which columns of the
+    following row to add, and as what.  The keys are cut into ``parts`` ranges
     (default: six a shuffle partition, so that partitions even out); each range is sorted in its own
     task and gets a copy of the following range's first row, so no task holds
     the whole order, and rows are exchanged once.  Rows of a null key come
@@ -155,8 +169,7 @@ def with_next(df: DataFrame, key: str, value: str, names: dict[str, str], *,
     """
     spark = df.sparkSession
     parts = parts or 6 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cuts = sorted(set(df.agg(F.percentile_approx(
-        key, [i / parts for i in range(1, parts)], 10 * parts)).first()[0] or []))
+    cuts = _cuts(df, key, parts)
     ranged = df.withColumn("__range", F.when(F.col(key).isNull(), 0).otherwise(
         _cuts_up_to(F.col(key), cuts)))
     stats = (ranged.groupBy("__range")                        # at most ``parts`` rows
