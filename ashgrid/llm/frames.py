@@ -26,6 +26,18 @@ def kind(df: DataFrame, column: str) -> str:
     return df.schema[column].dataType.simpleString()
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names like these that ``df`` doesn't have, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def id_hash_mod(column: str, divisor: int) -> Column:
     """crc32 of the id as text, modulo ``divisor`` (a null id counts as empty text)."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % divisor

@@ -1,15 +1,19 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine, block-max index.
 
-The vocabulary holds the words that tell the labels apart in the labelled
-sample (a Chernoff bound on the label's share among the texts with the word,
-corrected for the number of words tried).  Examples are TF-IDF vectors of
-unit length over it, kept in an inverted index whose postings are cut into
-blocks of examples; every (word, block) stores its largest weight.  A query
-first gets an upper bound for each block, then scores blocks in falling
-order of bound until no block left can reach the k-th best: the neighbours
-are exact.  The neighbours vote with squared similarities against the
-labels' prior share, and the votes are calibrated (Platt) on leave-one-out
-votes of the examples.
+Texts are vectors of all their words that occur among the labelled examples,
+of unit length.  A word weighs its inverse document frequency, counted over
+all documents, times how much it tells about the label: the evidence (n times
+the Kullback-Leibler divergence of the label's share among its n examples from
+the share among all) over itself plus a constant.  Common words and words of
+few examples thus count little, but every example is in the index and
+every text that shares a word with one has neighbours.
+
+The inverted index cuts the postings of every word into blocks of examples
+and stores each block's largest weight.  A query gets an upper bound for each
+block from these alone, scores the blocks of the highest bounds, and then all
+blocks whose bound reaches the k-th best score so far: the neighbours are
+exact.  They vote with squared similarities against the labels' prior share,
+and the votes are calibrated (Platt) on leave-one-out votes of the examples.
 """
 
 from __future__ import annotations
@@ -23,9 +27,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import words as W
-from .frames import id_hash_mod, kind, map_batches, saved, table
+from .frames import fresh, id_hash_mod, kind, map_batches, ship, table
 
 BLOCK = 64
+#: Blocks that are scored before bounds are compared with the k-th best.
+LEAD = 4
+#: Least weight of a word that tells nothing, and the evidence that counts half.
+FLOOR, HALF = 0.02, 10.0
+#: Labelled rows that the registered query's index holds at most.
+MAX_EXAMPLES = 8000
 
 
 def term_counts(w: W.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -39,18 +49,25 @@ def term_counts(w: W.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return o[at], h[at], np.diff(np.append(at, len(h)))
 
 
+def _ranges(lo: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All of ``lo[i] .. lo[i] + size[i] - 1``, one run after the other."""
+    return np.arange(size.sum()) + np.repeat(lo - (np.cumsum(size) - size), size)
+
+
 @dataclass
 class Index:
-    """Labelled examples as a block-max inverted index over a bounded vocabulary."""
+    """Labelled examples as a block-max inverted index over all their words."""
 
     terms: np.ndarray        # sorted word hashes
-    idf: np.ndarray
+    rate: np.ndarray         # weight of each word
     ids: np.ndarray          # id of each example, as text
     labels: np.ndarray
-    pointer: np.ndarray      # [term, block] -> first posting; one column more
+    entry: np.ndarray        # of each term: its first entry, and one more
+    block: np.ndarray        # entries, by term: block, and its largest weight
+    most: np.ndarray
+    first: np.ndarray        # of each entry: its first posting, and one more
     example: np.ndarray      # postings: example
     weight: np.ndarray       # postings: weight in the example's unit vector
-    block_max: np.ndarray    # [term, block] -> largest weight
     prior: float             # label share among all sampled rows
     k: int
     pull: float              # weight of the prior in a vote
@@ -65,38 +82,43 @@ class Index:
         at = np.minimum(np.searchsorted(self.terms, h), len(self.terms) - 1)
         known = self.terms[at] == h
         owner, term = owner[known], at[known]
-        value = (1.0 + np.log(count[known])) * self.idf[term]
+        value = (1.0 + np.log(count[known])) * self.rate[term]
         norm = np.sqrt(np.bincount(owner, value * value, texts))
         return (np.searchsorted(owner, np.arange(texts + 1)), term, value / norm[owner])
 
     def nearest(self, term: np.ndarray, weight: np.ndarray, skip: int = -1
                 ) -> tuple[np.ndarray, np.ndarray]:
         """The ``k`` examples of highest positive cosine, ties by lower index."""
-        bound = weight @ self.block_max[term]
-        order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 0]
-        scores, found = np.zeros(len(self.labels)), np.zeros(0, np.int64)
-        done, step = 0, 2
-        while done < len(order):
-            blocks = order[done:done + step]
-            if len(found) >= self.k:
-                kth = np.partition(scores[found], -self.k)[-self.k]
-                blocks = blocks[bound[blocks] >= kth - 1e-12]
-                if not len(blocks):
-                    break
-            lo = self.pointer[term[:, None], blocks].ravel()
-            size = self.pointer[term[:, None], blocks + 1].ravel() - lo
-            shift = np.cumsum(size) - size
-            at = np.arange(size.sum()) + np.repeat(lo - shift, size)
-            gain = self.weight[at] * np.repeat(np.repeat(weight, len(blocks)), size)
-            np.add.at(scores, self.example[at], gain)
-            hit = np.unique(self.example[at])
-            found = np.concatenate((found, hit[hit != skip]))
-            done, step = done + step, step * 4
+        n, lo = len(self.labels), self.entry[term]
+        size = self.entry[term + 1] - lo
+        entry, share = _ranges(lo, size), np.repeat(weight, size)
+        block = self.block[entry]
+        blocks = -(-n // BLOCK)
+        bound = np.bincount(block, share * self.most[entry], blocks)
+        scores = np.zeros(n)
+
+        def score(chosen: np.ndarray) -> None:
+            use = chosen[block]
+            some = entry[use]
+            number = self.first[some + 1] - self.first[some]
+            at = _ranges(self.first[some], number)
+            scores[:] += np.bincount(self.example[at], np.repeat(share[use], number)
+                                     * self.weight[at], n)
+            if skip >= 0:
+                scores[skip] = 0.0
+
+        lead = np.zeros(blocks, bool)
+        lead[np.argsort(-bound, kind="stable")[:LEAD]] = True
+        score(lead)
+        kth = np.partition(scores, n - self.k)[n - self.k] if n > self.k else 0.0
+        rest = ~lead & (bound > 0) & (bound >= kth - 1e-6)
+        if rest.any():
+            score(rest)
+        found = np.flatnonzero(scores > 0)
         if len(found) > self.k:
-            found = found[np.lexsort((found, -scores[found]))[:self.k]]
-        else:
-            found = found[np.lexsort((found, -scores[found]))]
+            kth = np.partition(scores[found], -self.k)[-self.k]
+            found = found[scores[found] >= kth]
+        found = found[np.lexsort((found, -scores[found]))[:self.k]]
         return found, scores[found]
 
     def vote(self, found: np.ndarray, similarity: np.ndarray) -> float:
@@ -108,42 +130,39 @@ class Index:
 
 
 def build(rows: list[tuple[str, int, np.ndarray, np.ndarray]], terms: np.ndarray,
-          idf: np.ndarray, k: int = 16, pull: float = 0.5) -> Index:
+          rate: np.ndarray, k: int = 16, pull: float = 0.5) -> Index:
     """Index of (id, label, word hashes, counts) examples; then calibrated.
 
-    Examples without a word of the vocabulary are similar to nothing; they
-    count in the prior only.
+    Examples without a word of ``terms`` are similar to nothing; they count in
+    the prior only.
     """
     prior = (sum(r[1] for r in rows) + 1) / (len(rows) + 2)
-    index = Index(terms, idf, np.zeros(0, object), np.zeros(0), np.zeros((0, 1), np.int64),
-                  np.zeros(0, np.int64), np.zeros(0), np.zeros((0, 0)), prior, k, pull)
+    none = np.zeros(0, np.int64)
+    index = Index(terms, rate, np.zeros(0, object), np.zeros(0), none, none, np.zeros(0),
+                  none, none, np.zeros(0), prior, k, pull)
     vectors = []
     for name, label, h, count in rows:
         _, term, weight = index.vectors(np.zeros(len(h), np.int64), h, count, 1)
         if len(term):
             vectors.append((label, int(term[np.argmax(weight)]), name, term, weight))
     vectors.sort(key=lambda v: v[:3])    # like examples share a block: tighter bounds
-    blocks = -(-len(vectors) // BLOCK)
     index.ids = np.array([v[2] for v in vectors], dtype=object)
     index.labels = np.array([v[0] for v in vectors], dtype=float)
-    if vectors:
-        example = np.repeat(np.arange(len(vectors)), [len(v[3]) for v in vectors])
-        term = np.concatenate([v[3] for v in vectors])
-        weight = np.concatenate([v[4] for v in vectors])
-        order = np.lexsort((example, term))
-        example, term, weight = example[order], term[order], weight[order]
-        key = term * (blocks + 1) + example // BLOCK
-        index.pointer = np.searchsorted(
-            key, np.arange(len(terms) * (blocks + 1))).reshape(len(terms), blocks + 1)
-        index.example, index.weight = example, weight
-        index.block_max = np.zeros((len(terms), blocks))
-        np.maximum.at(index.block_max, (term, example // BLOCK), weight)
-    else:
-        index.pointer = np.zeros((len(terms), 1), np.int64)
-        index.block_max = np.zeros((len(terms), 0))
-    place = {v[2]: i for i, v in enumerate(vectors)}
-    held = {v[2]: v for v in vectors}
-    votes = np.array([index.vote(*index.nearest(held[r[0]][3], held[r[0]][4], place[r[0]]))
+    example = np.repeat(np.arange(len(vectors)), [len(v[3]) for v in vectors])
+    term = np.concatenate([v[3] for v in vectors] or [none])
+    order = np.lexsort((example, term))
+    term, index.example = term[order], example[order].astype(np.int32)
+    index.weight = np.concatenate([v[4] for v in vectors] or [np.zeros(0)])[order].astype(np.float32)
+    block = index.example // BLOCK
+    new = np.ones(len(term), bool)
+    new[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
+    lead = np.flatnonzero(new)
+    index.block, index.first = block[lead], np.append(lead, len(term))
+    index.most = (np.maximum.reduceat(index.weight, lead) if len(lead)
+                  else np.zeros(0, np.float32))
+    index.entry = np.searchsorted(term[lead], np.arange(len(terms) + 1))
+    held = {v[2]: (i, v) for i, v in enumerate(vectors)}
+    votes = np.array([index.vote(*index.nearest(held[r[0]][1][3], held[r[0]][1][4], held[r[0]][0]))
                       if r[0] in held else prior for r in rows])
     index.slope, index.shift = _platt(votes, np.array([r[1] for r in rows], dtype=float), prior)
     return index
@@ -165,36 +184,56 @@ def _platt(votes: np.ndarray, labels: np.ndarray, prior: float) -> tuple[float,
     return max(float(w[0]), 0.1), float(w[1])
 
 
-def _telling_terms(counts: DataFrame, rows: int, positive: int, max_terms: int,
-                   doubt: float) -> tuple[np.ndarray, np.ndarray]:
-    """(word hash, idf) of the words whose label share is too far off to be chance.
+def telling(n: np.ndarray, k: np.ndarray, rows: int, positive: int) -> np.ndarray:
+    """How much words tell about the label, from FLOOR to 1: n examples, k with the label."""
+    share = min(max(positive / max(rows, 1), 1e-9), 1 - 1e-9)
+    p = k / np.maximum(n, 1)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        gain = n * (np.where(p > 0, p * np.log(p / share), 0.0)
+                    + np.where(p < 1, (1 - p) * np.log((1 - p) / (1 - share)), 0.0))
+    return FLOOR + (1 - FLOOR) * gain / (gain + HALF)
+
+
+def document_counts(docs: DataFrame, terms: np.ndarray, text_col: str = "text"
+                    ) -> tuple[int, np.ndarray]:
+    """(number of rows, rows that hold each of the sorted word hashes), over all rows.
 
-    ``counts`` has (term, n, k): rows with the word, and those of them with
-    the label.  n * KL(k/n || share) must exceed ln(words / doubt); where no
-    word does, the 64 of the highest value are taken.
+    Every task counts into one array over the terms, so what is exchanged is at
+    most a row per term and task.
     """
-    share = min(max(positive / max(rows, 1), 1e-9), 1 - 1e-9)
-    p = F.col("k") / F.col("n")
-    gain = (F.when(p > 0, p * F.log(p / share)).otherwise(0.0)
-            + F.when(p < 1, (1 - p) * F.log((1 - p) / (1 - share))).otherwise(0.0)) * F.col("n")
-    tried = max(counts.count(), 1)
-    best = (counts.withColumn("gain", gain).orderBy(F.desc("gain"), "term").limit(max_terms)
-            .toPandas())
-    picked = best[best["gain"] >= np.log(tried / doubt)]
-    picked = (best.head(64) if picked.empty else picked).sort_values("term")
-    terms = picked["term"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(terms)
-    return terms[order], np.log(1.0 + rows / picked["n"].to_numpy(float))[order]
-
-
-def fit(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-        label_col: str = "label", max_terms: int = 8192, k: int = 16,
-        doubt: float = 1.0) -> Index:
+    ship(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(terms)   # words of the bounded sample
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        number, rows = np.zeros(len(known) + 1, np.int64), 0
+        for batch in batches:
+            rows += batch.num_rows
+            for w in W.chunks(batch.column(0)):
+                _, h, _ = term_counts(w)
+                at = np.searchsorted(known, h)
+                hit = at < len(known)
+                hit[hit] = known[at[hit]] == h[hit]
+                number += np.bincount(at[hit], minlength=len(number))
+        number[-1] = rows
+        some = np.flatnonzero(number)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(number[some])],
+                                         names=["term", "n"])
+
+    got = (docs.select(text_col).mapInArrow(count, "term long, n long").groupBy("term")
+           .agg(F.sum("n").alias("n")).toArrow())
+    number = np.zeros(len(terms) + 1, np.int64)
+    number[got["term"].to_numpy()] = got["n"].to_numpy()
+    return int(number[-1]), number[:-1]
+
+
+def fit(labelled: DataFrame, docs: DataFrame | None = None, *, id_col: str = "doc_id",
+        text_col: str = "text", label_col: str = "label", k: int = 16) -> Index:
     """Index a bounded sample of labelled rows (the caller bounds its row count).
 
-    Rows with a null label are left out.  Word statistics are grouped by
-    Spark; the driver receives at most ``max_terms`` words and, of each row,
-    the counts of those words only.
+    Rows with a null label are left out.  Document frequencies are counted
+    over all of ``docs`` (over the sample where there is none).  The driver
+    receives the words of the sampled rows, whole, and one count per word.
     """
     rows = labelled.where(F.col(label_col).isNotNull()).select(
         F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("id"),
@@ -210,33 +249,23 @@ def fit(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                  pa.ListArray.from_arrays(cut, pa.array(count.astype(np.int32)))],
                 names=["id", "label", "terms", "counts"])
 
-    made = saved(map_batches(rows, extract,
-                             "id string, label int, terms array<long>, counts array<int>"),
-                 "toxicity-sample")
-    n, positive = made.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
-    counts = (made.select("label", F.explode("terms").alias("term")).groupBy("term")
-              .agg(F.count("*").alias("n"), F.sum("label").alias("k")))
-    terms, idf = _telling_terms(counts, n, positive, max_terms, doubt)
-    wanted = np.sort(terms.view(np.int64))
-
-    def narrow(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        lists, numbers = batch.column("terms"), batch.column("counts")
-        keep = np.isin(lists.values.to_numpy(), wanted)
-        offsets = lists.offsets.to_numpy()
-        passed = np.concatenate(([0], np.cumsum(keep)))
-        cut = pa.array(passed[offsets].astype(np.int32))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("id"), batch.column("label"),
-             pa.ListArray.from_arrays(cut, lists.values.filter(pa.array(keep))),
-             pa.ListArray.from_arrays(cut, numbers.values.filter(pa.array(keep)))],
-            names=["id", "label", "terms", "counts"])
-
-    got = map_batches(made, narrow,
+    got = map_batches(rows, extract,
                       "id string, label int, terms array<long>, counts array<int>").toArrow()
-    examples = [(i, y, np.array(t, np.int64).view(np.uint64), np.array(c, np.int64))
-                for i, y, t, c in zip(*(got[c].to_pylist() for c in got.column_names),
-                                      strict=True)]
-    return build(sorted(examples, key=lambda r: r[0]), terms, idf, k)
+    lists, numbers = (got[c].combine_chunks() for c in ("terms", "counts"))
+    ids, labels = got["id"].to_pylist(), got["label"].to_numpy()
+    owner = np.repeat(np.arange(len(ids)), lists.value_lengths().to_numpy())
+    flat, count = (x.flatten().to_numpy(zero_copy_only=False) for x in (lists, numbers))
+    flat = flat.view(np.uint64)
+    terms, at = np.unique(flat, return_inverse=True)
+    n = np.bincount(at, minlength=len(terms))
+    with_label = np.bincount(at, labels[owner], len(terms))
+    total, often = document_counts(labelled if docs is None else docs, terms, text_col)
+    rate = (np.log(1.0 + max(total, len(ids)) / np.maximum(often, n))
+            * telling(n, with_label, len(ids), int(labels.sum())))
+    cut = np.searchsorted(owner, np.arange(len(ids) + 1))
+    examples = [(ids[i], int(labels[i]), flat[cut[i]:cut[i + 1]], count[cut[i]:cut[i + 1]])
+                for i in range(len(ids))]
+    return build(sorted(examples, key=lambda r: r[0]), terms, rate, k)
 
 
 def score_texts(column: pa.Array, index: Index, evidence: int = 3
@@ -258,8 +287,8 @@ def score(docs: DataFrame, index: Index, *, id_col: str = "doc_id", text_col: st
           threshold: float = 0.5, keep: tuple[str, ...] = ()) -> DataFrame:
     """(id, kept columns, score, predicted, evidence) of every row, over whole texts.
 
-    Null and empty texts, and texts without a telling word, get the score of
-    the prior.  Repeated rows are scored alike and stay repeated; other
+    Null and empty texts, and texts that share no word with an example, get the
+    score of the prior.  Repeated rows are scored alike and stay repeated; other
     columns are ignored; an empty table gives an empty one.
     """
     shared = docs.sparkSession.sparkContext.broadcast(index)  # bounded rows and terms
@@ -273,14 +302,18 @@ def score(docs: DataFrame, index: Index, *, id_col: str = "doc_id", text_col: st
             names=[*columns, "score", "predicted", "evidence"])
 
     schema = ", ".join(f"`{c}` {kind(docs, c)}" for c in columns)
-    text = F.col(text_col).alias("__text")
+    text = F.col(text_col).alias(fresh(docs, "scored_text")[0])
     return map_batches(docs.select(*columns, text), run,
                        f"{schema}, score double, predicted int, evidence string")
 
 
 def drop_toxic(docs: DataFrame, index: Index, *, text_col: str = "text",
                threshold: float = 0.5) -> DataFrame:
-    """The rows scored below ``threshold``, with all their columns."""
+    """The rows scored below ``threshold``, with all their columns.
+
+    Null and empty texts have the score of the prior; repeated rows are scored
+    alike, so all or none of them stay; an empty table gives an empty one.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(index)  # bounded rows and terms
     where = docs.columns.index(text_col)
 
@@ -305,7 +338,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFr
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Registered query: toxicity of all documents, learned outside the held-out fifth."""
     docs = table(spark, sf_dir, "documents")
-    index = fit(labelled_sample(docs, table(spark, sf_dir, "labels"), 8000))
+    index = fit(labelled_sample(docs, table(spark, sf_dir, "labels"), MAX_EXAMPLES), docs)
     return score(docs, index).select(
         "doc_id", (id_hash_mod("doc_id", 5) == 0).alias("held_out"), "score", "predicted",
         "evidence")

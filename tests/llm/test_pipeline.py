@@ -30,7 +30,7 @@ def test_whole_run_equals_the_stages_by_brute_force(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     sample = toxicity.labelled_sample(docs, spark.read.parquet(f"{SF_SMALL}/labels.parquet"),
                                       C.MAX_EXAMPLES)
-    index = toxicity.fit(sample)
+    index = toxicity.fit(sample, docs)
     rejected = {r.doc_id for r in toxicity.score(docs, index).where("predicted = 1").collect()}
     rows = [(i, t) for i, t in zip(ids, texts, strict=True) if i not in rejected]
     first = {c for i, c, _ in near(rows) if i == c}
@@ -59,7 +59,7 @@ def test_toxic_documents_go_and_clean_ones_stay(spark):
     toxic = [i for i, y in zip(ids, labels, strict=True) if y == 1]
     clean = [i for i, y in zip(ids, labels, strict=True) if y == 0]
     assert sum(i in kept for i in clean) >= 0.99 * len(clean)
-    assert sum(i in kept for i in toxic) <= 0.4 * len(toxic)
+    assert sum(i not in kept for i in toxic) >= 0.95 * len(toxic)
 
 
 def test_last_stage_decodes(spark):
