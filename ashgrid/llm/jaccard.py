@@ -6,8 +6,9 @@ bands; the number of bands and rows is chosen for a target recall at the
 threshold.  A shuffle on band hashes gathers what agrees in a band, and only
 a star of edges to the least member leaves each band, never its pairs.  The
 components of these stars are the candidate groups.  In a group all pairs
-are verified on full sets, in blocks: the block pairs of a large group are
-tasks of their own, and the counts of common runs of a block pair are one
+are verified on full sets.  A large one is cut into blocks, and only block
+pairs that share one of some set's rarest runs meet, as an exact bound shows
+that others hold no link.  The counts of common runs of a block pair are one
 matrix product.  What leaves a task are link counts and the edges of a
 spanning forest, so output grows with the documents.  The verified
 components are the classes.
@@ -26,11 +27,12 @@ from pyspark.sql import functions as F
 
 from . import words as W
 from .components import components
-from .frames import kind, map_batches, saved, ship, table
+from .frames import fresh, kind, map_batches, saved, ship, table
 
 WORDS = 5
 THRESHOLD = 0.8
-#: Classes of one candidate group that are verified against each other at once.
+#: Classes of one candidate group that are verified against each other at once;
+#: a group of more is cut.
 BLOCK = 512
 
 
@@ -111,27 +113,70 @@ def _candidates(classes: DataFrame) -> DataFrame:
     return components(stars).select(F.col("node").alias("key"), F.col("label").alias("part"))
 
 
-def _blocked(parts: DataFrame) -> DataFrame:
-    """(key, part, left, right, own) rows: which block pairs verify a class.
+def _whole(parts: DataFrame) -> DataFrame:
+    """(key, part, left, right, own, task) of groups of up to BLOCK classes: one block each.
 
-    A group of up to BLOCK classes is one block, and small groups share a
-    task.  A larger one is cut into blocks by hash; each class goes to the
-    pairs of its block with every block of the group.
+    Small groups share a task.
     """
-    sizes = parts.groupBy("part").agg(F.count("*").alias("size"))
     bins = F.greatest(F.lit(1), F.ceil(F.lit(parts.count()) / BLOCK)).cast("int")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    cut = parts.join(sizes, "part").select(
-        "key", "part", blocks.alias("blocks"),
-        F.pmod(F.xxhash64("key"), blocks).cast("int").alias("own"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    spread = cut.select("key", "part", "blocks", "own", other.alias("other"))
-    # a group of one block is told by its bin; the digest of a large one by itself
-    return spread.select(
-        "key", "part", "own", F.least("own", "other").alias("left"),
-        F.greatest("own", "other").alias("right"),
-        F.when(F.col("blocks") > 1, F.col("part"))
-        .otherwise(F.pmod(F.xxhash64("part"), bins).cast("string").cast("binary")).alias("task"))
+    one = F.lit(0).cast("long")
+    return parts.select("key", "part", one.alias("left"), one.alias("right"), F.lit(0).alias("own"),
+                        F.concat(F.lit("whole "), F.pmod(F.xxhash64("part"), bins).cast("string"))
+                        .alias("task"))
+
+
+def _by_prefix(parts: DataFrame, grams: DataFrame, threshold: float) -> DataFrame:
+    """(key, part, left, right, own, task) of larger groups: the block pairs that can hold a link.
+
+    Sets of n runs that reach the threshold t share one of their n - ceil(t n) + 1
+    rarest runs, in any fixed order of runs; so sets that share none of these
+    need not meet.  Classes of one least run hash (a MinHash: linked sets
+    mostly share it) form blocks of about BLOCK, and only blocks that hold such a
+    shared run are paired.  A class thus travels to as many blocks as hold
+    sets like it, however large its group is.
+    """
+    def unpack(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        sets = [np.frombuffer(g, np.int64) for g in batch.column("grams").to_pylist()]
+        cut = np.concatenate(([0], np.cumsum([len(g) for g in sets]))).astype(np.int32)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("key"), batch.column("part"),
+             pa.array([g[0] for g in sets], pa.int64()),
+             pa.ListArray.from_arrays(cut, pa.array(np.concatenate(sets), pa.int64()))],
+            names=["key", "part", "least", "grams"])
+
+    sets = saved(map_batches(
+        grams.join(parts, "key").dropDuplicates(["key"]).select("key", "part", "grams"), unpack,
+        "key binary, part binary, least long, grams array<long>"), "jaccard-large")
+    each = sets.select("key", "part", F.explode("grams").alias("gram"))
+    often = saved(each.groupBy("part", "gram").agg(F.count("*").alias("n")), "jaccard-often")
+    n = F.size("ranked")
+    rarest = (each.join(often, ["part", "gram"]).groupBy("key", "part")
+              .agg(F.sort_array(F.collect_list(F.struct("n", "gram"))).alias("ranked"))
+              .select("key", "part", F.explode(F.slice(
+                  "ranked", F.lit(1), n - F.ceil(n * F.lit(threshold) - F.lit(1e-6)).cast("int") + 1))
+                  .alias("r"))
+              .where("r.n > 1").select("key", "part", F.col("r.gram").alias("gram")))
+    cuts = sets.groupBy("part", "least").agg(F.ceil(F.count("*") / BLOCK).alias("cuts"))
+    blocks = saved(sets.select("key", "part", "least").join(cuts, ["part", "least"]).select(
+        "key", "part", F.xxhash64("least", F.pmod(F.xxhash64("key"), F.col("cuts"))).alias("block")),
+        "jaccard-blocks")
+    held = saved(rarest.join(blocks, ["key", "part"]).select("part", "gram", "block").distinct(),
+                 "jaccard-held")
+    other = held.select("part", "gram", F.col("block").alias("right"))
+    pairs = saved(
+        held.withColumnRenamed("block", "left").join(other, ["part", "gram"]).where("left < right")
+        .select("part", "left", "right").distinct()
+        .unionAll(blocks.select("part", F.col("block").alias("left"), F.col("block").alias("right"))
+                  .distinct()), "jaccard-pairs")
+    sides = F.array_distinct(F.array(F.struct(F.col("left").alias("block"), F.lit(0).alias("own")),
+                                     F.struct(F.col("right").alias("block"),
+                                              (F.col("left") != F.col("right")).cast("int").alias("own"))))
+    sent = saved(pairs.select("part", "left", "right", F.explode(sides).alias("side"))
+                 .select("part", "left", "right", "side.block", "side.own")
+                 .join(blocks, ["part", "block"]), "jaccard-sent")
+    bins = max(1, -(-sent.count() // (2 * BLOCK)))
+    return sent.select("key", "part", "left", "right", "own", F.concat(F.lit("pair "), F.pmod(
+        F.xxhash64("part", "left", "right"), F.lit(bins)).cast("string")).alias("task"))
 
 
 def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -215,8 +260,8 @@ def _verified(members: DataFrame, threshold: float) -> DataFrame:
         part, left, right, own, copies = (group[c].to_pylist()
                                           for c in ("part", "left", "right", "own", "copies"))
         keys, grams = group["key"].to_pylist(), group["grams"].to_pylist()
-        by_part: dict[bytes, dict[bytes, int]] = {}
-        for i, p in enumerate(part):
+        by_part: dict[tuple, dict[bytes, int]] = {}
+        for i, p in enumerate(zip(part, left, right, strict=True)):
             by_part.setdefault(p, {})[keys[i]] = i        # a repeated row counts once
         out: tuple[list, list, list] = ([], [], [])
         for rows in by_part.values():
@@ -231,7 +276,7 @@ def _verified(members: DataFrame, threshold: float) -> DataFrame:
         return pa.table([pa.array(out[0], pa.binary()), pa.array(out[1], pa.binary()),
                          pa.array(out[2], pa.int64())], names=["key", "root", "links"])
 
-    return members.groupBy("task", "left", "right").applyInArrow(
+    return members.groupBy("task").applyInArrow(
         run, "key binary, root binary, links long")
 
 
@@ -281,8 +326,13 @@ def _named(docs: DataFrame, id_col: str, text_col: str, words: int, threshold: f
              pa.array([g for _, g in found], pa.binary())], names=["key", "grams"])
 
     grams = map_batches(texts, sets, "key binary, grams binary")
-    members = (grams.join(_blocked(parts), "key")
-               .join(classes.select("key", "copies"), "key"))
+    sizes = saved(parts.groupBy(F.col("part").alias("large")).agg(F.count("*").alias("size"))
+                  .where(F.col("size") > BLOCK).select("large"), "jaccard-sizes")
+    sent = _whole(parts.join(sizes, parts["part"] == sizes["large"], "left_anti"))
+    if not sizes.isEmpty():
+        sent = sent.unionByName(_by_prefix(
+            parts.join(sizes, parts["part"] == sizes["large"], "left_semi"), grams, threshold))
+    members = grams.join(sent, "key").join(classes.select("key", "copies"), "key")
     verified = saved(_verified(members, threshold), "jaccard-verified")
     reached = components(verified.where("key <> root").select(
         F.col("key").alias("a"), F.col("root").alias("b")))
@@ -305,12 +355,13 @@ def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     row of null id stays only if its class has no row with an id.
     """
     _, named = _named(docs, id_col, text_col, words, threshold, recall)
+    own, its, hashed = fresh(docs, "first_id", "first_hash", "text_hash")
     first = named.groupBy("label").agg(F.min("row").alias("row")).select(
-        F.col("row.id").alias("__first"), F.col("row.text_hash").alias("__hash"))
-    hashed = docs.withColumn("__text_hash", F.xxhash64(text_col))
-    return (hashed.join(first, F.col(id_col).eqNullSafe(F.col("__first"))
-                        & (F.col("__text_hash") == F.col("__hash")), "left_semi")
-            .dropDuplicates([id_col, "__text_hash"]).drop("__text_hash"))
+        F.col("row.id").alias(own), F.col("row.text_hash").alias(its))
+    rows = docs.withColumn(hashed, F.xxhash64(text_col))
+    return (rows.join(first, F.col(id_col).eqNullSafe(F.col(own)) & (F.col(hashed) == F.col(its)),
+                      "left_semi")
+            .dropDuplicates([id_col, hashed]).drop(hashed))
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

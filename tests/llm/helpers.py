@@ -8,6 +8,8 @@ import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 LONG = " ".join(f"word{i % 977} of a very long text" for i in range(20_000))
+#: Texts that are long without the breaks prose has.
+UNBROKEN = ["x" * 50_000, " " * 50_000, "漢字かな" * 10_000, "token: " * 8_000, "a@" * 20_000]
 ROWS = [
     (1, "The quick brown fox jumps over the lazy dog near the river bank today"),
     (2, None), (3, ""), (4, " \n\t "), (5, "!!! ??? ###"), (6, "one two"),
@@ -17,7 +19,10 @@ ROWS = [
 ]
 #: Names that operators use for their own columns.
 CLASHING = ("score", "predicted", "spans", "size", "shard", "slot", "ids", "key", "bands", "first",
-            "label", "item", "item_id", "evidence", "id", "rank", "links", "n_chars", "fingerprint")
+            "label", "item", "item_id", "evidence", "id", "rank", "links", "n_chars", "fingerprint",
+            "first_id", "first_hash", "Text_Hash", "bad_id", "bad_hash", "__first", "__hash",
+            "__text_hash", "__text", "__key", "scored_text", "hash", "part", "bits", "failed", "n",
+            "form", "position", "piece", "k1", "anchor", "stretch", "found", "text_key", "repeats")
 
 
 def odd_docs(spark):

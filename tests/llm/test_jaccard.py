@@ -5,6 +5,7 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from ashgrid.llm import jaccard as J
 from ashgrid.llm.catalog import SQL
@@ -125,3 +126,45 @@ def test_components_of_chains_and_stars(spark):
     want = {i: 100 for i in range(100, 161)} | {i: 0 for i in range(50)} | {200: 200, 300: 200}
     assert got == want
     assert components(df.limit(0)).count() == 0
+
+
+def test_a_chain_travels_in_proportion(spark, monkeypatch):
+    """Texts that are like their neighbours only: no set meets a whole group, no link is missed."""
+    monkeypatch.setattr(J, "BLOCK", 16)
+    share = []
+    for n in (100, 800):
+        texts = [" ".join(f"w{8 * i + j}" for j in range(200)) for i in range(n)]
+        sets = [(key, g.tobytes()) for _, g, key in J.gram_sets(pa.array(texts), 5)]
+        place = {key: i for i, (key, _) in enumerate(sets)}
+        grams_ = spark.createDataFrame(sets, "key binary, grams binary").repartition(4)
+        parts = grams_.select("key", F.lit(b"one").alias("part"))
+        sent = J._by_prefix(parts, grams_, 0.8).collect()
+        met = defaultdict(lambda: (set(), set()))
+        for r in sent:
+            met[r.left, r.right][r.own].add(place[bytes(r.key)])
+        for i in range(n):
+            for j in (i + 1, i + 2):                     # what reaches 0.8 in this chain
+                if j < n:
+                    assert any({i, j} <= a | b and (i in a) != (j in a) or {i, j} <= a and not b
+                               for a, b in met.values())
+        share.append(len(sent) / n)
+    assert share[1] < 2 * share[0] < 16
+
+
+def test_a_dense_group_in_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(J, "BLOCK", 16)
+    rng = random.Random(5)
+    base = [f"w{k}" for k in range(150)]
+    rows = []
+    for i in range(150):
+        t = list(base)
+        t[rng.randrange(150)] = f"x{i}"
+        rows.append((i, " ".join(t)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert found(J.join(docs)) == brute_force(rows)
+
+
+def test_clashing_names_are_kept(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f", "kept")], "doc_id long, text string, first_id string")
+    assert [r.asDict() for r in J.one_of_each(docs.withColumn("text_hash", docs["first_id"])).collect()] == \
+        [{"doc_id": 1, "text": "a b c d e f", "first_id": "kept", "text_hash": "kept"}]
