@@ -16,6 +16,8 @@ scored is taken off the points asked for.  A second pass adds up the points
 of the pairs of each document and item, and aligns the item with the
 stretches where enough are close together.
 
+The seeds are thus rare pairs of words rather than longer rare runs: a copy
+edited at every few words keeps no longer run, and the bound holds for pairs.
 Items are taken in blocks of bounded size, so what is broadcast is bounded
 however large the benchmark is; every block meets all documents.
 """
@@ -31,12 +33,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import words as W
-from .frames import kind, map_batches, saved, ship, table
+from .frames import fresh, kind, map_batches, saved, ship, table
 
 MATCH, MISMATCH, GAP = 2, -1, -1
 THRESHOLD = 0.5
-#: Items of fewer words are no evidence, whatever text holds them.
-MIN_WORDS = 5
+#: Items of fewer words are found as a whole run only, word for word.
+WHOLE = 5
 #: Bytes of test items that are searched at once.
 BLOCK_BYTES = 4 << 20
 #: A passage of so many item words, word for word, is a hit whatever the item's
@@ -92,14 +94,15 @@ def _characters(w: W.Words) -> W.Words:
     return replace(w, start=start, end=end, first=first, hash=W.hashes(w.data, start, end))
 
 
-def read_block(items: list[tuple[object, str | None]], threshold: float = THRESHOLD) -> Block:
-    """Words and pairs of (id, text) items; short ones are left out."""
+def read_block(items: list[tuple[object, str | None]], threshold: float = THRESHOLD,
+               min_words: int = 1) -> Block:
+    """Words and pairs of (id, text) items of ``min_words`` or more."""
     ids, words = [], []
     if items:
         for w in _chunks(pa.array([t for _, t in items], pa.large_string())):
             for i in range(w.hi - w.lo):
                 h = w.hash[w.first[i]:w.first[i + 1]]
-                if len(h) >= MIN_WORDS:
+                if len(h) >= min_words:
                     ids.append(items[w.lo + i][0])
                     words.append(h)
     pairs = (np.unique(np.concatenate([_pairs(h, d) for h in words for d in (1, 2)]))
@@ -107,6 +110,7 @@ def read_block(items: list[tuple[object, str | None]], threshold: float = THRESH
     length = np.array([len(h) for h in words], np.int64)
     least = np.ceil(MATCH * threshold * length - 1e-9).astype(np.int64)
     least = np.clip(least, 1, MATCH * PASSAGE)          # a passage scores as much at least
+    least = np.where(length < WHOLE, MATCH * length, least)
     none = np.zeros(0, np.int64)
     return Block(ids, words, pairs, least, none, np.zeros(0, np.uint64), np.zeros(1, np.int64),
                  none, none.astype(bool), np.zeros(1 << TABLE_BITS, bool), False)
@@ -285,7 +289,10 @@ def find(w: W.Words, block: Block, threshold: float
                 continue
             score, matched, first, last = align(wanted, doc[start:end])
             share = score / (MATCH * len(wanted))
-            if share < threshold:
+            if len(wanted) < WHOLE:
+                if score < block.least[i]:
+                    continue
+            elif share < threshold:
                 points, matched, first, last = align(wanted, doc[start:end], 1, -EDIT_COST,
                                                      -EDIT_COST)
                 if points < PASSAGE:
@@ -325,7 +332,7 @@ def _pair_counts(docs: DataFrame, block: Block) -> np.ndarray:
 
 
 def blocks(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int,
-           threshold: float = THRESHOLD) -> Iterator[Block]:
+           threshold: float = THRESHOLD, min_words: int = 1) -> Iterator[Block]:
     """The items in blocks of about ``block_bytes`` bytes, chosen by hash."""
     items = benchmark.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
@@ -334,29 +341,31 @@ def blocks(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int,
         part = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k) if n > 1 else items
         rows = part.collect()                      # about ``block_bytes`` of items
         yield read_block(sorted(((r["id"], r["text"]) for r in rows),
-                                key=lambda r: (r[0] is None, r[0])), threshold)
+                                key=lambda r: (r[0] is None, r[0])), threshold, min_words)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id",
                  text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
-                 threshold: float = THRESHOLD, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                 threshold: float = THRESHOLD, block_bytes: int = BLOCK_BYTES,
+                 min_words: int = 1) -> DataFrame:
     """(id, item id, score, matched_words, start_word, end_word) of documents that hold an item.
 
     One row per document row and item whose best alignment reaches
     ``threshold`` of the item's full score, or else whose best passage has
     PASSAGE words matched after EDIT_COST are taken off for every edit; its
-    score is the passage's share, below ``threshold``.  Items of fewer than MIN_WORDS
-    words, null and empty ones find nothing, as do null and empty texts; in
-    scripts without spaces every character is a word.  Equal items and
+    score is the passage's share, below ``threshold``.  Items of fewer than WHOLE
+    words are found where all their words follow each other; those of fewer
+    than ``min_words``, null and empty ones find nothing, as do null and empty
+    texts; in scripts without spaces every character is a word.  Equal items and
     repeated rows are all reported; other columns are ignored; empty tables
     give an empty result.
     """
     return _hits(docs, benchmark, id_col, text_col, item_col, item_text, threshold,
-                 block_bytes).drop("text_hash")
+                 block_bytes, min_words).drop("text_hash")
 
 
 def _hits(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str,
-          item_text: str, threshold: float, block_bytes: int) -> DataFrame:
+          item_text: str, threshold: float, block_bytes: int, min_words: int) -> DataFrame:
     """The rows of ``contaminated`` with the hash of each document's text."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
                        F.xxhash64(text_col).alias("text_hash"))
@@ -364,7 +373,7 @@ def _hits(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, ite
               "matched_words int, start_word int, end_word int, text_hash long")
     item_type = benchmark.select(item_col).limit(0).toArrow().schema.field(0).type
     parts = []
-    for block in blocks(benchmark, item_col, item_text, block_bytes, threshold):
+    for block in blocks(benchmark, item_col, item_text, block_bytes, threshold, min_words):
         choose_seeds(block, _pair_counts(rows, block))
         shared = docs.sparkSession.sparkContext.broadcast(block)    # bounded by block_bytes
 
@@ -393,16 +402,19 @@ def _hits(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, ite
 
 def clean(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id",
           text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
-          threshold: float = THRESHOLD, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+          threshold: float = THRESHOLD, block_bytes: int = BLOCK_BYTES,
+          min_words: int = 1) -> DataFrame:
     """The rows that ``contaminated`` doesn't find, with all their columns.
 
     A row is known by its id and its text's hash, so other rows of a null or
     repeated id stay.
     """
-    found = _hits(docs, benchmark, id_col, text_col, item_col, item_text, threshold, block_bytes)
-    bad = found.select(F.col(id_col).alias("__bad"), F.col("text_hash").alias("__hash")).distinct()
-    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("__bad"))
-                     & (F.xxhash64(text_col) == F.col("__hash")), "left_anti")
+    found = _hits(docs, benchmark, id_col, text_col, item_col, item_text, threshold, block_bytes,
+                  min_words)
+    bad_id, bad_hash = fresh(docs, "bad_id", "bad_hash")
+    bad = found.select(F.col(id_col).alias(bad_id), F.col("text_hash").alias(bad_hash)).distinct()
+    return docs.join(bad, F.col(id_col).eqNullSafe(F.col(bad_id))
+                     & (F.xxhash64(text_col) == F.col(bad_hash)), "left_anti")
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

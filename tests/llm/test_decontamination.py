@@ -25,9 +25,9 @@ def brute_force(docs, items, threshold=0.5):
     for i, text in docs:
         for k, item in items:
             a, b = words(item), words(text)
-            if len(a) >= 5 and b:
+            if a and b:
                 share = slow_align(a, b) / (2 * len(a))
-                if share >= threshold:
+                if share >= (threshold if len(a) >= 5 else 1):
                     out[i, k] = share
     return out
 
@@ -93,7 +93,11 @@ def test_rows(spark):
                                    (None, "word1 of a very long text word2 of a very long text")],
                                   "item_id long, text string")
     got = D.contaminated(odd_docs(spark), items).collect()
-    assert sorted((r.doc_id, r.item_id or 0) for r in got) == [(1, 1), (1, 1), (8, 0), (9, 1), (9, 1)]
+    assert sorted((r.doc_id, r.item_id or 0) for r in got) == \
+        [(1, 1), (1, 1), (1, 4), (8, 0), (9, 1), (9, 1), (9, 4)]
+    longer = D.contaminated(odd_docs(spark), items, min_words=4).collect()
+    assert sorted((r.doc_id, r.item_id or 0) for r in longer) == \
+        [(1, 1), (1, 1), (8, 0), (9, 1), (9, 1)]
     assert D.contaminated(no_docs(spark), items).count() == 0
     assert D.contaminated(odd_docs(spark), items.limit(0)).count() == 0
     kept = D.clean(odd_docs(spark), items)
