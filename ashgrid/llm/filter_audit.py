@@ -44,10 +44,12 @@ def duplicates(rows: DataFrame) -> DataFrame:
 
     Null ids are smaller than none and larger than none.
     """
-    repeated = (rows.groupBy("hash").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
-                .where("lo < hi").select("hash"))
+    # written first: an aggregate in the join's own stage would keep Spark from
+    # splitting the hash of a large group of copies
+    repeated = saved(rows.groupBy("hash").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
+                     .where("lo < hi").select("hash"), "audit-hashes")
     some = saved(rows.join(repeated, "hash", "left_semi"), "audit-repeated")
-    first = some.groupBy("hash", "text").agg(F.min("id").alias("first_id"))
+    first = saved(some.groupBy("hash", "text").agg(F.min("id").alias("first_id")), "audit-first")
     return some.join(first, (some["hash"] == first["hash"]) & (some["text"] == first["text"])
                      & (first["first_id"] < some["id"]), "left_semi")
 

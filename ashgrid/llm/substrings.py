@@ -123,8 +123,8 @@ def runs(keyed: DataFrame, least: int, seed: int) -> DataFrame:
 
 def passages(keyed: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
     """(anchor, passage, stretch, offset, id) of every passage of the wanted stretches."""
-    lists = wanted.groupBy(F.col("id").alias("w_id"), F.col("text_key").alias("w_key")).agg(
-        F.collect_list(F.struct("anchor", "stretch", "start", "number")).alias("wanted"))
+    lists = saved(wanted.groupBy(F.col("id").alias("w_id"), F.col("text_key").alias("w_key")).agg(
+        F.collect_list(F.struct("anchor", "stretch", "start", "number")).alias("wanted")), "wanted")
     # equal rows hold the same passages: their ids are no smaller than each other's
     texts = keyed.join(lists, (keyed["id"] == lists["w_id"])
                        & (keyed["text_key"] == lists["w_key"])).select("id", "text", "wanted")
@@ -161,35 +161,39 @@ def repeats(docs: DataFrame, *, least: int = LEAST, seed: int = SEED,
     """
     keyed = _keyed(docs, id_col, text_col).where("id is not null")
     every = saved(runs(keyed, least, seed), "stretches")
-    shared = (every.groupBy(F.col("anchor").alias("shared"))
-              .agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi")
-              .select("shared"))
+    # what is joined with many rows of one key is written first: an aggregate
+    # in the join's own stage would keep Spark from splitting that key
+    shared = saved(every.groupBy(F.col("anchor").alias("shared"))
+                   .agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi")
+                   .select("shared"), "shared-anchors")
     some = saved(every.join(shared, every["anchor"] == shared["shared"], "left_semi"),
                  "shared-stretches")
     # one class per content; its first document answers for the others
     classes = saved(some.groupBy("anchor", "stretch").agg(
         F.min(F.struct("id", "text_key", "start", "number")).alias("first")), "classes")
-    several = (classes.groupBy(F.col("anchor").alias("several")).agg(F.count("*").alias("n"))
-               .where("n > 1"))
+    several = saved(classes.groupBy(F.col("anchor").alias("several")).agg(F.count("*").alias("n"))
+                    .where("n > 1").select("several"), "parting-anchors")
     wanted = classes.join(several, classes["anchor"] == several["several"], "left_semi").select(
         "anchor", "stretch", "first.*")
     tried = saved(passages(keyed, wanted, least).distinct(), "passages")
-    earliest = (tried.groupBy(F.col("anchor").alias("e_anchor"), F.col("passage").alias("e_passage"))
-                .agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi"))
+    earliest = saved(tried.groupBy(F.col("anchor").alias("e_anchor"),
+                                   F.col("passage").alias("e_passage"))
+                     .agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi"),
+                     "repeated-passages")
     partly = (tried.join(earliest, (tried["anchor"] == earliest["e_anchor"])
                          & (tried["passage"] == earliest["e_passage"])
                          & (earliest["lo"] < tried["id"]))
               .groupBy("anchor", "stretch").agg(F.sort_array(F.collect_list("offset"))
                                                 .alias("offsets")))
-    verdicts = (classes.join(partly, ["anchor", "stretch"], "left")
-                .select(F.col("anchor").alias("v_anchor"), F.col("stretch").alias("v_stretch"),
-                        F.col("first.id").alias("first_id"), "offsets"))
+    verdicts = saved(classes.join(partly, ["anchor", "stretch"], "left")
+                     .select(F.col("anchor").alias("v_anchor"), F.col("stretch").alias("v_stretch"),
+                             F.col("first.id").alias("first_id"), "offsets"), "verdicts")
     judged = some.join(verdicts, (some["anchor"] == verdicts["v_anchor"])
                        & (some["stretch"] == verdicts["v_stretch"])
                        & ((verdicts["first_id"] < some["id"]) | verdicts["offsets"].isNotNull()))
-    return judged.groupBy("id", "text_key").agg(F.collect_set(F.struct(
+    return saved(judged.groupBy("id", "text_key").agg(F.collect_set(F.struct(
         "start", "number", F.when(F.col("first_id") < F.col("id"), F.lit(None))
-        .otherwise(F.col("offsets")).alias("offsets"))).alias("found"))
+        .otherwise(F.col("offsets")).alias("offsets"))).alias("found")), "repeats")
 
 
 def _spans(found: list[dict], least: int) -> list[tuple[int, int]]:
