@@ -16,14 +16,14 @@ from ashgrid.llm import decontamination, jaccard, personal, pieces, toxicity
 from ashgrid.llm.frames import saved, table
 
 #: Labelled rows that the toxicity index holds at most.
-MAX_EXAMPLES = 8000
+MAX_EXAMPLES = toxicity.MAX_EXAMPLES
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the nearest labelled examples don't call toxic."""
-    sample = toxicity.labelled_sample(table(spark, sf_dir, "documents"),
-                                      table(spark, sf_dir, "labels"), MAX_EXAMPLES)
-    return toxicity.drop_toxic(docs, toxicity.fit(sample))
+    every = table(spark, sf_dir, "documents")
+    sample = toxicity.labelled_sample(every, table(spark, sf_dir, "labels"), MAX_EXAMPLES)
+    return toxicity.drop_toxic(docs, toxicity.fit(sample, every))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
