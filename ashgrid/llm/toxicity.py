@@ -9,11 +9,14 @@ few examples thus count little, but every example is in the index and
 every text that shares a word with one has neighbours.
 
 The inverted index cuts the postings of every word into blocks of examples
-and stores each block's largest weight.  A query gets an upper bound for each
-block from these alone, scores the blocks of the highest bounds, and then all
-blocks whose bound reaches the k-th best score so far: the neighbours are
-exact.  They vote with squared similarities against the labels' prior share,
-and the votes are calibrated (Platt) on leave-one-out votes of the examples.
+and stores each block's largest weight.  A query scores the short postings,
+those of all but the commonest words, in full: that is a lower bound of every
+cosine.  The block maxima of its common words bound what these can add, and
+only blocks with an example whose bound reaches the k-th best are completed: the
+neighbours are exact.  Bounds and completions of some texts at once are small
+matrix products over the common words.  The neighbours vote with squared
+similarities against the labels' prior share, and the votes are calibrated
+(Platt) on leave-one-out votes of the examples.
 """
 
 from __future__ import annotations
@@ -30,8 +33,11 @@ from . import words as W
 from .frames import fresh, id_hash_mod, kind, map_batches, ship, table
 
 BLOCK = 64
-#: Blocks that are scored before bounds are compared with the k-th best.
-LEAD = 4
+#: Words of more postings than LONG, the COMMON most frequent of them at most, are
+#: common ones: their blocks give bounds.
+LONG, COMMON = 128, 512
+#: Texts that are scored together.
+TOGETHER = 64
 #: Least weight of a word that tells nothing, and the evidence that counts half.
 FLOOR, HALF = 0.02, 10.0
 #: Labelled rows that the registered query's index holds at most.
@@ -68,6 +74,9 @@ class Index:
     first: np.ndarray        # of each entry: its first posting, and one more
     example: np.ndarray      # postings: example
     weight: np.ndarray       # postings: weight in the example's unit vector
+    long: np.ndarray         # of each term: its place among the common ones, else -1
+    ceiling: np.ndarray      # [common word, block] -> largest weight
+    shared: np.ndarray       # [common word, example] -> weight
     prior: float             # label share among all sampled rows
     k: int
     pull: float              # weight of the prior in a vote
@@ -86,40 +95,56 @@ class Index:
         norm = np.sqrt(np.bincount(owner, value * value, texts))
         return (np.searchsorted(owner, np.arange(texts + 1)), term, value / norm[owner])
 
-    def nearest(self, term: np.ndarray, weight: np.ndarray, skip: int = -1
-                ) -> tuple[np.ndarray, np.ndarray]:
-        """The ``k`` examples of highest positive cosine, ties by lower index."""
-        n, lo = len(self.labels), self.entry[term]
-        size = self.entry[term + 1] - lo
-        entry, share = _ranges(lo, size), np.repeat(weight, size)
-        block = self.block[entry]
-        blocks = -(-n // BLOCK)
-        bound = np.bincount(block, share * self.most[entry], blocks)
-        scores = np.zeros(n)
-
-        def score(chosen: np.ndarray) -> None:
-            use = chosen[block]
-            some = entry[use]
-            number = self.first[some + 1] - self.first[some]
-            at = _ranges(self.first[some], number)
-            scores[:] += np.bincount(self.example[at], np.repeat(share[use], number)
-                                     * self.weight[at], n)
-            if skip >= 0:
-                scores[skip] = 0.0
-
-        lead = np.zeros(blocks, bool)
-        lead[np.argsort(-bound, kind="stable")[:LEAD]] = True
-        score(lead)
-        kth = np.partition(scores, n - self.k)[n - self.k] if n > self.k else 0.0
-        rest = ~lead & (bound > 0) & (bound >= kth - 1e-6)
-        if rest.any():
-            score(rest)
-        found = np.flatnonzero(scores > 0)
-        if len(found) > self.k:
-            kth = np.partition(scores[found], -self.k)[-self.k]
-            found = found[scores[found] >= kth]
-        found = found[np.lexsort((found, -scores[found]))[:self.k]]
-        return found, scores[found]
+    def nearest(self, first: np.ndarray, term: np.ndarray, weight: np.ndarray,
+                skip: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Of each vector the ``k`` examples of highest positive cosine, ties by lower index.
+
+        Vector i has the entries ``first[i]`` to ``first[i + 1]``; example ``skip[i]`` is left out.
+        """
+        out: list[tuple[np.ndarray, np.ndarray]] = []
+        for lo in range(0, len(first) - 1, TOGETHER):
+            cut = first[lo:lo + TOGETHER + 1]
+            at = slice(cut[0], cut[-1])
+            out += self._together(cut - cut[0], term[at], weight[at],
+                                  None if skip is None else skip[lo:lo + TOGETHER])
+        return out
+
+    def _together(self, first: np.ndarray, term: np.ndarray, weight: np.ndarray,
+                  skip: np.ndarray | None) -> list[tuple[np.ndarray, np.ndarray]]:
+        n, texts = len(self.labels), len(first) - 1
+        blocks = self.ceiling.shape[1]
+        place = self.long[term]
+        common = place >= 0
+        query = np.zeros((texts, len(self.shared)), np.float32)
+        query[np.repeat(np.arange(texts), np.diff(first))[common], place[common]] = weight[common]
+        begin = self.first[self.entry[term]]
+        size = np.where(common, 0, self.first[self.entry[term + 1]] - begin)
+        scores = np.zeros((texts, blocks * BLOCK), np.float32)
+        for i in range(texts):
+            own = slice(first[i], first[i + 1])
+            at = _ranges(begin[own], size[own])
+            if len(at):
+                scores[i, :n] = np.bincount(self.example[at], np.repeat(weight[own], size[own])
+                                            * self.weight[at], n)
+        if skip is not None:
+            scores[np.arange(texts), skip] = -1.0
+        if len(self.shared):
+            kth = (np.partition(scores[:, :n], n - self.k, axis=1)[:, n - self.k] if n > self.k
+                   else np.zeros(texts, np.float32))
+            best = scores.reshape(texts, blocks, BLOCK).max(axis=2) + query @ self.ceiling
+            reach = (best > 0) & (best >= np.maximum(kth, 0)[:, None] - 1e-5)
+            for block in np.flatnonzero(reach.any(axis=0)).tolist():
+                rows, at = np.flatnonzero(reach[:, block]), slice(block * BLOCK, (block + 1) * BLOCK)
+                scores[rows, at] += query[rows] @ self.shared[:, at]
+            if skip is not None:
+                scores[np.arange(texts), skip] = -1.0
+        out = []
+        for row in scores[:, :n]:
+            kth = max(np.partition(row, n - self.k)[n - self.k], 0.0) if n > self.k else 0.0
+            found = np.flatnonzero((row >= kth) & (row > 0))
+            found = found[np.lexsort((found, -row[found]))[:self.k]]
+            out.append((found, row[found].astype(float)))
+        return out
 
     def vote(self, found: np.ndarray, similarity: np.ndarray) -> float:
         s = similarity * similarity
@@ -139,7 +164,7 @@ def build(rows: list[tuple[str, int, np.ndarray, np.ndarray]], terms: np.ndarray
     prior = (sum(r[1] for r in rows) + 1) / (len(rows) + 2)
     none = np.zeros(0, np.int64)
     index = Index(terms, rate, np.zeros(0, object), np.zeros(0), none, none, np.zeros(0),
-                  none, none, np.zeros(0), prior, k, pull)
+                  none, none, np.zeros(0), none, np.zeros((0, 0)), np.zeros((0, 0)), prior, k, pull)
     vectors = []
     for name, label, h, count in rows:
         _, term, weight = index.vectors(np.zeros(len(h), np.int64), h, count, 1)
@@ -161,9 +186,27 @@ def build(rows: list[tuple[str, int, np.ndarray, np.ndarray]], terms: np.ndarray
     index.most = (np.maximum.reduceat(index.weight, lead) if len(lead)
                   else np.zeros(0, np.float32))
     index.entry = np.searchsorted(term[lead], np.arange(len(terms) + 1))
-    held = {v[2]: (i, v) for i, v in enumerate(vectors)}
-    votes = np.array([index.vote(*index.nearest(held[r[0]][1][3], held[r[0]][1][4], held[r[0]][0]))
-                      if r[0] in held else prior for r in rows])
+    often = np.bincount(term, minlength=len(terms))
+    common = np.sort(np.argsort(-often, kind="stable")[:COMMON])
+    common = common[often[common] > LONG]
+    index.long = np.full(len(terms), -1)
+    index.long[common] = np.arange(len(common))
+    blocks = -(-len(vectors) // BLOCK)
+    index.ceiling = np.zeros((len(common), blocks), np.float32)
+    index.shared = np.zeros((len(common), blocks * BLOCK), np.float32)
+    at = np.flatnonzero(index.long[term] >= 0)
+    index.shared[index.long[term[at]], index.example[at]] = index.weight[at]
+    at = np.flatnonzero(index.long[term[lead]] >= 0)
+    index.ceiling[index.long[term[lead[at]]], index.block[at]] = index.most[at]
+    order = {v[2]: i for i, v in enumerate(vectors)}
+    held = [r[0] for r in rows if r[0] in order]
+    own = [vectors[order[name]] for name in held]
+    near = index.nearest(np.concatenate(([0], np.cumsum([len(v[3]) for v in own], dtype=np.int64))),
+                         np.concatenate([v[3] for v in own] or [none]),
+                         np.concatenate([v[4] for v in own] or [np.zeros(0)]),
+                         np.array([order[name] for name in held], np.int64))
+    vote = {name: index.vote(*found) for name, found in zip(held, near, strict=True)}
+    votes = np.array([vote.get(r[0], prior) for r in rows])
     index.slope, index.shift = _platt(votes, np.array([r[1] for r in rows], dtype=float), prior)
     return index
 
@@ -274,8 +317,7 @@ def score_texts(column: pa.Array, index: Index, evidence: int = 3
     votes, notes = np.full(len(column), index.prior), [""] * len(column)
     for w in W.chunks(column):
         first, term, weight = index.vectors(*term_counts(w), w.hi - w.lo)
-        for i in np.flatnonzero(np.diff(first)):
-            found, near = index.nearest(term[first[i]:first[i + 1]], weight[first[i]:first[i + 1]])
+        for i, (found, near) in enumerate(index.nearest(first, term, weight)):
             votes[w.lo + i] = index.vote(found, near)
             notes[w.lo + i] = ",".join(
                 f"{index.ids[e]}:{int(index.labels[e])}:{s:.3f}"

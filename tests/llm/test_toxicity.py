@@ -41,7 +41,9 @@ def dense(index):
 
 
 @pytest.mark.parametrize("seed", range(4))
-def test_neighbours_equal_brute_force(seed):
+@pytest.mark.parametrize("long", [0, 55, 128])
+def test_neighbours_equal_brute_force(monkeypatch, seed, long):
+    monkeypatch.setattr(T, "LONG", long)
     index, _, rng = random_index(seed)
     vectors = dense(index)
     assert np.allclose(np.linalg.norm(vectors, axis=1), 1, atol=1e-6)
@@ -52,9 +54,9 @@ def test_neighbours_equal_brute_force(seed):
         cosine = vectors[:, term] @ weight
         order = np.lexsort((np.arange(len(cosine)), -cosine.round(9)))
         want = [i for i in order[:index.k] if cosine[i] > 0]
-        found, near = index.nearest(term, weight)
+        (found, near), = index.nearest(np.array([0, len(term)]), term, weight)
         assert np.allclose(near, cosine[want], atol=1e-6)
-        assert np.allclose(np.sort(cosine[found]), np.sort(cosine[want]))
+        assert np.allclose(np.sort(cosine[found]), np.sort(cosine[want]), atol=1e-6)
 
 
 def test_block_bounds_are_the_largest_weights():
@@ -64,7 +66,7 @@ def test_block_bounds_are_the_largest_weights():
         for e in range(index.entry[t], index.entry[t + 1]):
             lo = index.block[e] * T.BLOCK
             assert index.most[e] == vectors[lo:lo + T.BLOCK, t].max().astype(np.float32)
-    found, near = index.nearest(np.array([5]), np.array([1.0]))
+    (found, near), = index.nearest(np.array([0, 1]), np.array([5]), np.array([1.0]))
     at = slice(index.entry[5], index.entry[6])
     assert len(found) == 3 and near[0] == pytest.approx(index.most[at].max())
 
