@@ -14,7 +14,6 @@ import heapq
 import json
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -32,8 +31,8 @@ from .texts import LETTERS, PLAIN, slices
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PRINTED = ((33, 126), (161, 172), (174, 255))
 
-#: Pre-tokens whose merged counts a worker keeps.
-KEPT = 1_000_000
+#: Pre-tokens, and their characters, whose merged counts a worker keeps.
+KEPT, KEPT_CHARS = 1_000_000, 32_000_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -46,8 +45,10 @@ def byte_letters() -> dict[str, int]:
 class Counter(dict):
     """Pre-token -> number of tokens; unknown ones are merged on first use."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, proved: list[str] | None = None) -> None:
+        """From a vocabulary file; ``proved`` are its whole tokens, if that is known."""
         super().__init__()
+        self.held = 0
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -69,13 +70,16 @@ class Counter(dict):
         self.plain_pieces = re.compile(PATTERN.replace(r"\s\p{L}\p{N}", rf"\s{LETTERS}0-9")
                                        .replace(r"\p{L}", f"[{LETTERS}]")
                                        .replace(r"\p{N}", "[0-9]"))
-        for token in raw.values():
-            if self.merged(token) == 1:
-                try:
-                    self[token.decode()] = 1
-                except UnicodeDecodeError:
-                    pass      # part of a character: never a pre-token of its own
-        self.proved = dict(self)
+        if proved is None:
+            proved = []
+            for token in raw.values():
+                if self.merged(token) == 1:
+                    try:
+                        proved.append(token.decode())
+                    except UnicodeDecodeError:
+                        pass      # part of a character: never a pre-token of its own
+        self.proved = dict.fromkeys(proved, 1)
+        self.update(self.proved)
 
     def merged(self, piece: bytes) -> int:
         """Tokens left of ``piece`` after all merges, lowest rank first, leftmost first."""
@@ -129,9 +133,11 @@ class Counter(dict):
         return count
 
     def __missing__(self, piece: str) -> int:
-        if len(self) > len(self.proved) + KEPT:
+        if len(self) > len(self.proved) + KEPT or self.held > KEPT_CHARS:
             self.clear()
             self.update(self.proved)
+            self.held = 0
+        self.held += len(piece)
         count = self[piece] = self.merged(piece.encode())
         return count
 
@@ -145,22 +151,30 @@ class Counter(dict):
                              for part in self.special.split(text))
 
 
-@lru_cache(maxsize=4)
-def counter(path: str) -> Counter:
-    """The counter of a vocabulary file, made once per worker."""
-    return Counter(path)
+_made: dict[str, Counter] = {}
+
+
+def counter(path: str, proved: list[str] | None = None) -> Counter:
+    """The counter of a vocabulary file, made once per process."""
+    if path not in _made:
+        _made[path] = Counter(path, proved)
+    return _made[path]
 
 
 def count_tokens(docs: DataFrame, vocabulary: str, *, id_col: str = "doc_id",
                  text_col: str = "text", limit: int = 512) -> DataFrame:
     """(id, n_bytes, n_tokens, over_limit) of every row, over whole texts.
 
-    ``vocabulary`` is the path of the tokenizer file on every machine.  Null
-    texts count as empty: no bytes, no tokens.  Repeated rows stay repeated;
-    other columns are ignored; an empty table gives an empty one.
+    ``vocabulary`` is the path of the tokenizer file on every machine; its
+    whole tokens are proved here, once, before the job.  Null texts count as
+    empty: no bytes, no tokens.  Repeated rows stay repeated; other columns are
+    ignored; an empty table gives an empty one.
     """
+    proved = docs.sparkSession.sparkContext.broadcast(       # strings of the vocabulary
+        list(counter(vocabulary).proved))
+
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        find = counter(vocabulary)
+        find = counter(vocabulary, proved.value)
         column = batch.column(1)
         tokens = np.zeros(len(column), np.int64)
         for lo, hi, texts in slices(column):

@@ -63,3 +63,19 @@ def test_query_equals_library(spark):
            for r in T.op10_token_counts(spark, SF_SMALL).collect()}
     assert got == {i: (len(t.encode()), library(t), library(t) > 512)
                    for i, t in zip(ids, texts, strict=True)}
+
+
+def test_proved_strings_make_the_same_counter(monkeypatch):
+    proved = list(T.counter(PATH).proved)
+    monkeypatch.setattr(T.Counter, "merged", lambda self, piece: pytest.fail("proved again"))
+    again = T.Counter(PATH, proved)
+    assert dict(again) == T.counter(PATH).proved
+
+
+def test_kept_counts_are_bounded_by_their_characters(monkeypatch):
+    monkeypatch.setattr(T, "KEPT_CHARS", 3000)
+    counter = T.Counter(PATH, list(T.counter(PATH).proved))
+    for i in range(20):
+        text = "q" * 1000 + str(i)
+        assert counter.count(text) == library(text)
+        assert counter.held <= 3000 + 2100
