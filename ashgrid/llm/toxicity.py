@@ -154,60 +154,61 @@ class Index:
         return 1.0 / (1.0 + np.exp(-np.clip(self.slope * votes + self.shift, -35, 35)))
 
 
-def build(rows: list[tuple[str, int, np.ndarray, np.ndarray]], terms: np.ndarray,
-          rate: np.ndarray, k: int = 16, pull: float = 0.5) -> Index:
-    """Index of (id, label, word hashes, counts) examples; then calibrated.
+def build(names: np.ndarray, labels: np.ndarray, first: np.ndarray, term: np.ndarray,
+          count: np.ndarray, terms: np.ndarray, rate: np.ndarray, k: int = 16,
+          pull: float = 0.5) -> Index:
+    """Index of examples, calibrated; example i has the (term, count) entries from ``first[i]``.
 
-    Examples without a word of ``terms`` are similar to nothing; they count in
-    the prior only.
+    Examples without a word are similar to nothing; they count in the prior only.
     """
-    prior = (sum(r[1] for r in rows) + 1) / (len(rows) + 2)
-    none = np.zeros(0, np.int64)
-    index = Index(terms, rate, np.zeros(0, object), np.zeros(0), none, none, np.zeros(0),
-                  none, none, np.zeros(0), none, np.zeros((0, 0)), np.zeros((0, 0)), prior, k, pull)
-    vectors = []
-    for name, label, h, count in rows:
-        _, term, weight = index.vectors(np.zeros(len(h), np.int64), h, count, 1)
-        if len(term):
-            vectors.append((label, int(term[np.argmax(weight)]), name, term, weight))
-    vectors.sort(key=lambda v: v[:3])    # like examples share a block: tighter bounds
-    index.ids = np.array([v[2] for v in vectors], dtype=object)
-    index.labels = np.array([v[0] for v in vectors], dtype=float)
-    example = np.repeat(np.arange(len(vectors)), [len(v[3]) for v in vectors])
-    term = np.concatenate([v[3] for v in vectors] or [none])
-    order = np.lexsort((example, term))
-    term, index.example = term[order], example[order].astype(np.int32)
-    index.weight = np.concatenate([v[4] for v in vectors] or [np.zeros(0)])[order].astype(np.float32)
-    block = index.example // BLOCK
-    new = np.ones(len(term), bool)
-    new[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
+    size = np.diff(first)
+    prior = (labels.sum() + 1) / (len(labels) + 2)
+    owner = np.repeat(np.arange(len(names), dtype=np.int32), size)
+    weight = ((1.0 + np.log(count)) * rate[term]).astype(np.float32)
+    weight /= np.sqrt(np.bincount(owner, weight.astype(float) ** 2, len(names)))[owner]
+    some = np.flatnonzero(size)
+    # like examples share a block: by label, then by the word of most weight
+    heaviest = np.zeros(len(names), np.int64)
+    if len(term):
+        by_weight = np.lexsort((weight, owner))
+        heaviest[some] = term[by_weight[first[some + 1] - 1]]
+        del by_weight
+    ranked = some[np.lexsort((names[some], heaviest[some], labels[some]))]
+    place = np.full(len(names), -1, np.int32)
+    place[ranked] = np.arange(len(ranked))
+    n, blocks = len(ranked), -(-len(ranked) // BLOCK)
+    order = np.lexsort((place[owner], term))
+    posting, example = term[order], place[owner[order]]
+    index = Index(terms, rate, names[ranked], labels[ranked].astype(float),
+                  np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32),
+                  np.zeros(0, np.int64), example, weight[order], np.zeros(0, np.int64),
+                  np.zeros((0, blocks), np.float32), np.zeros((0, n), np.float32), prior, k, pull)
+    del order, owner
+    block = example // BLOCK
+    new = np.ones(len(posting), bool)
+    new[1:] = (posting[1:] != posting[:-1]) | (block[1:] != block[:-1])
     lead = np.flatnonzero(new)
-    index.block, index.first = block[lead], np.append(lead, len(term))
+    index.block, index.first = block[lead], np.append(lead, len(posting))
     index.most = (np.maximum.reduceat(index.weight, lead) if len(lead)
                   else np.zeros(0, np.float32))
-    index.entry = np.searchsorted(term[lead], np.arange(len(terms) + 1))
-    often = np.bincount(term, minlength=len(terms))
+    index.entry = np.searchsorted(posting[lead], np.arange(len(terms) + 1))
+    often = np.bincount(posting, minlength=len(terms))
     common = np.sort(np.argsort(-often, kind="stable")[:COMMON])
     common = common[often[common] > LONG]
-    index.long = np.full(len(terms), -1)
+    index.long = np.full(len(terms), -1, np.int32)
     index.long[common] = np.arange(len(common))
-    blocks = -(-len(vectors) // BLOCK)
     index.ceiling = np.zeros((len(common), blocks), np.float32)
     index.shared = np.zeros((len(common), blocks * BLOCK), np.float32)
-    at = np.flatnonzero(index.long[term] >= 0)
-    index.shared[index.long[term[at]], index.example[at]] = index.weight[at]
-    at = np.flatnonzero(index.long[term[lead]] >= 0)
-    index.ceiling[index.long[term[lead[at]]], index.block[at]] = index.most[at]
-    order = {v[2]: i for i, v in enumerate(vectors)}
-    held = [r[0] for r in rows if r[0] in order]
-    own = [vectors[order[name]] for name in held]
-    near = index.nearest(np.concatenate(([0], np.cumsum([len(v[3]) for v in own], dtype=np.int64))),
-                         np.concatenate([v[3] for v in own] or [none]),
-                         np.concatenate([v[4] for v in own] or [np.zeros(0)]),
-                         np.array([order[name] for name in held], np.int64))
-    vote = {name: index.vote(*found) for name, found in zip(held, near, strict=True)}
-    votes = np.array([vote.get(r[0], prior) for r in rows])
-    index.slope, index.shift = _platt(votes, np.array([r[1] for r in rows], dtype=float), prior)
+    at = np.flatnonzero(index.long[posting] >= 0)
+    index.shared[index.long[posting[at]], example[at]] = index.weight[at]
+    at = np.flatnonzero(index.long[posting[lead]] >= 0)
+    index.ceiling[index.long[posting[lead[at]]], index.block[at]] = index.most[at]
+    # leave-one-out votes; an example without a word has the prior's
+    cut = np.append(first[some], first[-1])
+    votes = np.full(len(names), prior)
+    votes[some] = [index.vote(*found) for found in index.nearest(cut, term, weight, place[some])]
+    by_name = np.argsort(names, kind="stable")
+    index.slope, index.shift = _platt(votes[by_name], labels[by_name].astype(float), prior)
     return index
 
 
@@ -295,20 +296,20 @@ def fit(labelled: DataFrame, docs: DataFrame | None = None, *, id_col: str = "do
     got = map_batches(rows, extract,
                       "id string, label int, terms array<long>, counts array<int>").toArrow()
     lists, numbers = (got[c].combine_chunks() for c in ("terms", "counts"))
-    ids, labels = got["id"].to_pylist(), got["label"].to_numpy()
-    owner = np.repeat(np.arange(len(ids)), lists.value_lengths().to_numpy())
+    names = np.array(got["id"].to_pylist(), object)
+    labels = got["label"].to_numpy().astype(np.int64)
+    size = lists.value_lengths().to_numpy()
     flat, count = (x.flatten().to_numpy(zero_copy_only=False) for x in (lists, numbers))
-    flat = flat.view(np.uint64)
-    terms, at = np.unique(flat, return_inverse=True)
-    n = np.bincount(at, minlength=len(terms))
-    with_label = np.bincount(at, labels[owner], len(terms))
+    del got, lists, numbers
+    terms, term = np.unique(flat.view(np.uint64), return_inverse=True)
+    term = term.astype(np.int32)
+    n = np.bincount(term, minlength=len(terms))
+    with_label = np.bincount(term, np.repeat(labels, size), len(terms))
     total, often = document_counts(labelled if docs is None else docs, terms, text_col)
-    rate = (np.log(1.0 + max(total, len(ids)) / np.maximum(often, n))
-            * telling(n, with_label, len(ids), int(labels.sum())))
-    cut = np.searchsorted(owner, np.arange(len(ids) + 1))
-    examples = [(ids[i], int(labels[i]), flat[cut[i]:cut[i + 1]], count[cut[i]:cut[i + 1]])
-                for i in range(len(ids))]
-    return build(sorted(examples, key=lambda r: r[0]), terms, rate, k)
+    rate = (np.log(1.0 + max(total, len(names)) / np.maximum(often, n))
+            * telling(n, with_label, len(names), int(labels.sum())))
+    first = np.concatenate(([0], np.cumsum(size, dtype=np.int64)))
+    return build(names, labels, first, term, count, terms, rate, k)
 
 
 def score_texts(column: pa.Array, index: Index, evidence: int = 3

@@ -28,7 +28,11 @@ def random_index(seed, examples=700, terms=60, k=10):
     for i in range(examples):
         h = np.sort(rng.choice(names, rng.integers(0, 9), replace=False))
         rows.append((f"e{i}", int(rng.random() < 0.3), h, rng.integers(1, 5, len(h))))
-    return T.build(rows, names, rng.uniform(0.5, 3, terms), k), rows, rng
+    first = np.concatenate(([0], np.cumsum([len(r[2]) for r in rows])))
+    term = np.searchsorted(names, np.concatenate([r[2] for r in rows]))
+    index = T.build(np.array([r[0] for r in rows], object), np.array([r[1] for r in rows]), first, term,
+                    np.concatenate([r[3] for r in rows]), names, rng.uniform(0.5, 3, terms), k)
+    return index, rows, rng
 
 
 def dense(index):
