@@ -6,9 +6,10 @@ bands; the number of bands and rows is chosen for a target recall at the
 threshold.  A shuffle on band hashes gathers what agrees in a band, and only
 a star of edges to the least member leaves each band, never its pairs.  The
 components of these stars are the candidate groups.  In a group all pairs
-are verified on full sets.  A large one is cut into blocks, and only block
-pairs that share one of some set's rarest runs meet, as an exact bound shows
-that others hold no link.  The counts of common runs of a block pair are one
+are verified on full sets, in blocks: the block pairs of a larger group are
+tasks of their own.  In a group of very many blocks only those pairs meet that
+share one of some set's rarest runs, as an exact bound shows that others hold
+no link.  The counts of common runs of a block pair are one
 matrix product.  What leaves a task are link counts and the edges of a
 spanning forest, so output grows with the documents.  The verified
 components are the classes.
@@ -32,8 +33,9 @@ from .frames import fresh, kind, map_batches, saved, ship, table
 WORDS = 5
 THRESHOLD = 0.8
 #: Classes of one candidate group that are verified against each other at once;
-#: a group of more is cut.
+#: a group of more is cut, and one of more than MANY times as many looks for blocks to skip.
 BLOCK = 512
+MANY = 64
 
 
 def choose_bands(threshold: float, recall: float = 0.9999, most: int = 192) -> tuple[int, int]:
@@ -113,20 +115,29 @@ def _candidates(classes: DataFrame) -> DataFrame:
     return components(stars).select(F.col("node").alias("key"), F.col("label").alias("part"))
 
 
-def _whole(parts: DataFrame) -> DataFrame:
-    """(key, part, left, right, own, task) of groups of up to BLOCK classes: one block each.
+def _blocked(parts: DataFrame) -> DataFrame:
+    """(key, part, left, right, own, task) rows: which block pairs verify a class.
 
-    Small groups share a task.
+    A group of up to BLOCK classes is one block, and small groups share a
+    task.  A larger one is cut into blocks by hash; each class goes to the
+    pairs of its block with every block of the group, a task each.
     """
+    sizes = parts.groupBy("part").agg(F.count("*").alias("size"))
     bins = F.greatest(F.lit(1), F.ceil(F.lit(parts.count()) / BLOCK)).cast("int")
-    one = F.lit(0).cast("long")
-    return parts.select("key", "part", one.alias("left"), one.alias("right"), F.lit(0).alias("own"),
-                        F.concat(F.lit("whole "), F.pmod(F.xxhash64("part"), bins).cast("string"))
-                        .alias("task"))
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    cut = parts.join(sizes, "part").select(
+        "key", "part", blocks.alias("blocks"),
+        F.pmod(F.xxhash64("key"), blocks).cast("int").alias("own"))
+    spread = cut.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    left, right = F.least("own", "other"), F.greatest("own", "other")
+    return spread.select(
+        "key", "part", left.cast("long").alias("left"), right.cast("long").alias("right"), "own",
+        F.when(F.col("blocks") > 1, F.concat_ws(" ", F.hex("part"), left, right))
+        .otherwise(F.pmod(F.xxhash64("part"), bins).cast("string")).alias("task"))
 
 
 def _by_prefix(parts: DataFrame, grams: DataFrame, threshold: float) -> DataFrame:
-    """(key, part, left, right, own, task) of larger groups: the block pairs that can hold a link.
+    """(key, part, left, right, own, task) of large groups: the block pairs that can hold a link.
 
     Sets of n runs that reach the threshold t share one of their n - ceil(t n) + 1
     rarest runs, in any fixed order of runs; so sets that share none of these
@@ -179,6 +190,28 @@ def _by_prefix(parts: DataFrame, grams: DataFrame, threshold: float) -> DataFram
         F.xxhash64("part", "left", "right"), F.lit(bins)).cast("string")).alias("task"))
 
 
+def _sent(parts: DataFrame, grams: DataFrame, threshold: float) -> DataFrame:
+    """Which tasks every class goes to: by all blocks of its group, or by shared rare runs.
+
+    Meeting all blocks sends a class as often as its group has blocks.  In groups
+    of more than MANY blocks the rare runs are looked up first; such a group
+    takes whichever sends fewer rows.  Either finds every link.
+    """
+    sizes = saved(parts.groupBy(F.col("part").alias("large")).agg(F.count("*").alias("size"))
+                  .where(F.col("size") > MANY * BLOCK), "jaccard-sizes")
+    if sizes.isEmpty():
+        return _blocked(parts)
+    rare = _by_prefix(parts.join(sizes, parts["part"] == sizes["large"], "left_semi"), grams,
+                      threshold)
+    fewer = saved(rare.groupBy(F.col("part").alias("fewer")).agg(F.count("*").alias("n"))
+                  .join(sizes, F.col("fewer") == F.col("large"))
+                  .where(F.col("n") < F.col("size") * F.ceil(F.col("size") / BLOCK))
+                  .select("fewer"), "jaccard-fewer")
+    rest = parts.join(fewer, parts["part"] == fewer["fewer"], "left_anti")
+    return _blocked(rest).unionByName(
+        rare.join(fewer, rare["part"] == fewer["fewer"], "left_semi"))
+
+
 def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     """Sizes of all intersections of two lists of sorted distinct hashes."""
     a, b = np.concatenate(left), np.concatenate(right)
@@ -326,12 +359,7 @@ def _named(docs: DataFrame, id_col: str, text_col: str, words: int, threshold: f
              pa.array([g for _, g in found], pa.binary())], names=["key", "grams"])
 
     grams = map_batches(texts, sets, "key binary, grams binary")
-    sizes = saved(parts.groupBy(F.col("part").alias("large")).agg(F.count("*").alias("size"))
-                  .where(F.col("size") > BLOCK).select("large"), "jaccard-sizes")
-    sent = _whole(parts.join(sizes, parts["part"] == sizes["large"], "left_anti"))
-    if not sizes.isEmpty():
-        sent = sent.unionByName(_by_prefix(
-            parts.join(sizes, parts["part"] == sizes["large"], "left_semi"), grams, threshold))
+    sent = _sent(parts, grams, threshold)
     members = grams.join(sent, "key").join(classes.select("key", "copies"), "key")
     verified = saved(_verified(members, threshold), "jaccard-verified")
     reached = components(verified.where("key <> root").select(

@@ -64,9 +64,10 @@ def test_bands_reach_the_recall():
         J.choose_bands(0.01, 0.9999, 8)
 
 
-@pytest.mark.parametrize("block", [512, 16])
-def test_equals_brute_force(spark, monkeypatch, block):
+@pytest.mark.parametrize("block, many", [(512, 64), (16, 64), (16, 1)])
+def test_equals_brute_force(spark, monkeypatch, block, many):
     monkeypatch.setattr(J, "BLOCK", block)
+    monkeypatch.setattr(J, "MANY", many)
     rows = near_rows(90, 120, 1, 1) + near_rows(30, 40, 1, 2, 1000) + near_rows(40, 200, 60, 3, 2000)
     rows += [(3000 + i, rows[i % 5][1]) for i in range(60)]                # copies
     rows += [(4000, "few words"), (4001, "Few, words!"), (4002, "other few words")]
@@ -153,6 +154,7 @@ def test_a_chain_travels_in_proportion(spark, monkeypatch):
 
 def test_a_dense_group_in_many_blocks(spark, monkeypatch):
     monkeypatch.setattr(J, "BLOCK", 16)
+    monkeypatch.setattr(J, "MANY", 1)
     rng = random.Random(5)
     base = [f"w{k}" for k in range(150)]
     rows = []
