@@ -62,3 +62,24 @@ def test_export_reads_each_layout_alone(spark, tmp_path):
     df.write.partitionBy("layout").parquet(f"{tmp_path}/staged")
     one = spark.read.schema(df.schema).parquet(f"{tmp_path}/staged").where("layout = 'L2'")
     assert "PartitionFilters: [isnotnull(layout" in plan_of(one)
+
+
+@pytest.mark.parametrize("name", sorted(REGISTRY))
+def test_arrow_passes_for_versions_only(plans, name):
+    assert ("MapInArrow" in plans[name]) == (name in ("history_flags", "history_versions"))
+    if name.startswith("history"):
+        assert "collect_list" not in plans[name]
+
+
+def test_malformed_lines_are_dealt_out(spark):
+    from ashgrid.plans.drift import write_malformed
+    from ashgrid.session import scratch_path
+    base = scratch_path(spark, "malformed")
+    write_malformed(spark, SF_SMALL, base)
+    files = (spark.read.option("recursiveFileLookup", "true").text(base)
+             .selectExpr("_metadata.file_path as f", "value"))
+    by_file = {}
+    for r in files.collect():
+        by_file.setdefault(r.f, []).append(r.value)
+    assert len(by_file) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert all(lines[0].startswith("ind,") and f.endswith(".csv") for f, lines in by_file.items())

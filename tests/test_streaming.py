@@ -1,9 +1,11 @@
 """Incremental ingest: files land over time; one checkpoint across runs."""
 
 import os
+import re
 
 from tests.fixtures import FILES
-from ashgrid.streaming.yearly_drop import ingest_available
+from ashgrid.streaming.yearly_drop import current_units, ingest_available
+from tests.test_plans import plan_of
 
 
 def land(folder, name, text_name=None, lines=None):
@@ -83,3 +85,18 @@ def test_default_checkpoint_is_stable(spark, tmp_path):
     assert counts(ingest_available(spark, landing, sink)) == {2015: 6}
     after = {f for k in before if k.startswith("source_key") for f in os.listdir(f"{sink}/landed/yr=2015/{k}")}
     assert files == after          # nothing was read again
+
+
+def test_a_batch_reads_the_touched_years_only(spark, tmp_path):
+    landing, sink = str(tmp_path / "landing"), str(tmp_path / "sink")
+    for name in ("burned_2015.csv", "burned_2018.csv", "burned_2020.csv"):
+        land(landing, name)
+    everything = counts(ingest_available(spark, landing, sink))
+    for years in ([2018], [2015, 2020], [2018, None]):
+        some = current_units(spark, sink, years=years)
+        assert counts(some) == {y: n for y, n in everything.items() if y in years}
+    # one row a file says which delivery of a year is newest
+    assert spark.read.parquet(f"{sink}/deliveries").count() == 3
+    plan = plan_of(current_units(spark, sink, years=[2018]))
+    pruned = re.findall(r"PartitionFilters: \[[^\]]*yr#\d+[^\]]*2018", plan)
+    assert len(pruned) == plan.count("PartitionFilters") == 2        # facts and deliveries
