@@ -19,7 +19,6 @@ pairs are made within a group, however many documents share a passage.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
