@@ -4,7 +4,9 @@ import os
 import re
 
 from tests.fixtures import FILES
-from ashgrid.streaming.yearly_drop import current_units, ingest_available
+from ashgrid.operators.metrics import yearly_total
+from ashgrid.plans.yearly import EXACT
+from ashgrid.streaming.yearly_drop import current_units, ingest_available, start_ingest
 from tests.test_plans import plan_of
 
 
@@ -100,3 +102,62 @@ def test_a_batch_reads_the_touched_years_only(spark, tmp_path):
     plan = plan_of(current_units(spark, sink, years=[2018]))
     pruned = re.findall(r"PartitionFilters: \[[^\]]*yr#\d+[^\]]*2018", plan)
     assert len(pruned) == plan.count("PartitionFilters") == 2        # facts and deliveries
+
+
+def test_a_batch_reads_the_facts_of_its_own_files_only(spark, tmp_path):
+    landing, sink = str(tmp_path / "landing"), str(tmp_path / "sink")
+    rows = FILES["burned_2018.csv"][1]
+    for i, line in enumerate(rows[1:3]):
+        land(landing, "burned_2018.csv", f"year=2018/part-{i}.csv", [rows[0], line])
+    ingest_available(spark, landing, sink, max_files_per_trigger=1)
+    # the facts of a year landed before are no parquet any more: a batch must not open them
+    for folder, _, names in os.walk(f"{sink}/landed/yr=2018"):
+        for name in names:
+            if name.endswith(".parquet"):
+                with open(os.path.join(folder, name), "w") as f:
+                    f.write("not to be read")
+                os.remove(os.path.join(folder, f".{name}.crc"))
+    land(landing, "burned_2018.csv", "year=2018/part-2.csv", [rows[0], rows[3]])
+    start_ingest(spark, landing, sink).awaitTermination()
+    totals = {r.yr: (r.area_total, r.n_rows) for r in spark.read.parquet(f"{sink}/totals").collect()}
+    assert totals == {2018: (35.0, 3)}
+
+
+def test_files_without_rows_and_without_a_year(spark, tmp_path):
+    landing, sink = str(tmp_path / "landing"), str(tmp_path / "sink")
+    rows = FILES["burned_2018.csv"][1]
+    land(landing, "burned_2018.csv", "year=2018/none.csv", rows[:1])
+    start_ingest(spark, landing, sink).awaitTermination()
+    land(landing, "burned_2018.csv", "year=2018/some.csv", rows[:3])
+    land(landing, "burned_2018.csv", "undated/some.csv", rows[:2])
+    ingest_available(spark, landing, sink, mode="append")
+    assert counts(current_units(spark, sink, "append")) == {2018: 2, None: 1}
+    totals = {r.yr: (r.area_total, r.n_rows) for r in spark.read.parquet(f"{sink}/totals").collect()}
+    assert totals == {2018: (32.0, 2)}
+
+
+def test_totals_are_those_of_the_rows_that_count(spark, tmp_path):
+    rows = FILES["burned_2018.csv"][1]
+    for mode in ("replace_year", "append"):
+        landing, sink = str(tmp_path / f"landing-{mode}"), str(tmp_path / f"sink-{mode}")
+        for folder, n in (("a/year=2018", 5), ("b/year=2018", 3), ("b/year=2019", 2)):
+            for i, line in enumerate(rows[1:n + 1]):
+                land(landing, "burned_2018.csv", f"{folder}/part-{i}.csv", [rows[0], line])
+        df = ingest_available(spark, landing, sink, mode=mode, max_files_per_trigger=2)
+        want = yearly_total(df, "yr", "area_total", "area_total", EXACT)
+        totals = spark.read.parquet(f"{sink}/totals").select(want.columns)
+        assert sorted(totals.collect()) == sorted(want.collect())
+        assert totals.count() == 2
+
+
+def test_a_sink_without_sums_of_files_gets_them(spark, tmp_path):
+    landing, sink = str(tmp_path / "landing"), str(tmp_path / "sink")
+    rows = FILES["burned_2018.csv"][1]
+    land(landing, "burned_2018.csv", "year=2018/part-0.csv", rows[:3])
+    ingest_available(spark, landing, sink)
+    old = spark.createDataFrame(spark.read.parquet(f"{sink}/deliveries").drop("area_total", "n_rows").collect())
+    old.write.mode("overwrite").partitionBy("yr", "source_key").parquet(f"{sink}/deliveries")
+    land(landing, "burned_2018.csv", "year=2018/part-1.csv", [rows[0], rows[3]])
+    ingest_available(spark, landing, sink)
+    totals = {r.yr: (r.area_total, r.n_rows) for r in spark.read.parquet(f"{sink}/totals").collect()}
+    assert totals == {2018: (35.0, 3)}
