@@ -161,3 +161,14 @@ def test_a_sink_without_sums_of_files_gets_them(spark, tmp_path):
     ingest_available(spark, landing, sink)
     totals = {r.yr: (r.area_total, r.n_rows) for r in spark.read.parquet(f"{sink}/totals").collect()}
     assert totals == {2018: (35.0, 3)}
+
+
+def test_a_first_batch_of_rows_without_a_year(spark, tmp_path):
+    landing, sink = str(tmp_path / "landing"), str(tmp_path / "sink")
+    rows = FILES["burned_2018.csv"][1]
+    land(landing, "burned_2018.csv", "undated/some.csv", rows[:2])
+    assert counts(ingest_available(spark, landing, sink, mode="append")) == {None: 1}
+    land(landing, "burned_2018.csv", "year=2018/some.csv", rows[:3])
+    assert counts(ingest_available(spark, landing, sink, mode="append")) == {None: 1, 2018: 2}
+    totals = {r.yr: (r.area_total, r.n_rows) for r in spark.read.parquet(f"{sink}/totals").collect()}
+    assert totals == {2018: (32.0, 2)}
